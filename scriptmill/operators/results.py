@@ -172,8 +172,8 @@ def new_best_flags(results: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFra
     successful runs' scores strictly before it.
     """
     ok_score = F.when(F.col("status") == "ok", F.col("val_score"))
-    r = running_max_by_seq(results, ok_score, "seq", "_prior", False, width)
-    before = F.greatest(F.coalesce(F.col("_prior"), F.lit(0.0)), F.lit(0.0))
+    r = running_max_by_seq(results, ok_score, "seq", "_ok_best", False, width)
+    before = F.greatest(F.coalesce(F.col("_ok_best"), F.lit(0.0)), F.lit(0.0))
     return r.select("seq", "val_score", "status", before.alias("best_before"),
                     ((F.col("status") == "ok") & F.coalesce(F.col("val_score") > before, F.lit(False))).alias("new_best"))
 

@@ -188,11 +188,11 @@ def render(name: str, engine: str, table_ref=lambda t: t) -> str:
     return sql
 
 
-def duckdb_with(names: list[str]) -> str:
+def duckdb_with(names: list[str], recursive: bool = False) -> str:
     """A ``WITH`` prefix defining the named views (and those they use) for DuckDB."""
     need = _closure(names)
     parts = [f"{n} AS ({render(n, 'duckdb')})" for n in ORDER if n in need]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
 
 def _closure(names: list[str]) -> set[str]:
