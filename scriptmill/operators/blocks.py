@@ -48,63 +48,66 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
                .repartition("_path")
                .select("_path", F.posexplode(F.split("_text", "\n", -1)).alias("ln", "line")))
 
+    # Sort 1 (path, ln): running depth, file length, running count of
+    # non-comment lines (``nc``), which later keys the comment headers.
     by_line = Window.partitionBy("_path").orderBy("ln")
+    run = by_line.rowsBetween(Window.unboundedPreceding, 0)
     lines = (lines
              .withColumn("d", count_char("line", "{") - count_char("line", "}"))
              .withColumn("name", F.regexp_extract("line", OPENER_RE, 1))
-             .withColumn("P", F.sum("d").over(by_line.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("base", F.col("P") - F.col("d"))
-             .withColumn("last_ln", F.max("ln").over(Window.partitionBy("_path"))))
+             .withColumn("is_c", py_strip("line").startswith("#"))
+             .withColumn("P", F.sum("d").over(run))
+             .withColumn("nc", F.count(F.when(~F.col("is_c"), 1)).over(run))
+             .withColumn("last_ln", F.max("ln").over(by_line.rowsBetween(Window.unboundedPreceding,
+                                                                        Window.unboundedFollowing)))
+             .withColumn("base", F.col("P") - F.col("d")))
 
     ev = F.struct
+    empty = "array<struct<kind:int,level:bigint>>"
     plain = F.array(ev(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("level")))
     opens = F.when(F.col("name") != "", F.array(ev(F.lit(1).alias("kind"), F.col("base").alias("level")))) \
-             .otherwise(F.array().cast("array<struct<kind:int,level:bigint>>"))
+             .otherwise(F.array().cast(empty))
     closes = F.when(F.col("d") < 0,
                     F.transform(F.sequence(F.col("P"), F.col("base") - 1),
                                 lambda lv: ev(F.lit(2).alias("kind"), lv.alias("level")))) \
-              .otherwise(F.array().cast("array<struct<kind:int,level:bigint>>"))
+              .otherwise(F.array().cast(empty))
     events = (lines.withColumn("ev", F.explode(F.concat(plain, opens, closes)))
-                   .select("*", "ev.kind", "ev.level").drop("ev"))
+                   .select("*", "ev.kind", "ev.level").drop("ev")
+                   .withColumn("neg_ln", -F.col("ln")))
 
-    # End of each candidate: first later close at its own level, else EOF.
-    after = Window.partitionBy("_path", "level").orderBy("ln").rangeBetween(1, Window.unboundedFollowing)
+    # Sort 2 (path, level, -ln): first later close at the candidate's level,
+    # as a running frame in reversed order (linear, not a per-row rescan).
+    later = Window.partitionBy("_path", "level").orderBy("neg_ln").rangeBetween(Window.unboundedPreceding, -1)
     events = events.withColumn(
         "e",
         F.when(F.col("kind") == 1,
                F.when(F.col("d") <= 0, F.col("ln"))
-                .otherwise(F.coalesce(F.min(F.when(F.col("kind") == 2, F.col("ln"))).over(after),
+                .otherwise(F.coalesce(F.min(F.when(F.col("kind") == 2, F.col("ln"))).over(later),
                                       F.col("last_ln")))))
-    # A candidate is walked when no earlier candidate's interval covers it.
+    # Sort 3 (path, ln): a candidate is walked when no earlier candidate's
+    # interval covers it; then the latest walked block at or before each line.
     before = Window.partitionBy("_path").orderBy("ln").rangeBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("_path").orderBy("ln").rangeBetween(Window.unboundedPreceding, 0)
     events = events.withColumn(
         "kept", (F.col("kind") == 1)
         & F.coalesce(F.max("e").over(before) < F.col("ln"), F.lit(True)))
-    # Latest walked block at or before each line (blocks are disjoint).
-    upto = Window.partitionBy("_path").orderBy("ln").rangeBetween(Window.unboundedPreceding, 0)
     events = (events
               .withColumn("blk_s", F.max(F.when(F.col("kept"), F.col("ln"))).over(upto))
-              .withColumn("blk_e", F.max(F.when(F.col("kept"), F.col("e"))).over(upto)))
-
-    rows = (events.where(F.col("kind") == 0)
-                  .select("_path", "ln", "line", "name", "blk_s", "blk_e")
-                  .withColumn("in_block", F.col("blk_s").isNotNull() & (F.col("ln") <= F.col("blk_e")))
-                  .withColumn("starts", F.col("blk_s") == F.col("ln"))
-                  .withColumn("is_c", py_strip("line").startswith("#")))
-    # Header: '#' lines whose next non-'#' line opens a walked block.
-    nxt = Window.partitionBy("_path").orderBy("ln").rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumn(
-        "_next", F.first(F.when(~F.col("is_c"), F.struct(F.col("ln").alias("ln"), F.col("starts").alias("starts"))),
-                         ignorenulls=True).over(nxt))
-    rows = rows.withColumn(
-        "hdr_for", F.when(F.col("is_c") & F.coalesce(F.col("_next.starts"), F.lit(False)), F.col("_next.ln")))
-
+              .withColumn("blk_e", F.max(F.when(F.col("kept"), F.col("e"))).over(upto))
+              .withColumn("blk_k", F.max(F.when(F.col("kept"), F.col("nc"))).over(upto)))
+
+    # Each line is code of the block it lies in, and a '#' line is header
+    # material of the next non-comment line (key nc + 1); groups that get no
+    # code line (the next line opens no walked block) are dropped.
+    rows = events.where(F.col("kind") == 0)
+    in_block = F.col("blk_s").isNotNull() & (F.col("ln") <= F.col("blk_e"))
     part = F.struct
+    role_t = "array<struct<key:bigint,role:int>>"
     roles = F.concat(
-        F.when(F.col("in_block"), F.array(part(F.col("blk_s").alias("key"), F.lit(0).alias("role"))))
-         .otherwise(F.array().cast("array<struct<key:bigint,role:int>>")),
-        F.when(F.col("hdr_for").isNotNull(), F.array(part(F.col("hdr_for").cast("long").alias("key"), F.lit(1).alias("role"))))
-         .otherwise(F.array().cast("array<struct<key:bigint,role:int>>")))
+        F.when(in_block, F.array(part(F.col("blk_k").alias("key"), F.lit(0).alias("role"))))
+         .otherwise(F.array().cast(role_t)),
+        F.when(F.col("is_c"), F.array(part((F.col("nc") + 1).alias("key"), F.lit(1).alias("role"))))
+         .otherwise(F.array().cast(role_t)))
     tagged = (rows.select("_path", "ln", "line", "name", F.explode(roles).alias("r"))
                   .select("_path", "ln", "line", "name", "r.key", "r.role"))
 
@@ -112,12 +115,15 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
         items = F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("ln", "line"))))
         return F.array_join(F.transform(items, lambda x: x["line"]), "\n")
 
+    code_ln = F.when(F.col("role") == 0, F.col("ln"))
     return (tagged.groupBy("_path", "key")
-                  .agg(F.max(F.when((F.col("role") == 0) & (F.col("ln") == F.col("key")), F.col("name"))).alias("name"),
+                  .agg(F.min(code_ln).alias("start"),
+                       F.min_by(F.col("name"), code_ln).alias("name"),
                        joined(0).alias("code"),
                        joined(1).alias("comment_header"),
-                       F.count(F.when(F.col("role") == 0, 1)).alias("lines"))
-                  .select(F.col("_path").alias(path), F.col("key").alias("ln"), "name", "code",
+                       F.count(code_ln).alias("lines"))
+                  .where(F.col("start").isNotNull())
+                  .select(F.col("_path").alias(path), F.col("start").alias("ln"), "name", "code",
                           "comment_header", F.col("lines").cast("long").alias("lines")))
 
 
@@ -130,16 +136,12 @@ def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFr
     from the raw text (braces inside comments then count).  A file below the
     directories of two categories yields its blocks once per category.
     """
-    from .categories import CAT_TYPE, dir_categories
+    from .categories import file_categories
 
-    src = scripts.select("path", "text").withColumn("_cats", dir_categories("path")) \
-                 .where(F.size("_cats") > 0)
-    texts = src.select("path", "text") if keep_comments else \
-        src.select("path", strip_comments("text").alias("text"))
+    cats = file_categories(scripts.select("path"))
+    src = scripts.select("path", "text").join(cats.select("path").distinct(), "path", "left_semi")
+    texts = src if keep_comments else src.select("path", strip_comments("text").alias("text"))
     blocks = extract_blocks(texts)
-    cats = src.select("path", F.col("_cats").cast(CAT_TYPE).alias("_cats"))
     return (blocks.join(cats, "path")
-                  .withColumn("_cat", F.explode("_cats"))
-                  .select("name", F.col("_cat.category").alias("category"),
-                          F.col("path").alias("source_file"), "code",
-                          "comment_header", "lines", "ln", F.col("_cat.cat_ord").alias("cat_ord")))
+                  .select("name", "category", F.col("path").alias("source_file"), "code",
+                          "comment_header", "lines", "ln", "cat_ord"))

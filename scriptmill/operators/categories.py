@@ -38,6 +38,31 @@ def dir_categories(path, category_dirs=CATEGORY_DIRS) -> Column:
     return F.filter(F.array(*hits), lambda x: x.isNotNull())
 
 
+def dir_table(spark, category_dirs=CATEGORY_DIRS) -> DataFrame:
+    """The category directories as a table ``dir, cat_ord, category`` (133 rows)."""
+    return spark.createDataFrame([(d, o, c) for o, c, d in category_dirs], "dir string, cat_ord int, category string")
+
+
+def dir_prefixes(path) -> Column:
+    """Every directory above a file: ``a/b/c.txt`` -> ``[a, a/b]``."""
+    parts = F.split(col_of(path), "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
+                       lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+
+
+def file_categories(files: DataFrame, path: str = "path", category_dirs=CATEGORY_DIRS) -> DataFrame:
+    """``path, cat_ord, category`` for every category directory above a file.
+
+    An equi-join of each file's few directory prefixes with the fixed
+    133-row directory table (broadcast: its size is fixed by the map), so the
+    cost per file is a handful of hash probes instead of 133 prefix tests.
+    """
+    dirs = F.broadcast(dir_table(files.sparkSession, category_dirs))
+    pre = files.select(F.col(path).alias("_p")) \
+               .select("_p", F.explode(dir_prefixes("_p")).alias("dir"))
+    return pre.join(dirs, "dir").select(F.col("_p").alias("path"), "cat_ord", "category")
+
+
 def with_dir_categories(scripts: DataFrame, path: str = "path") -> DataFrame:
     """Files below a category directory, one row per (file, category dir)."""
     return (scripts.withColumn("_cats", dir_categories(path))
