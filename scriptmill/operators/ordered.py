@@ -120,6 +120,9 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> Da
     prefix-summed and broadcast back.  ``order`` must end with a unique
     column.
     """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     mid = F.monotonically_increasing_id()
     sorted_df = (df.orderBy(*order)
                    .withColumn("_pid", F.spark_partition_id())

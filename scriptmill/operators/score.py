@@ -17,7 +17,7 @@ SCORE_COLUMNS = ["syntax_score", "keyword_score", "structure_score", "total_scor
 SUMMARY_NAMES = {"total_score": "val_score", "syntax_score": "syntax_score",
                  "keyword_score": "keyword_score", "structure_score": "structure_score"}
 BLOCK_RE = rf"{WORD}{WS}*={WS}*\{{"
-SCOPE_RE = "(" + "|".join(w.replace(":", ":") for w in SCOPE_WORDS) + ")"
+SCOPE_RE = "(" + "|".join(SCOPE_WORDS) + ")"
 
 
 def eval_prompts(spark: SparkSession) -> DataFrame:
@@ -56,7 +56,9 @@ def score_columns(text, checks) -> list[Column]:
 def score_outputs(outputs: DataFrame, prompts: DataFrame, how: str = "inner") -> DataFrame:
     """Score rows for outputs that have a prompt (``how='left'`` keeps the rest
     with null scores, which summaries count as absent)."""
-    p = F.broadcast(prompts.select("prompt_id", "checks", "ord"))
+    # the prompt table is a benchmark (a handful of rows); Spark broadcasts
+    # it from its measured size, no hint needed
+    p = prompts.select("prompt_id", "checks", "ord")
     j = outputs.join(p, "prompt_id", how)
     keep = [c for c in outputs.columns if c not in ("prompt_id", "text")]
     scored = j.select(*keep, "prompt_id", "ord", *score_columns("text", "checks"))

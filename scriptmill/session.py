@@ -33,11 +33,13 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint directory the cluster names; a scratch one only if unset.
+    """The checkpoint directory the cluster names; a scratch one only in local mode.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; we read it
-    from the session and never replace it.  Only when nothing is configured
-    (local tests) do we create a private scratch folder.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; it is
+    read from the session and never replaced.  Only a local-mode session with
+    nothing configured (tests, benchmarks) gets a private scratch folder; a
+    cluster session without the setting is an error, since a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed for ordered ranks)")
     path = tempfile.mkdtemp(prefix="scriptmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
