@@ -123,7 +123,7 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
                        joined(1).alias("comment_header"),
                        F.count(code_ln).alias("lines"))
                   .where(F.col("start").isNotNull())
-                  .select(F.col("_path").alias(path), F.col("start").alias("ln"), "name", "code",
+                  .select(F.col("_path").alias(path), F.col("start").cast("long").alias("ln"), "name", "code",
                           "comment_header", F.col("lines").cast("long").alias("lines")))
 
 

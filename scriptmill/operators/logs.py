@@ -21,7 +21,7 @@ def split_entries(df: DataFrame, dashes: int, text: str = "text") -> DataFrame:
     pieces = F.filter(F.transform(F.split(col_of(text), delimiter_re(dashes), -1), py_strip),
                       lambda x: x != "")
     return (df.select("*", F.posexplode(pieces).alias("entry_no", "entry"))
-              .withColumn("entry_no", F.col("entry_no") + 1)
+              .withColumn("entry_no", (F.col("entry_no") + 1).cast("long"))
               .drop(text))
 
 
