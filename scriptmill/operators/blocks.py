@@ -71,8 +71,12 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
                     F.transform(F.sequence(F.col("P"), F.col("base") - 1),
                                 lambda lv: ev(F.lit(2).alias("kind"), lv.alias("level")))) \
               .otherwise(F.array().cast(empty))
+    # only plain rows carry the line text through the sorts
     events = (lines.withColumn("ev", F.explode(F.concat(plain, opens, closes)))
-                   .select("*", "ev.kind", "ev.level").drop("ev")
+                   .select("_path", "ln", "d", "nc", "last_ln", "ev.kind", "ev.level",
+                           F.when(F.col("ev.kind") == 0, F.col("line")).alias("line"),
+                           F.when(F.col("ev.kind") == 0, F.col("name")).alias("name"),
+                           F.when(F.col("ev.kind") == 0, F.col("is_c")).alias("is_c"))
                    .withColumn("neg_ln", -F.col("ln")))
 
     # Sort 2 (path, level, -ln): first later close at the candidate's level,
