@@ -4,7 +4,8 @@ Appends go to a directory of part files (one per append job), each with the
 header line, so concurrent sweeps never rewrite a shared file.  Reading keeps
 the original's leniency: lines are stripped and split on tabs, lines with
 fewer fields than the header are dropped, numeric fields that do not parse
-become null.  File order is kept as ``seq`` (file path, then line position).
+become null.  Append order is kept as ``seq`` (file modification time, then
+file path, then line position: each append writes a new part file).
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ def read_results(spark: SparkSession, path: str, columns=RESULTS_COLUMNS) -> Dat
     """Result rows with ``seq`` in file order; numeric fields parsed leniently."""
     header = "\t".join(columns)
     lines = (spark.read.text(path)
-             .select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"),
+             .select(F.col("_metadata.file_modification_time").alias("_mtime"),
+                     F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"),
                      py_strip("value").alias("_line"))
              .where(F.col("_line") != header))
     parts = F.split("_line", "\t", -1)
     rows = lines.where(F.size(parts) >= len(columns)) \
-                .select("_file", "_pos", *[parts[i].alias(c) for i, c in enumerate(columns)])
-    ranked = global_rank(rows, [F.col("_file"), F.col("_pos")], "seq").withColumn("seq", F.col("seq") - 1)
-    return typed_results(ranked.drop("_file", "_pos"))
+                .select("_mtime", "_file", "_pos", *[parts[i].alias(c) for i, c in enumerate(columns)])
+    ranked = global_rank(rows, [F.col("_mtime"), F.col("_file"), F.col("_pos")], "seq") \
+        .withColumn("seq", F.col("seq") - 1)
+    return typed_results(ranked.drop("_mtime", "_file", "_pos"))
