@@ -4,8 +4,9 @@ A grid is a map ``key -> list of values`` (JSON text or a map column), one
 per row.  Expansion is a generator, not a join: each combination is an
 ordinal ``i`` in ``[0, total)``, and key ``k`` (keys sorted, last key
 fastest) takes position ``(i div stride_k) mod len_k`` of its list, where
-``stride_k`` is the product of the later lists' lengths.  Large grids are
-spread over tasks by the explode of their own row; no cross join is formed.
+``stride_k`` is the product of the later lists' lengths.  No cross join is
+formed; grids expand in parallel, one grid row within the task that holds it
+(a grid is a sweep plan: its size is the product of a few short lists).
 """
 
 from __future__ import annotations
