@@ -60,3 +60,31 @@ def test_entry_names(spark):
     got = df.select(logs.log_entry_name("e").alias("a"), logs.data_type_name("e").alias("b")).collect()
     assert [r.a for r in got] == ["add_gold", "scope", "Func(int) -> x"]
     assert got[2].b == "Func"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+LOC_PIECES = st.sampled_from(["k", "é", "_", "1", ":", "0", " ", "\t", '"', "a b", "#", ".", "　", "x"])
+LOG_PIECES = st.sampled_from(["a", " ", "\n", "-", "----", "-----", "\t", "x - y", ":", " ", "("])
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.lists(LOC_PIECES, max_size=16).map("".join), min_size=1, max_size=25))
+def test_loc_parse_matches_plain(spark, lines):
+    df = spark.createDataFrame([("a.yml", i, line) for i, line in enumerate(lines)], "path string, ln int, line string")
+    got = {r.ln: (r.key, r.value) for r in localization.parse_loc(df).collect()}
+    want = {i: plain.loc_entry(line) for i, line in enumerate(lines) if plain.loc_entry(line)}
+    assert got == want
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.lists(LOG_PIECES, max_size=30).map("".join), min_size=1, max_size=10))
+def test_log_split_matches_plain(spark, texts):
+    df = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file string, text string")
+    for dashes in (4, 5):
+        got = {}
+        for r in logs.split_entries(df, dashes).collect():
+            got.setdefault(r.file, []).append((r.entry_no, r.entry))
+        for i, t in enumerate(texts):
+            assert [e for _, e in sorted(got.get(f"f{i}", []))] == plain.split_entries(t, dashes)
