@@ -1,0 +1,3 @@
+"""scriptmill: corpus preparation and experiment analytics as Spark DataFrame plans."""
+
+__version__ = "0.1.0"

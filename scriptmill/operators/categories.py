@@ -1,8 +1,9 @@
 """Category of a script path (both lookup rules of the original tool).
 
-The category map is 133 fixed directory entries, so the lookup is written as
-a single projection (a ``CASE`` chain, or an array of matches) rather than a
-join: no shuffle, no broadcast, evaluated inside whole-stage codegen.
+The category map is 133 fixed directory entries.  The prefix rule is a single
+``CASE`` projection (first match in map order, inside whole-stage codegen);
+the directory rule is an equi-join of each file's directory prefixes with the
+fixed table, broadcast because its size is fixed by the map.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ from pyspark.sql import functions as F
 from ..fixed import CATEGORY_DIRS
 from ..functions.text import col_of
 
-CAT_TYPE = "array<struct<cat_ord:int,category:string>>"
-
 
 def category_by_prefix(path, category_dirs=CATEGORY_DIRS) -> Column:
     """First category, in map order, with a directory that is a string prefix.
@@ -30,14 +29,6 @@ def category_by_prefix(path, category_dirs=CATEGORY_DIRS) -> Column:
     return out.otherwise(F.lit("other"))
 
 
-def dir_categories(path, category_dirs=CATEGORY_DIRS) -> Column:
-    """Every (ord, category) whose directory contains the file, in map order."""
-    p = col_of(path)
-    hits = [F.when(p.startswith(d + "/"), F.struct(F.lit(o).alias("cat_ord"), F.lit(cat).alias("category")))
-            for o, cat, d in category_dirs]
-    return F.filter(F.array(*hits), lambda x: x.isNotNull())
-
-
 def dir_table(spark, category_dirs=CATEGORY_DIRS) -> DataFrame:
     """The category directories as a table ``dir, cat_ord, category`` (133 rows)."""
     return spark.createDataFrame([(d, o, c) for o, c, d in category_dirs], "dir string, cat_ord int, category string")
@@ -61,12 +52,3 @@ def file_categories(files: DataFrame, path: str = "path", category_dirs=CATEGORY
     pre = files.select(F.col(path).alias("_p")) \
                .select("_p", F.explode(dir_prefixes("_p")).alias("dir"))
     return pre.join(dirs, "dir").select(F.col("_p").alias("path"), "cat_ord", "category")
-
-
-def with_dir_categories(scripts: DataFrame, path: str = "path") -> DataFrame:
-    """Files below a category directory, one row per (file, category dir)."""
-    return (scripts.withColumn("_cats", dir_categories(path))
-                   .where(F.size("_cats") > 0)
-                   .withColumn("_cat", F.explode("_cats"))
-                   .select("*", "_cat.cat_ord", "_cat.category")
-                   .drop("_cats", "_cat"))

@@ -105,11 +105,6 @@ def lag_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "prev",
              .drop(b, v, "_prior", "_rn"))
 
 
-def first_by_seq(df: DataFrame, value, seq: str = "seq") -> Column:
-    """Aggregate: ``value`` of the row with the smallest ``seq``."""
-    return F.min_by(col_of(value), col_of(seq))
-
-
 def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """1-based dense position in an arbitrary total order.
 

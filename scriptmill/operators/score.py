@@ -14,8 +14,6 @@ from ..fixed import CODE_MARKERS, EVAL_PROMPTS, RATING_BANDS, SCOPE_WORDS, SCORE
 from ..functions.text import WORD, WS, col_of, count_char
 
 SCORE_COLUMNS = ["syntax_score", "keyword_score", "structure_score", "total_score"]
-SUMMARY_NAMES = {"total_score": "val_score", "syntax_score": "syntax_score",
-                 "keyword_score": "keyword_score", "structure_score": "structure_score"}
 BLOCK_RE = rf"{WORD}{WS}*={WS}*\{{"
 SCOPE_RE = "(" + "|".join(SCOPE_WORDS) + ")"
 
