@@ -7,16 +7,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import simhash_gray
+from scriptmill.llm import quality, simhash_gray
 from scriptmill.llm.common import read_table
 
 
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", "content_share")
+
+
 def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_gray.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash_gray.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
 }
 
