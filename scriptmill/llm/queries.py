@@ -4,10 +4,11 @@ columns of its result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import quality, simhash_gray
+from scriptmill.llm import quality, simhash_gray, token_files
 from scriptmill.llm.common import read_table
 
 
@@ -22,9 +23,18 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_gray.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_files.new_store(spark)
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), store,
+                                  public_tokenizers.path("word_bpe_49k.json"))
+    out = token_files.read_token_files(spark, store)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
+    "op10_token_files": op10_token_files,
 }
 
 #: queries whose whole result DuckDB can compute
