@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import quality, simhash_gray, token_files
+from scriptmill.llm import quality, sharding, simhash_gray, token_files
 from scriptmill.llm.common import read_table
 
 
+def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -32,6 +36,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_minimax_shards": op3_minimax_shards,
     "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
     "op10_token_files": op10_token_files,
