@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import quality, sharding, simhash_gray, token_files
+from scriptmill.llm import quality, sharding, simhash_gray, token_files, toxicity
 from scriptmill.llm.common import read_table
 
 
+def op2_knn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.col("evidence.doc_id").alias("nearest"))
+
+
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_knn_toxicity": op2_knn_toxicity,
     "op3_minimax_shards": op3_minimax_shards,
     "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
