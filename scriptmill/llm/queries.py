@@ -8,8 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import quality, sharding, simhash_gray, token_files, toxicity
-from scriptmill.llm.common import read_table
+from scriptmill.llm import chat_format, quality, sharding, simhash_gray, token_files, toxicity
+from scriptmill.llm.common import materialize, read_table
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"  # template and escape characters inside a text
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra)
+    formatted = chat_format.format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json"))
+    return chat_format.read_back(materialize(formatted, "chats"))
 
 
 def op2_knn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_knn_toxicity": op2_knn_toxicity,
     "op3_minimax_shards": op3_minimax_shards,
     "op6_quality_crf": op6_quality_crf,
