@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import chat_format, quality, sharding, simhash_gray, token_files, toxicity
+from scriptmill.llm import chat_format, line_dedup, quality, sharding, simhash_gray, token_files, toxicity
 from scriptmill.llm.common import materialize, read_table
 
 
@@ -30,6 +30,13 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = F.aggregate("__runs", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
+    return out.select("doc_id", "text", F.coalesce(cut, F.lit(0)).alias("n_lines_cut"),
+                      F.coalesce(F.size("__runs").cast("long"), F.lit(0)).alias("n_runs_cut"))
+
+
 def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -53,6 +60,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_knn_toxicity": op2_knn_toxicity,
     "op3_minimax_shards": op3_minimax_shards,
+    "op5_line_dedup": op5_line_dedup,
     "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
     "op10_token_files": op10_token_files,
