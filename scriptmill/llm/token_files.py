@@ -10,12 +10,15 @@ table cuts the loaded words.
 
 Files.  A token store is a folder with two Parquet tables: ``ranks`` (one row:
 the ids in rank order, little-endian unsigned 32 bit) and ``blocks`` (one row
-per block: its place in doc_id order, counts, and the block image).  Spark
+per block: its place in doc_id order and the block image).  Spark
 writes and reads them, so any file system works.  A block image is::
 
     b"FRV1", n_docs u64, n_ids u64 | doc_id i64 * n_docs | has_id u8 * n_docs
     | ids per document u64 * n_docs | control bytes | data bytes
 
+Between the passes ids travel as 16-bit numbers when the vocabulary fits, else
+as 32-bit ones.
+
 Defined results: null text counts as empty and yields the end id alone; null
 doc_ids come first; rows that repeat a doc_id are all stored, ordered by their
 ids; a document of any length is stored whole (a block ends after the document
@@ -42,7 +45,7 @@ from scriptmill.session import ensure_checkpoint_dir
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 CACHE_WORDS = 200_000
 MAGIC = b"FRV1"
 
@@ -173,8 +176,15 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id`` and ``ids`` (binary, little-endian unsigned 32 bit) of every row."""
+def id_width(tokenizer: str, end_id: int = END_ID) -> str:
+    """The narrowest of numpy's little-endian types that holds every id."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, width: str = "<u4") -> DataFrame:
+    """``doc_id`` and ``ids`` (binary, numbers of type ``width``) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
@@ -185,7 +195,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES)))
                 got = encoder.encode(text.slice(at, to - at), end_id)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, to - at), pa.array([g.astype("<u4").tobytes() for g in got], pa.binary())],
+                    [batch.column(0).slice(at, to - at), pa.array([g.astype(width).tobytes() for g in got], pa.binary())],
                     ["doc_id", "ids"])
                 at = to
 
@@ -193,23 +203,27 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
             .mapInArrow(run, "doc_id long, ids binary"))
 
 
-def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_ids(batches: Iterator[pa.RecordBatch], width: str) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for v in batch.column(0):
-            got = np.bincount(np.frombuffer(v.as_buffer(), "<u4"), minlength=len(total))
-            got[:len(total)] += total
-            total = got
+        got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width), minlength=len(total))
+        got[:len(total)] += total
+        total = got
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
 
+#: a block: the part that wrote it, the part's ids before it, its ids, its image
+BLOCKS = "part long, before long, n_ids long, image binary"
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Tokenize ``docs`` and write the token store below ``path``."""
     spark = docs.sparkSession
-    ids = materialize(tokenize(docs, tokenizer, end_id), "ids")
+    width = id_width(tokenizer, end_id)
+    ids = materialize(tokenize(docs, tokenizer, end_id, width), "ids")
     # one count per id of the vocabulary, which is bounded by the tokenizer
-    counts = ids.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = ids.select("ids").mapInArrow(lambda it: _count_ids(it, width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     order = np.array([r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))], dtype="<u4")
     rank = np.zeros(int(order.max(initial=0)) + 1, dtype=np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
@@ -217,29 +231,29 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     ranks = spark.sparkContext.broadcast(rank)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         names, held, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            row = [[part], [number], [len(held)], [size], [pack_block(names, held)]]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            row = [[part], [before], [size], [pack_block(names, held)]]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)],
-                                              ["part", "block", "n_docs", "n_ids", "image"])
+                                              ["part", "before", "n_ids", "image"])
 
         for batch in batches:
             for doc_id, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 names.append(doc_id)
-                held.append(ranks.value[np.frombuffer(v.as_buffer(), "<u4")])
+                held.append(ranks.value[np.frombuffer(v.as_buffer(), width)])
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield flush()
-                    names, held, size, number = [], [], 0, number + 1
+                    names, held, size, before = [], [], 0, before + size
         if held:
             yield flush()
 
     key = [F.col("doc_id").asc_nulls_first(), F.crc32("ids"), F.length("ids"), F.col("ids")]
     (ids.repartitionByRange(shuffle_parts(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*key)
-     .mapInArrow(blocks, "part long, block long, n_docs long, n_ids long, image binary")
+     .mapInArrow(blocks, BLOCKS)
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
@@ -248,16 +262,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     documents before it), ``n_tokens``, ``ids`` (little-endian unsigned 32 bit)."""
     order = spark.read.parquet(f"{path}/ranks").collect()[0]["ids"]  # at most the vocabulary
     table = spark.sparkContext.broadcast(np.frombuffer(bytes(order), "<u4"))
-    blocks = spark.read.schema("part long, block long, n_docs long, n_ids long, image binary").parquet(f"{path}/blocks")
-    # ids before each block: parts are few (one per task that wrote), blocks of a part are a window of their own
-    in_part = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+    # parts are as many as tasks wrote, so their offsets are a small bounded table
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
-             .select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")))
-    starts = (blocks.select("part", "block", "n_ids")
-              .select("part", "block", F.coalesce(F.sum("n_ids").over(in_part), F.lit(0)).alias("block_start"))
-              .join(F.broadcast(parts), F.col("part") == F.col("p"))
-              .select(F.col("part").alias("p"), F.col("block").alias("b"), (F.col("part_start") + F.col("block_start")).alias("start")))
+             .select(F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("part_start")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,8 +279,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                      pa.array([ids[a:b].tobytes() for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)],
                               pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    return (blocks.join(starts, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
-            .select("start", "image").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary"))
+    return (blocks.join(F.broadcast(parts), F.col("part") == F.col("of_part"))
+            .select((F.col("part_start") + F.col("before")).alias("start"), "image")
+            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary"))
 
 
 def new_store(spark: SparkSession) -> str:
