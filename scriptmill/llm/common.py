@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,6 +18,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What makes a document: its id and its text (by 128-bit hash).  Rows equal in both are one document."""
+    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("doc"), text).alias("b"))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared folder that ``spark.checkpoint.dir``
     names and read it back.

@@ -31,20 +31,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scriptmill.llm.common import WORD_RE, materialize, running_total
+from scriptmill.llm.common import WORD_RE, doc_key, materialize, running_total
 
 MIN_WORDS = 50
 
 
-def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """What makes a document: its id and its text (by hash)."""
-    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("doc"), text).alias("b"))
-
-
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``doc, pos, line`` (hash) and ``n_words`` of every line that occurs more than once."""
     lines = (docs.filter("text is not null")

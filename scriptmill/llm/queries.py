@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import chat_format, line_dedup, quality, sharding, simhash_gray, token_files, toxicity
+from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, token_files, toxicity
 from scriptmill.llm.common import materialize, read_table
 
 
@@ -30,6 +30,11 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "n_matched", "n_windows", "coverage", "reparameterised")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     cut = F.aggregate("__runs", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_knn_toxicity": op2_knn_toxicity,
     "op3_minimax_shards": op3_minimax_shards,
+    "op4_template_decontamination": op4_template_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_crf": op6_quality_crf,
     "op9_simhash_gray": op9_simhash_gray,
