@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, token_files, toxicity
+from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, spm_wfst, token_files, toxicity
 from scriptmill.llm.common import materialize, read_table
 
 
@@ -48,6 +48,16 @@ def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "content_share")
 
 
+def op7_sentencepiece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = spm_wfst.decode(spm_wfst.encode(docs, model), model)
+    return out.select("doc_id", (F.length("__ids") / 4).cast("long").alias("n_ids"), F.crc32("__ids").alias("ids_crc32"),
+                      F.crc32(F.col("__decoded").cast("binary")).alias("decoded_crc32"),
+                      # the normaliser's only change that decoding cannot undo: a mark in the text reads as a space
+                      (F.col("__decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(spm_wfst.MARK), F.lit(" "))).alias("round_trip"))
+
+
 def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_gray.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash_gray.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -68,6 +78,7 @@ QUERIES = {
     "op4_template_decontamination": op4_template_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_crf": op6_quality_crf,
+    "op7_sentencepiece_wfst": op7_sentencepiece_wfst,
     "op9_simhash_gray": op9_simhash_gray,
     "op10_token_files": op10_token_files,
 }
