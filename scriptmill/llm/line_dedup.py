@@ -48,7 +48,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
                      F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit("line"), "text").alias("b")).alias("line"),
                      F.regexp_count("text", F.lit(WORD_RE)).alias("n_words")))
     lines = materialize(lines, "lines")
-    often = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
+    # written, so that the join below has a shuffle of its own whose hot lines can be split
+    often = materialize(lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line"), "often")
     return materialize(lines.join(often, "line").dropDuplicates(["doc", "pos"]), "lines")
 
 
@@ -103,8 +104,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         .join(head, ["level", "doc", "start"]).join(tail, ["level", "doc", "tail_at"])
                         .select("doc", "start", "stop", "m", "head", "tail"), "named")
     place = F.struct("doc", "start")
-    interval = (named.groupBy("m", "head", "tail").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                .filter("n > 1"))
+    interval = materialize(named.groupBy("m", "head", "tail").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                           .filter("n > 1"), "intervals")
     later = named.join(interval, ["m", "head", "tail"]).filter(place > F.col("first")).select("doc", "start", "stop")
     # overlapping and touching runs grow together into maximal ones
     by_start = Window.partitionBy("doc").orderBy("start", "stop")
@@ -120,6 +121,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = materialize(repeated_runs(docs, min_words), "repeats").select(F.col("doc").alias("__doc"), F.col("runs").alias("__runs"))
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.exists(
         "__runs", lambda r: (i >= r["start"]) & (i < r["stop"])))
-    return (docs.withColumn("__key", doc_key()).join(runs, F.col("__key") == F.col("__doc"), "left")
+    # the runs grow with the documents: merged at every size, never broadcast
+    return (docs.withColumn("__key", doc_key()).join(runs.hint("merge"), F.col("__key") == F.col("__doc"), "left")
             .withColumn("text", F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
             .drop("__key", "__doc"))
