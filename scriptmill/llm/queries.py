@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, spm_wfst, token_files, toxicity
+from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, spm_wfst, surrogates, token_files, toxicity
 from scriptmill.llm.common import materialize, read_table
 
 
@@ -58,6 +58,11 @@ def op7_sentencepiece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("__decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(spm_wfst.MARK), F.lit(" "))).alias("round_trip"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = surrogates.replace_entities(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.col("__n_entities").alias("n_entities"))
+
+
 def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_gray.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash_gray.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -79,6 +84,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_crf": op6_quality_crf,
     "op7_sentencepiece_wfst": op7_sentencepiece_wfst,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_simhash_gray": op9_simhash_gray,
     "op10_token_files": op10_token_files,
 }
