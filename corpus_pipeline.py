@@ -13,7 +13,7 @@ from scriptmill.llm.common import materialize, read_table
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
-    ("line_dedup", stages.line_dedup),
+    ("line_dedup", stages.line_dedup_stage),
     ("simhash_near_dedup", stages.simhash_near_dedup),
     ("benchmark_decontamination", stages.benchmark_decontamination),
     ("sentencepiece", stages.sentencepiece),

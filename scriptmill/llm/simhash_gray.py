@@ -66,13 +66,13 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(bits.view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row."""
+def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row, and the columns to ``carry``."""
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle_words) for t in texts], dtype="<u8").view("<i8"))
 
-    return docs.select("doc_id", fp(F.coalesce("text", F.lit(""))).alias("fp"))
+    return docs.select("doc_id", fp(F.coalesce("text", F.lit(""))).alias("fp"), *carry)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -243,11 +243,12 @@ def _link_groups(batches: Iterator[pd.DataFrame], max_bits: int) -> Iterator[pd.
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row per input row: ``doc_id``, ``fp``, ``component_id`` (smallest
-    doc_id reachable over links of at most ``max_bits`` differing bits)."""
+                    group_limit: int = GROUP_LIMIT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``doc_id``, ``fp``, ``group`` (a fingerprint that
+    names the component of links of at most ``max_bits`` differing bits),
+    ``component_id`` (its smallest doc_id), and the columns to ``carry``."""
     spark = docs.sparkSession
-    prints = materialize(with_fingerprints(docs, shingle_words), "simhash")
+    prints = materialize(with_fingerprints(docs, shingle_words, carry), "simhash")
     # exact copies meet before anything else: one row per fingerprint with its smallest doc_id
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
     keyed = band_keys(fps.select("fp"), max_bits, group_limit)
@@ -257,8 +258,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     groups = fps.join(labels, fps["fp"] == labels["node"], "left").select(
         fps["fp"], "first_doc", F.coalesce("root", fps["fp"]).alias("group"))
     best = groups.groupBy("group").agg(F.min("first_doc").alias("component_id"))
-    of_fp = groups.join(best, "group", "left").select(F.col("fp").alias("fp2"), "component_id")
-    return (prints.join(of_fp, prints["fp"].eqNullSafe(of_fp["fp2"])).select("doc_id", "fp", "component_id"))
+    of_fp = groups.join(best, "group", "left").select(F.col("fp").alias("fp2"), "group", "component_id")
+    return (prints.join(of_fp, prints["fp"].eqNullSafe(of_fp["fp2"]))
+            .select("doc_id", "fp", "group", "component_id", *carry))
 
 
 def fingerprint_hex(col: str = "fp"):

@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
@@ -275,3 +275,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         return pd.Series([t.decode(np.frombuffer(x, "<u4").tolist()) for x in ids], dtype=object)
 
     return encoded.withColumn("__decoded", run("__ids"))
+
+
+def round_trip() -> Column:
+    """Whether ``__decoded`` is the text.  The one change of the normaliser that
+    decoding cannot undo is a mark in the text, which reads as a space."""
+    return F.col("__decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(" "))
