@@ -140,12 +140,12 @@ def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFr
     from the raw text (braces inside comments then count).  A file below the
     directories of two categories yields its blocks once per category.
     """
-    from .categories import file_categories
+    from .categories import directory_categories
 
-    cats = file_categories(scripts.select("path"))
-    src = scripts.select("path", "text").join(cats.select("path").distinct(), "path", "left_semi")
+    # files outside the map skip the block work; the categories depend on the path alone,
+    # so they are looked up again behind the blocks instead of joined
+    src = scripts.select("path", "text").where(F.size(directory_categories("path")) > 0)
     texts = src if keep_comments else src.select("path", strip_comments("text").alias("text"))
-    blocks = extract_blocks(texts)
-    return (blocks.join(cats, "path")
-                  .select("name", "category", F.col("path").alias("source_file"), "code",
-                          "comment_header", "lines", "ln", "cat_ord"))
+    return (extract_blocks(texts).select("*", F.explode(directory_categories("path")).alias("c"))
+            .select("name", F.col("c.category").alias("category"), F.col("path").alias("source_file"), "code",
+                    "comment_header", "lines", "ln", F.col("c.cat_ord").alias("cat_ord")))

@@ -2,13 +2,13 @@
 
 The category map is 133 fixed directory entries.  The prefix rule is a single
 ``CASE`` projection (first match in map order, inside whole-stage codegen);
-the directory rule is an equi-join of each file's directory prefixes with the
-fixed table, broadcast because its size is fixed by the map.
+the directory rule looks each file's few directory prefixes up in a literal map.
+Neither needs a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed import CATEGORY_DIRS
@@ -29,11 +29,6 @@ def category_by_prefix(path, category_dirs=CATEGORY_DIRS) -> Column:
     return out.otherwise(F.lit("other"))
 
 
-def dir_table(spark, category_dirs=CATEGORY_DIRS) -> DataFrame:
-    """The category directories as a table ``dir, cat_ord, category`` (133 rows)."""
-    return spark.createDataFrame([(d, o, c) for o, c, d in category_dirs], "dir string, cat_ord int, category string")
-
-
 def dir_prefixes(path) -> Column:
     """Every directory above a file: ``a/b/c.txt`` -> ``[a, a/b]``."""
     parts = F.split(col_of(path), "/")
@@ -41,14 +36,13 @@ def dir_prefixes(path) -> Column:
                        lambda i: F.array_join(F.slice(parts, 1, i), "/"))
 
 
-def file_categories(files: DataFrame, path: str = "path", category_dirs=CATEGORY_DIRS) -> DataFrame:
-    """``path, cat_ord, category`` for every category directory above a file.
-
-    An equi-join of each file's few directory prefixes with the fixed
-    133-row directory table (broadcast: its size is fixed by the map), so the
-    cost per file is a handful of hash probes instead of 133 prefix tests.
-    """
-    dirs = F.broadcast(dir_table(files.sparkSession, category_dirs))
-    pre = files.select(F.col(path).alias("_p")) \
-               .select("_p", F.explode(dir_prefixes("_p")).alias("dir"))
-    return pre.join(dirs, "dir").select(F.col("_p").alias("path"), "cat_ord", "category")
+def directory_categories(path, category_dirs=CATEGORY_DIRS) -> Column:
+    """``array<struct<cat_ord, category>>`` of every category directory above a
+    file, in map order: a lookup of each directory prefix in a literal map."""
+    of_dir: dict[str, list[tuple[int, str]]] = {}
+    for o, c, d in category_dirs:
+        of_dir.setdefault(d, []).append((o, c))
+    cell = lambda o, c: F.struct(F.lit(o).alias("cat_ord"), F.lit(c).alias("category"))
+    table = F.create_map(*[x for d, cats in of_dir.items() for x in (F.lit(d), F.array(*[cell(o, c) for o, c in cats]))])
+    found = F.filter(F.transform(dir_prefixes(path), lambda d: F.element_at(table, d)), lambda x: x.isNotNull())
+    return F.array_sort(F.flatten(found))

@@ -5,8 +5,8 @@ per row.  Expansion is a generator, not a join: each combination is an
 ordinal ``i`` in ``[0, total)``, and key ``k`` (keys sorted, last key
 fastest) takes position ``(i div stride_k) mod len_k`` of its list, where
 ``stride_k`` is the product of the later lists' lengths.  No cross join is
-formed; grids expand in parallel, one grid row within the task that holds it
-(a grid is a sweep plan: its size is the product of a few short lists).
+formed; ordinals are made in chunks that are dealt over the tasks, so one grid
+of any size expands in parallel.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from ..fixed import TIME_BUDGET, TRAIN_DEFAULTS
 from ..functions.text import col_of
 
 GRID_TYPE = "map<string,array<string>>"
+#: ordinals expanded from one row at a time
+CHUNK = 1 << 16
 
 
 def parse_grid(grid_json) -> Column:
@@ -42,10 +44,19 @@ def expand_grid(df: DataFrame, grid: str = "grid", max_experiments: int = 0) ->
         "_len", lambda _, j: F.aggregate(F.slice("_len", j + 2, F.size("_len")), F.lit(1).cast("long"),
                                          lambda acc, x: acc * x)))
     n = F.col("_total") if max_experiments <= 0 else F.least(F.col("_total"), F.lit(max_experiments).cast("long"))
-    d = d.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).where(n > 0)
+    # chunks of ordinals first, dealt over tasks, then the ordinals of each chunk: a grid of any
+    # size is spread, and no row holds more than a chunk's numbers
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    d = d.withColumn("_n", n).where("_n > 0").withColumn("_chunk", F.explode(F.sequence(zero, F.expr(f"(_n - 1) div {CHUNK}"))))
+    # a stated number: chunks are small rows that adaptive execution would put back together
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.repartition(tasks, F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")], "_chunk"))
+    start = F.col("_chunk") * CHUNK
+    d = d.withColumn("_i", F.explode(F.sequence(start, F.least(start + CHUNK, F.col("_n")) - one)))
+    # i div stride, in integers: exact beyond 2^53
     combo = F.transform("_e", lambda e, j: F.struct(
         e["key"].alias("key"),
-        F.element_at(e["value"], (F.pmod(F.floor(F.col("_i") / F.element_at("_stride", j + 1)),
+        F.element_at(e["value"], (F.pmod(F.call_function("div", F.col("_i"), F.element_at("_stride", j + 1)),
                                          F.element_at("_len", j + 1)) + 1).cast("int")).alias("value")))
     keep = [c for c in df.columns]
     return d.select(*keep, (F.col("_i") + 1).alias("ordinal"), combo.alias("combo"))
@@ -59,7 +70,7 @@ def combo_json(combo) -> Column:
 
 def estimate_minutes(total, budget_s: int = TIME_BUDGET) -> Column:
     """``total * budget // 60``."""
-    return F.floor(col_of(total) * F.lit(budget_s) / F.lit(60)).cast("long")
+    return F.call_function("div", col_of(total) * F.lit(budget_s), F.lit(60)).cast("long")
 
 
 def resolve_config(overrides, time_budget: int = TIME_BUDGET, defaults: dict = TRAIN_DEFAULTS) -> Column:

@@ -6,17 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import DESC_SUFFIXES, LOC_HEADER, LOC_INSTRUCTION, SYSTEM_LOCALIZATION
+from ..functions.hashing import keyed_hash
 from ..functions.text import DIGIT, DOT, WORD, WS, col_of, py_strip
 
 # A stripped line ``key:<digits> "value"``; the value runs to the last quote.
 LOC_RE = rf'^{WS}*({WORD}+):{DIGIT}*{WS}+"({DOT}+)"'
 
 
-def loc_lines(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """``path, ln, line`` of localization files (0-based line numbers)."""
-    return files.select(path, F.posexplode(F.split(text, "\n", -1)).alias("ln", "line"))
-
-
 def parse_loc(lines: DataFrame, line: str = "line") -> DataFrame:
     """Matching lines with their ``key`` and ``value``; others dropped."""
     return (lines.withColumn("key", F.regexp_extract(line, LOC_RE, 1))
@@ -62,19 +58,25 @@ def key_prefix(key) -> Column:
     return F.when(F.instr(k, "_") > 0, F.regexp_extract(k, r"^([\s\S]*)_", 1)).otherwise(k)
 
 
-def loc_pairs(loc: DataFrame, min_size: int = 2, max_size: int = 20) -> DataFrame:
-    """Instruction pairs for groups of keys sharing a prefix (2 to 20 keys).
+def loc_pairs(loc: DataFrame, min_size: int = 2, max_size: int | None = 20, oversize: str = "drop") -> DataFrame:
+    """Instruction pairs for groups of keys sharing a prefix.
+
+    ``max_size`` keys at most make a group (the original's 20; None: any
+    number).  Larger groups are dropped as the original does, or, with
+    ``oversize='split'``, dealt by a hash of the key into parts of about
+    ``max_size`` keys, so no key is lost.
 
     Group sizes are counted first (a partial aggregate, so a prefix holding a
-    third of all keys costs one counter), and only the entries of groups of
-    allowed size are gathered; no group larger than ``max_size`` is ever
-    collected.
+    third of all keys costs one counter) and joined back to the entries, whose
+    side of the join can be split; with a bound no larger group is gathered.
     """
     keyed = loc.select("key", "value", key_prefix("key").alias("prefix"))
-    sizes = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("_n")) \
-                 .where(F.col("_n").between(min_size, max_size))
-    entries = keyed.join(sizes.select("prefix"), "prefix", "left_semi")
-    grouped = entries.groupBy("prefix").agg(F.array_sort(F.collect_list(F.struct("key", "value"))).alias("kv"))
+    sizes = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_size)
+    if max_size is not None and oversize == "drop":
+        sizes = sizes.where(F.col("_n") <= max_size)
+    parts = F.ceil(F.col("_n") / max_size) if max_size is not None and oversize == "split" else F.lit(1)
+    entries = keyed.join(sizes, "prefix").withColumn("_part", F.pmod(keyed_hash("part", "key"), parts))
+    grouped = entries.groupBy("prefix", "_part").agg(F.array_sort(F.collect_list(F.struct("key", "value"))).alias("kv"))
     return grouped.select(
         F.lit(SYSTEM_LOCALIZATION).alias("system"),
         F.replace(F.lit(LOC_INSTRUCTION), F.lit("{prefix}"), F.col("prefix")).alias("instruction"),

@@ -1,4 +1,4 @@
-"""Seeded shuffle, exact train/validation split, SFT/CLM mix, chat text.
+"""Instruction union, seeded shuffle, exact train/validation split, SFT/CLM mix, chat text.
 
 Python's list shuffle depends on the row order it is handed; what we keep
 are its guarantees: exact sizes, determinism by seed, disjoint and complete
@@ -6,6 +6,11 @@ splits, sampling without replacement.  The order is a keyed hash of each
 record's unique key (ties by key), positions come from the bucketed global
 rank of :mod:`.ordered` (no single-task window).  Membership therefore
 differs from the original tool, sizes do not.
+
+One ranking per record set gives everything: the split is a cut at
+``floor(n * (1 - val_fraction))``, the CLM sample is the first positions of the
+shuffled training part (a uniform sample without replacement), the validation
+cap counts on from the cut.  All sizes are arithmetic on two counts.
 """
 
 from __future__ import annotations
@@ -13,28 +18,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import CHAT_FORMAT, CLM_VAL_CAP, SEED, SYSTEM_CHAT_DEFAULT, VAL_FRACTION
+from ..fixed import CHAT_FORMAT, SEED, SYSTEM_CHAT_DEFAULT, VAL_FRACTION
 from ..functions.hashing import keyed_hash
 from ..functions.text import col_of
 from .ordered import rank_by_hash
 
+RECORD_COLUMNS = ["key", "system", "instruction", "completion", "category", "source_file", "name"]
+
+
+def instruction_records(script_pairs: DataFrame | None = None, loc_pairs: DataFrame | None = None,
+                        engine: DataFrame | None = None, chats: DataFrame | None = None) -> DataFrame:
+    """The union of the instruction sources with a unique ``key`` per record.
+
+    Script pairs, localization pairs and engine reference are the original's
+    three; ``chats`` (``conv_id, turn, system, instruction, completion``) may be
+    added.  Sources that are None are skipped; no source at all is an error.
+    The key holds a digest of the pair, so records with one key are copies of
+    each other and may change places.
+    """
+    def keyed(df: DataFrame, kind: str, *cols: str) -> DataFrame:
+        whole = F.md5(F.concat_ws("|", "instruction", "completion"))
+        key = F.concat_ws("|", F.lit(kind), *[F.col(c).cast("string") for c in cols], whole)
+        return df.withColumn("key", key).select([c for c in RECORD_COLUMNS if c in (*df.columns, "key")])
+
+    found = []
+    if script_pairs is not None:
+        found.append(keyed(script_pairs, "script", "source_file", "name", "category"))
+    if loc_pairs is not None:
+        found.append(keyed(loc_pairs, "loc", "name"))
+    if engine is not None:
+        found.append(keyed(engine, "engine", "source_file", "name"))
+    if chats is not None:
+        found.append(keyed(chats, "chat", "conv_id", "turn"))
+    if not found:
+        raise ValueError("no instruction data: run the extraction first")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
 
 def shuffle_positions(df: DataFrame, key, seed=SEED, salt: str = "shuffle", out: str = "pos",
-                      bits: int = 16) -> DataFrame:
+                      bits: int = 16, total: str | None = None) -> DataFrame:
     """0-based position of each record in the seeded shuffle order."""
     d = df.withColumn("_key", col_of(key).cast("string")) \
           .withColumn("_h", keyed_hash(f"{seed}:{salt}", "_key"))
-    return rank_by_hash(d, "_h", ["_key"], out, bits).drop("_h", "_key")
+    return rank_by_hash(d, "_h", ["_key"], out, bits, total).drop("_h", "_key")
+
+
+def n_train(n, val_fraction: float = VAL_FRACTION) -> Column:
+    """``int(n * (1 - val_fraction))``."""
+    return F.floor(col_of(n) * F.lit(1.0 - val_fraction)).cast("long")
 
 
 def split_train_val(df: DataFrame, key, seed=SEED, val_fraction: float = VAL_FRACTION,
-                    bits: int = 16) -> DataFrame:
+                    bits: int = 16, total: str | None = None) -> DataFrame:
     """Adds ``pos`` (shuffle position) and ``split``: the first
-    ``int(n * (1 - val_fraction))`` positions are ``train``, the rest ``val``."""
-    p = shuffle_positions(df, key, seed, "shuffle", "pos", bits)
-    n = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    cut = F.floor(n * F.lit(1.0 - val_fraction))
-    return p.withColumn("split", F.when(F.col("pos") < cut, "train").otherwise("val"))
+    ``int(n * (1 - val_fraction))`` positions are ``train``, the rest ``val``;
+    ``total`` names a column for n."""
+    p = shuffle_positions(df, key, seed, "shuffle", "pos", bits, "_all")
+    p = p.withColumn("split", F.when(F.col("pos") < n_train("_all", val_fraction), "train").otherwise("val"))
+    return p.withColumnRenamed("_all", total) if total else p.drop("_all")
 
 
 def mix_size(n_sft_train, n_clm_train, ratio: float) -> Column:
@@ -46,14 +90,28 @@ def mix_size(n_sft_train, n_clm_train, ratio: float) -> Column:
     return F.least(F.floor(col_of(n_sft_train) * F.lit(ratio) / F.lit(1 - ratio)), col_of(n_clm_train)).cast("long")
 
 
-def sample_clm(clm_split: DataFrame, key, n_sft_train, ratio: float, seed=SEED, bits: int = 16) -> DataFrame:
-    """Exactly ``mix_size`` CLM training records, without replacement, seeded
-    (a second hash salt, so the sample is independent of the split order)."""
-    train = clm_split.where(F.col("split") == "train").drop("pos", "split")
-    n_clm = train.select(F.count(F.lit(1))).scalar()
-    n = mix_size(n_sft_train, n_clm, ratio)
-    ranked = shuffle_positions(train, key, seed, "sample", "sample_pos", bits)
-    return ranked.where(F.col("sample_pos") < n)
+def mix_datasets(sft: DataFrame, clm: DataFrame | None, ratio: float, sft_key: str = "key", clm_key: str = "doc_id",
+                 val_cap: int | None = None, seed=SEED, bits: int = 16) -> DataFrame:
+    """The training and validation records of a run: ``kind`` (sft or clm),
+    ``split``, ``pos``, ``key`` and the records' columns.
+
+    Training is all SFT training records plus ``mix_size`` CLM ones; validation
+    is all SFT validation records plus the CLM ones (the first ``val_cap`` in
+    shuffled order, None: all).  At ratio 0, or without CLM data, SFT only.
+    """
+    s = split_train_val(sft, sft_key, seed, bits=bits)
+    out = s.withColumn("key", col_of(sft_key).cast("string")).withColumn("kind", F.lit("sft"))
+    if clm is None or ratio <= 0:
+        return out
+    n_sft = n_train(sft.select(F.count(F.lit(1))).scalar())
+    c = split_train_val(clm, clm_key, seed, bits=bits, total="_all")
+    cut = n_train("_all")
+    taken = F.col("pos") < F.when(F.col("split") == "train", mix_size(n_sft, cut, ratio)).otherwise(
+        F.col("_all") if val_cap is None else cut + val_cap)
+    c = c.where(taken).withColumn("key", col_of(clm_key).cast("string")).withColumn("kind", F.lit("clm")).drop("_all")
+    if clm_key != "key":
+        c = c.drop(clm_key)
+    return out.unionByName(c, allowMissingColumns=True)
 
 
 def chat_text(system="system", instruction="instruction", completion="completion") -> Column:
@@ -75,10 +133,3 @@ def training_text(df: DataFrame, formatter=None) -> Column:
     if has_instr and has_text:
         return F.when(F.col("instruction").isNotNull(), chat).otherwise(F.col("text"))
     return chat if has_instr else F.col("text")
-
-
-def clm_validation(clm_split: DataFrame, cap: int = CLM_VAL_CAP) -> DataFrame:
-    """The first ``cap`` validation records in shuffled order."""
-    v = clm_split.where(F.col("split") == "val")
-    first_val = v.select(F.min("pos")).scalar()
-    return v.where(F.col("pos") < first_val + cap)

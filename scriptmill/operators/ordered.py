@@ -2,17 +2,11 @@
 
 A window without ``partitionBy`` runs in one task.  Logs, shuffles and splits
 need global positions, running maxima and lags over the whole table, so
-these helpers do the classic two-level scan instead:
-
-* rows are assigned to *buckets* that are monotone in the sort order and
-  bounded in size (a hash prefix, a ``seq`` range, or a range partition);
-* a tiny per-bucket summary (one row per bucket) is scanned in order;
-* the summary is joined back (its size is bounded by the bucket count) and
-  combined with a window partitioned by bucket.
-
-Each bucket holds at most ``width`` rows (``seq`` ranges) or ``2**-bits`` of
-uniformly hashed keys, so no task receives a hot group even when a third of
-the rows share a value.
+these helpers scan in levels instead: rows go to *buckets* that are monotone in
+the sort order and bounded in size (a hash prefix, a ``seq`` range, a value
+range), a summary with one row per bucket is scanned in order and joined back,
+and a window partitioned by bucket does the rest.  Nothing here runs a job when
+it is called: the plans are lazy.
 """
 
 from __future__ import annotations
@@ -26,6 +20,8 @@ from ..functions.hashing import hash_bucket
 from ..functions.text import col_of
 
 SEQ_BUCKET_WIDTH = 1 << 16
+#: buckets per group of the two-level scan: a group covers 2**32 positions
+SUPER = 1 << 16
 
 
 def seq_bucket(seq="seq", width: int = SEQ_BUCKET_WIDTH) -> Column:
@@ -34,15 +30,18 @@ def seq_bucket(seq="seq", width: int = SEQ_BUCKET_WIDTH) -> Column:
 
 
 def _bucket_offsets(df: DataFrame, bucket: str, out: str) -> DataFrame:
-    """Rows before each bucket: one row per bucket, prefix-summed in order."""
+    """Rows before each bucket and in all (``_total``): one row per bucket of a
+    bucketing whose number of buckets is bounded, prefix-summed in order."""
     counts = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(bucket, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias(out))
+    return counts.select(bucket, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias(out),
+                         F.sum("_n").over(Window.partitionBy()).alias("_total"))
 
 
 def rank_by_hash(df: DataFrame, h: str, tiebreak: Sequence[str], out: str = "pos",
-                 bits: int = 16) -> DataFrame:
-    """0-based position of each row in the order ``(h, *tiebreak)``.
+                 bits: int = 16, total: str | None = None) -> DataFrame:
+    """0-based position of each row in the order ``(h, *tiebreak)``, and the
+    number of rows as ``total`` if named.
 
     ``h`` is a uniformly distributed 32-bit hash of a unique key.  Buckets are
     its leading ``bits`` bits, so the per-bucket table has at most
@@ -53,77 +52,120 @@ def rank_by_hash(df: DataFrame, h: str, tiebreak: Sequence[str], out: str = "pos
     d = df.withColumn(b, hash_bucket(h, bits))
     offsets = _bucket_offsets(d, b, "_offset")
     w = Window.partitionBy(b).orderBy(h, *tiebreak)
-    return (d.join(F.broadcast(offsets), b)
-             .withColumn(out, F.col("_offset") + F.row_number().over(w) - 1)
-             .drop(b, "_offset"))
-
-
-def rank_by_seq(df: DataFrame, seq: str = "seq", out: str = "idx",
-                width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
-    """0-based position in ``seq`` order (``seq`` unique integers)."""
-    b = "_sbucket"
-    d = df.withColumn(b, seq_bucket(seq, width))
-    offsets = _bucket_offsets(d, b, "_offset")
-    w = Window.partitionBy(b).orderBy(seq)
-    return (d.join(offsets, b)
-             .withColumn(out, F.col("_offset") + F.row_number().over(w) - 1)
-             .drop(b, "_offset"))
+    out_df = (d.join(F.broadcast(offsets), b)
+               .withColumn(out, F.col("_offset") + F.row_number().over(w) - 1)
+               .drop(b, "_offset"))
+    return out_df.withColumnRenamed("_total", total) if total else out_df.drop("_total")
+
+
+def seq_scan(df: DataFrame, seq: str = "seq", width: int = SEQ_BUCKET_WIDTH, *, idx: str | None = None,
+             running_max: dict[str, tuple[Column, bool]] | None = None,
+             lag: dict[str, Column] | None = None, first: dict[str, Column] | None = None) -> DataFrame:
+    """Order-dependent columns of a log in one pass over its buckets.
+
+    ``idx`` names the 0-based position in ``seq`` order (``seq`` are unique
+    integers); ``running_max`` maps a name to (value, whether the row itself
+    counts), nulls ignored; ``lag`` maps a name to the value of the row before;
+    ``first`` maps a name to the value of the first row of all.
+
+    One aggregation makes a summary row per ``seq`` bucket.  The summaries are
+    scanned in two levels: inside groups of ``SUPER`` buckets by a window
+    partitioned by group, then over one row per group, so no window without a
+    partition key sees more than (rows / (width * SUPER)) rows.
+    """
+    running_max, lag, first = running_max or {}, lag or {}, first or {}
+    d = df.withColumn("_b", seq_bucket(seq, width))
+    for name, (value, _) in running_max.items():
+        d = d.withColumn(f"_m_{name}", value)
+    for name, value in lag.items():
+        d = d.withColumn(f"_l_{name}", value)
+    for name, value in first.items():
+        d = d.withColumn(f"_f_{name}", value)
+    cell = lambda c: F.struct(F.col(c).alias("v"))  # noqa: E731  keeps a null apart from no row
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.max(f"_m_{n}").alias(f"_m_{n}") for n in running_max]
+    aggs += [F.max_by(cell(f"_l_{n}"), seq).alias(f"_l_{n}") for n in lag]
+    aggs += [F.min_by(cell(f"_f_{n}"), seq).alias(f"_f_{n}") for n in first]
+    buckets = d.groupBy("_b").agg(*aggs).withColumn("_g", F.floor(F.col("_b") / SUPER))
+
+    def scanned(table: DataFrame, part: list[str], order: str, tag: str) -> DataFrame:
+        before = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        out = table.withColumn(f"_n{tag}", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        for n in running_max:
+            out = out.withColumn(f"_m_{n}{tag}", F.max(f"_m_{n}").over(before))
+        for n in lag:
+            out = out.withColumn(f"_l_{n}{tag}", F.last(f"_l_{n}", ignorenulls=True).over(before))
+        return out
+
+    inner = scanned(buckets, ["_g"], "_b", "1")
+    tops = buckets.groupBy("_g").agg(
+        F.sum("_n").alias("_n"), *[F.max(f"_m_{n}").alias(f"_m_{n}") for n in running_max],
+        *[F.max_by(f"_l_{n}", "_b").alias(f"_l_{n}") for n in lag],
+        *[F.min_by(f"_f_{n}", "_b").alias(f"_f_{n}") for n in first])
+    outer = scanned(tops, [], "_g", "2")
+    for n in first:
+        outer = outer.withColumn(f"_f_{n}2", F.first(f"_f_{n}").over(
+            Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)))
+    keep1 = ["_b", "_g", "_n1", *[f"_m_{n}1" for n in running_max], *[f"_l_{n}1" for n in lag]]
+    keep2 = ["_g", "_n2", *[f"_m_{n}2" for n in running_max], *[f"_l_{n}2" for n in lag], *[f"_f_{n}2" for n in first]]
+    out = d.join(inner.select(*keep1).join(outer.select(*keep2), "_g"), "_b")
+    w = Window.partitionBy("_b").orderBy(seq)
+    if idx:
+        out = out.withColumn(idx, F.col("_n2") + F.col("_n1") + F.row_number().over(w) - 1)
+    for n, (_, inclusive) in running_max.items():
+        frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        out = out.withColumn(n, F.greatest(F.col(f"_m_{n}2"), F.col(f"_m_{n}1"), F.max(f"_m_{n}").over(frame)))
+    for n in lag:
+        out = out.withColumn(n, F.when(F.row_number().over(w) == 1, F.coalesce(F.col(f"_l_{n}1"), F.col(f"_l_{n}2"))["v"])
+                             .otherwise(F.lag(f"_l_{n}", 1).over(w)))
+    for n in first:
+        out = out.withColumn(n, F.col(f"_f_{n}2")["v"])
+    names = [idx] if idx else []
+    return out.select(*df.columns, *names, *running_max, *lag, *first)
+
+
+def rank_by_seq(df: DataFrame, seq: str = "seq", out: str = "idx", width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
+    """0-based position in ``seq`` order."""
+    return seq_scan(df, seq, width, idx=out)
 
 
 def running_max_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "running_max",
                        inclusive: bool = True, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
-    """Running ``max(value)`` in ``seq`` order (nulls ignored, as SQL ``max``).
+    """Running ``max(value)`` in ``seq`` order; ``inclusive=False``: over the rows strictly before."""
+    return seq_scan(df, seq, width, running_max={out: (col_of(value), inclusive)})
 
-    ``inclusive=False`` gives the maximum over the rows strictly before.
-    """
-    b = "_sbucket"
-    v = "_v"
-    d = df.withColumn(b, seq_bucket(seq, width)).withColumn(v, col_of(value))
-    per_bucket = d.groupBy(b).agg(F.max(v).alias("_bmax"))
-    wb = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_bucket.select(b, F.max("_bmax").over(wb).alias("_prior"))
-    end = 0 if inclusive else -1
-    w = Window.partitionBy(b).orderBy(seq).rowsBetween(Window.unboundedPreceding, end)
-    return (d.join(prior, b)
-             .withColumn(out, F.greatest(F.col("_prior"), F.max(v).over(w)))
-             .drop(b, v, "_prior"))
-
-
-def lag_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "prev",
-               width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
+
+def lag_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "prev", width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
     """``lag(value, 1)`` in ``seq`` order across the whole table."""
-    b = "_sbucket"
-    v = "_v"
-    d = df.withColumn(b, seq_bucket(seq, width)).withColumn(v, col_of(value))
-    last = d.groupBy(b).agg(F.max_by(F.struct(F.lit(True).alias("x"), F.col(v).alias("v")), seq).alias("_last"))
-    wb = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    prior = last.select(b, F.last("_last", ignorenulls=True).over(wb).alias("_prior"))
-    w = Window.partitionBy(b).orderBy(seq)
-    return (d.join(prior, b)
-             .withColumn("_rn", F.row_number().over(w))
-             .withColumn(out, F.when(F.col("_rn") == 1, F.col("_prior.v")).otherwise(F.lag(v, 1).over(w)))
-             .drop(b, v, "_prior", "_rn"))
-
-
-def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
-    """1-based dense position in an arbitrary total order.
-
-    ``orderBy`` range-partitions on the full sort key (ties are split across
-    partitions because the key is total), then the sorted rows are
-    checkpointed together with their partition id and in-partition number,
-    which makes both stable; per-partition counts (one row per partition) are
-    prefix-summed and broadcast back.  ``order`` must end with a unique
-    column.
+    return seq_scan(df, seq, width, lag={out: col_of(value)})
+
+
+def global_rank(df: DataFrame, value: Column, seq: str = "seq", out: str = "rank", cuts: int = 256) -> DataFrame:
+    """1-based position by ``value`` falling (null last), ties by ``seq`` rising.
+
+    Lazy, with no table in between: buckets are value ranges between
+    approximate quantiles (at most ``cuts``, one row, found by one
+    aggregation), a value that fills a bucket by itself is split by ``seq``
+    ranges, the bucket counts are prefix-summed and joined back, and row
+    numbers come from a window inside each bucket.  Any cut points give the
+    same ranks: they only decide how even the buckets are.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    mid = F.monotonically_increasing_id()
-    sorted_df = (df.orderBy(*order)
-                   .withColumn("_pid", F.spark_partition_id())
-                   .withColumn("_local", mid - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    fixed = sorted_df.checkpoint(eager=True)
-    offsets = _bucket_offsets(fixed, "_pid", "_offset")
-    return (fixed.join(F.broadcast(offsets), "_pid")
-                 .withColumn(out, F.col("_offset") + F.col("_local") + 1)
-                 .drop("_pid", "_local", "_offset"))
+    probs = [i / cuts for i in range(1, cuts)]
+    # one row of at most 2 * cuts numbers, carried to every row
+    edges = df.agg(F.array_distinct(F.percentile_approx(value, probs, 10 * cuts)).alias("_e"),
+                   F.array_distinct(F.percentile_approx(seq, probs, 10 * cuts)).alias("_q"))
+    below = lambda edge, x: F.size(F.filter(edge, lambda e: e < x))
+    # a value that is itself an edge has a cell of its own per seq range
+    hot = F.coalesce(F.array_contains("_e", F.col("_v")), F.lit(False))
+    d = (df.withColumn("_v", value).join(F.broadcast(edges))
+         .withColumn("_r", F.when(F.col("_v").isNull(), F.lit(2 * cuts + 2)).otherwise(
+             2 * (F.lit(cuts) - below("_e", F.col("_v"))) - hot.cast("int")))
+         .withColumn("_s", F.when(hot | F.col("_v").isNull(), below("_q", F.col(seq))).otherwise(F.lit(0)))
+         .drop("_e", "_q"))
+    counts = d.groupBy("_r", "_s").agg(F.count(F.lit(1)).alias("_n"))  # at most (2 * cuts + 2) * cuts rows
+    w = Window.orderBy("_r", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_r", "_s", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_r", "_s").orderBy(F.col("_v").desc_nulls_last(), F.col(seq))
+    return (d.join(F.broadcast(offsets), ["_r", "_s"])
+             .withColumn(out, (F.col("_offset") + F.row_number().over(inside)).cast("long"))
+             .select(*df.columns, out))

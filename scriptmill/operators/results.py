@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import BASE_MODEL
 from ..functions.text import col_of, cut_with_ellipsis, py_strip
-from .ordered import SEQ_BUCKET_WIDTH, global_rank, lag_by_seq, rank_by_seq, running_max_by_seq
+from .grid import resolve_config
+from .ordered import SEQ_BUCKET_WIDTH, global_rank, rank_by_seq, running_max_by_seq, seq_scan
 
 KEEP, DISCARD, CRASH = "KEEP", "DISCARD", "CRASH"
 
@@ -52,28 +54,31 @@ def running_best(log: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
     """Kept rows after dropping crashes: 0-based index among valid rows, the
     running best of kept scores, and the baseline (first valid score)."""
     valid = log.where(F.col("status") != CRASH)
-    valid = rank_by_seq(valid, "seq", "idx", width)
-    baseline = valid.agg(F.min_by("val_score", "seq").alias("baseline"))
-    kept = valid.where(F.col("status") == KEEP)
-    kept = running_max_by_seq(kept, "val_score", "seq", "running_best", True, width)
-    # one value for the whole log: a scalar subquery, computed once
-    return kept.withColumn("baseline", baseline.scalar())
+    kept_score = F.when(F.col("status") == KEEP, F.col("val_score"))
+    return seq_scan(valid, "seq", width, idx="idx", running_max={"running_best": (kept_score, True)},
+                    first={"baseline": F.col("val_score")}).where(F.col("status") == KEEP)
+
+
+def gains(log: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
+    """Kept rows after the first, with ``delta`` over the previous kept score."""
+    kept = seq_scan(log.where(F.col("status") == KEEP), "seq", width, lag={"prev_score": F.col("val_score")},
+                    first={"_first": F.col("seq")})
+    return (kept.where(F.col("seq") > F.col("_first")).drop("_first")
+            .withColumn("delta", F.col("val_score") - F.col("prev_score")))
 
 
 def hits(log: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
-    """Kept rows after the first with ``delta`` over the previous kept score,
-    ranked by delta (largest first, ties in log order; null deltas last)."""
-    kept = log.where(F.col("status") == KEEP)
-    kept = lag_by_seq(kept, "val_score", "seq", "prev_score", width)
-    kept = rank_by_seq(kept, "seq", "_k", width).where(F.col("_k") > 0).drop("_k")
-    kept = kept.withColumn("delta", F.col("val_score") - F.col("prev_score"))
-    return global_rank(kept, [F.col("delta").desc_nulls_last(), F.col("seq")], "rank")
+    """The gains ranked by delta (largest first, ties in log order; null deltas last).
 
+    Ranking reads the gains three times (cut points, counts, ranks), so they are
+    kept after the first (recomputed if an executor is lost)."""
+    return global_rank(gains(log, width).persist(), F.col("delta"), "seq", "rank")
 
-def total_gain(hit_rows: DataFrame) -> DataFrame:
-    """Sum of deltas, summed exactly in fixed point (6 decimals)."""
-    return hit_rows.agg(F.sum(F.col("delta").cast("decimal(20,6)")).cast("double").alias("total_gain"),
-                        F.count(F.lit(1)).alias("n_hits"))
+
+def total_gain(gain_rows: DataFrame) -> DataFrame:
+    """Sum of deltas, summed exactly in fixed point (6 decimals); needs no ranks."""
+    return gain_rows.agg(F.sum(F.col("delta").cast("decimal(20,6)")).cast("double").alias("total_gain"),
+                         F.count(F.lit(1)).alias("n_hits"))
 
 
 def summary(log: DataFrame) -> DataFrame:
@@ -98,6 +103,27 @@ def frontier_labels(log: DataFrame) -> DataFrame:
     return valid.select("seq", cut_with_ellipsis(py_strip("description"), 42, 45).alias("label"))
 
 
+def run_metrics(results: DataFrame, overrides, extra: dict[str, Column] | None = None, model: str = BASE_MODEL) -> DataFrame:
+    """One flat metrics record per run: its resolved settings and scores.
+
+    ``overrides`` is a ``map<string,string>`` column of the run's settings
+    (known keys replace the defaults); ``extra`` gives what the results do not
+    hold, by name (``peak_vram_mb``, ``num_prompts``), null if absent.
+    """
+    cfg = resolve_config(overrides)
+    g = lambda k: F.element_at(cfg, k)
+    extra = {"peak_vram_mb": F.lit(None).cast("double"), "num_prompts": F.lit(None).cast("int")} | (extra or {})
+    return results.select(
+        "seq", F.lit(model).alias("model"),
+        g("LORA_R").cast("int").alias("lora_r"), g("LORA_ALPHA").cast("int").alias("lora_alpha"),
+        g("LEARNING_RATE").cast("double").alias("learning_rate"),
+        (g("BATCH_SIZE").cast("int") * g("GRADIENT_ACCUMULATION").cast("int")).alias("batch_size"),
+        g("NUM_EPOCHS").cast("int").alias("epochs"), g("CLM_MIX_RATIO").cast("double").alias("clm_mix"),
+        F.round("elapsed_s", 1).alias("training_time_s"),
+        F.col("val_score"), F.col("syntax").alias("syntax_score"), F.col("keyword").alias("keyword_score"),
+        F.col("structure").alias("structure_score"), *[c.alias(n) for n, c in extra.items()])
+
+
 # ---- sweep results (timestamp, val_score, syntax, keyword, structure, status, elapsed_s, config) ----
 
 def typed_results(results: DataFrame) -> DataFrame:
@@ -131,12 +157,6 @@ def compact_json(c) -> Column:
     return F.regexp_replace(col_of(c), r'("(?:[^"\\]|\\.)*")|[ \t\n\r]+', "$1")
 
 
-def result_line(formatted: DataFrame) -> Column:
-    return F.concat_ws("\t", *[F.col(c) for c in
-                               ["timestamp", "val_score", "syntax", "keyword", "structure", "status",
-                                "elapsed_s", "config"]])
-
-
 def sorted_results(results: DataFrame, sort_by: str = "val_score", limit: int = 50) -> DataFrame:
     """A page of results sorted by a column, largest first (unknown name ->
     ``val_score``); ``limit <= 0`` returns all rows.  Ties keep file order."""
@@ -180,7 +200,7 @@ def new_best_flags(results: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFra
 
 def ranking(results: DataFrame, config: str = "config") -> DataFrame:
     """Runs by score, largest first and stable, numbered from 1; config cut to 37 + '...'."""
-    r = global_rank(results, [F.coalesce(F.col("val_score"), F.lit(0.0)).desc(), F.col("seq")], "rank")
+    r = global_rank(results, F.coalesce(F.col("val_score"), F.lit(0.0)), "seq", "rank")
     return r.select("rank", "seq", "val_score", cut_with_ellipsis(config, 37, 40).alias("config_short"))
 
 

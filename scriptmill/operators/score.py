@@ -20,7 +20,7 @@ SCOPE_RE = "(" + "|".join(SCOPE_WORDS) + ")"
 
 def eval_prompts(spark: SparkSession) -> DataFrame:
     """The fixed benchmark: ``ord, prompt_id, category, checks, instruction``."""
-    rows = [(i, pid, cat, checks, instr) for i, (pid, cat, checks, instr) in enumerate(EVAL_PROMPTS)]
+    rows = [(i, p["id"], p["category"], p["checks"], p["instruction"]) for i, p in enumerate(EVAL_PROMPTS)]
     return spark.createDataFrame(
         rows, "ord int, prompt_id string, category string, checks array<string>, instruction string")
 

@@ -1,20 +1,18 @@
 """DuckDB SQL oracles for the driver queries.
 
 Each string runs on the driver's pre-registered tables.  The operators are
-written the plain SQL way where that differs from the Spark plan (a
-recursive line walker for blocks, a four-way suffix lookup for descriptions,
-a global ``row_number`` for shuffles), so the two sides share inputs and
-rules but not designs.
+written the plain SQL way: a character machine for comments, a recursive line
+walker for blocks, line numbers for log entries, string positions for
+localization lines, a four-way suffix lookup for descriptions, one global
+``row_number`` for shuffles.  Inputs and fixed values are shared with the Spark
+side, patterns and designs are not.
 """
 
 from __future__ import annotations
 
-from ..fixed import (CATEGORY_DIRS, DATA_TYPE_QUESTION, DEFAULT_TEMPLATES, INSTRUCTION_TEMPLATES,
-                     LOG_QUESTIONS, SKIP_DIRS, SYSTEM_CHAT_DEFAULT, SYSTEM_ENGINE, SYSTEM_LOCALIZATION,
-                     SYSTEM_SCRIPT, TRAIN_DEFAULTS)
-from ..functions.text import DIGIT, DOT, WORD, WS, WSL
-from ..operators.blocks import COMMENT_RE, OPENER_RE
-from ..operators.score import BLOCK_RE, SCOPE_RE
+from ..fixed import (BASE_MODEL, CATEGORY_DIRS, DATA_TYPE_QUESTION, DEFAULT_TEMPLATES, EVAL_PROMPTS,
+                     INSTRUCTION_TEMPLATES, LOG_QUESTIONS, SKIP_DIRS, SYSTEM_CHAT_DEFAULT, SYSTEM_ENGINE,
+                     SYSTEM_LOCALIZATION, SYSTEM_SCRIPT, TRAIN_DEFAULTS)
 from .views import duckdb_with
 
 NL = "chr(10)"
@@ -24,8 +22,15 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+#: the code points Python's str.strip() takes for white space
+SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+SPACE_CHARS = "(" + " || ".join(f"chr({c})" for c in SPACES) + ")"
+SPACE = "[" + "".join(rf"\x{{{c:x}}}" for c in SPACES) + "]"
+WORD_CHAR = r"[\pL\pN_]"
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(f'^{WS}+|{WS}+' + chr(92) + 'z')}, '', 'g')"
+    return f"trim({x}, {SPACE_CHARS})"
 
 
 def nchar(x: str, ch: str) -> str:
@@ -53,7 +58,7 @@ RAW = f"""raw AS (
          cast({nchar('text', chr(10))} + 1 as bigint) as lines
   from v_scripts
   where not list_has_any(list_filter(string_split(path, '/'), lambda x: x <> ''), {SKIP_LIST})
-    and not regexp_matches(text, {q(f'^{WS}*' + chr(92) + 'z')}))
+    and {strip('text')} <> '')
 """
 
 ORACLE["corpus_raw"] = duckdb_with(["v_scripts"]) + ", " + RAW + "select * from raw"
@@ -61,8 +66,23 @@ ORACLE["corpus_raw"] = duckdb_with(["v_scripts"]) + ", " + RAW + "select * from
 ORACLE["corpus_clm"] = duckdb_with(["v_scripts"]) + ", " + RAW + \
     f"select '# File: ' || path || {NL} || '# Category: ' || category || {NL} || {NL} || text as text from raw"
 
-ORACLE["strip_comments"] = duckdb_with(["v_scripts"]) + \
-    f"select path, regexp_replace(text, {q(COMMENT_RE)}, '\\1', 'g') as text from v_scripts"
+def uncomment(x: str) -> str:
+    """One character after the other: o what is left so far, s inside a string, c inside a comment."""
+    start = "{'o': '', 's': false, 'c': false}"
+    chars = f"list_transform(string_split({x}, ''), lambda ch: {{'o': ch, 's': false, 'c': false}})"
+    step = (f"{{'o': a.o || case when (a.c and b.o <> {NL}) or (not a.s and not a.c and b.o = '#') then '' else b.o end, "
+            "'s': case when not a.c and b.o = '\"' then not a.s else a.s end, "
+            f"'c': case when a.c then b.o <> {NL} else not a.s and b.o = '#' end}}")
+    return f"struct_extract(list_reduce(list_prepend({start}, {chars}), lambda a, b: {step}), 'o')"
+
+
+ORACLE["strip_comments"] = duckdb_with(["v_scripts"]) + f"select path, {uncomment('text')} as text from v_scripts"
+
+
+#: the name before an opening: what stands before the first '=', if it is a name and '{' follows
+OPENER = (f"case when strpos(line, '=') > 0 and starts_with({strip("substr(line, strpos(line, '=') + 1)")}, '{{') "
+          f"and regexp_full_match({strip("split_part(line, '=', 1)")}, {q(WORD_CHAR + r'[\pL\pN_.]*')}) "
+          f"then {strip("split_part(line, '=', 1)")} else '' end")
 
 
 def blocks_sql(src: str) -> str:
@@ -71,7 +91,7 @@ def blocks_sql(src: str) -> str:
     return f"""
 lines AS (
   select path, ln, line, {nchar('line', '{')} - {nchar('line', '}')} as d,
-         regexp_extract(line, {q(OPENER_RE)}, 1) as name,
+         {OPENER} as name,
          starts_with({strip('line')}, '#') as is_c
   from (select path, unnest(range(len(arr))) as ln, unnest(arr) as line
         from (select path, string_split(text, {NL}) as arr from {src}))
@@ -108,7 +128,7 @@ blocks_h AS (select b.path, b.ln, b.name, b.code, h.comment_header, b.lines from
 """
 
 
-STRIPPED = f"stripped AS (select path, regexp_replace(text, {q(COMMENT_RE)}, '\\1', 'g') as text from v_scripts),"
+STRIPPED = f"stripped AS (select path, {uncomment('text')} as text from v_scripts),"
 ORACLE["blocks_top"] = duckdb_with(["v_scripts"], recursive=True) + ", " + STRIPPED + blocks_sql("stripped") + \
     "select path, ln, name, code, comment_header, lines from blocks_h"
 ORACLE["blocks_headers"] = duckdb_with(["v_scripts"], recursive=True) + ", " + blocks_sql("v_scripts") + \
@@ -126,20 +146,25 @@ ORACLE["blocks_structured"] = duckdb_with(["v_scripts"], recursive=True) + ", "
 ORACLE["category_counts"] = duckdb_with(["v_scripts"], recursive=True) + ", " + STRUCT + \
     "select category, count(*) as n from sblocks group by category order by n desc, category"
 
-LOC_RE = rf'^{WS}*({WORD}+):{DIGIT}*{WS}+"({DOT}+)"'
-
-
-def loc_sql(view: str) -> str:
+def loc_sql(view: str, tag: str = "") -> str:
+    """Localization lines by string positions: the key before the first colon, digits and
+    white space up to the first quote behind it, the value up to the line's last quote."""
     return f"""
-loc_e AS (select path, ln, regexp_extract(line, {q(LOC_RE)}, 1) as key, regexp_extract(line, {q(LOC_RE)}, 2) as value
-          from {view} where regexp_extract(line, {q(LOC_RE)}, 1) <> ''),
-loc_l AS (select key, value from (select key, value, row_number() over (partition by key order by path desc, ln desc) as r
-          from loc_e) where r = 1)
+loc_s{tag} AS (select path, ln, {strip('line')} as s from {view}),
+loc_p{tag} AS (select path, ln, s, split_part(s, ':', 1) as key, substr(s, strpos(s, ':') + 1) as rest from loc_s{tag} where strpos(s, ':') > 0),
+loc_q{tag} AS (select path, ln, key, split_part(rest, '"', 1) as gap, substr(rest, strpos(rest, '"') + 1) as tail
+               from loc_p{tag} where strpos(rest, '"') > 0),
+loc_e{tag} AS (select path, ln, key, left(tail, length(tail) - strpos(reverse(tail), '"')) as value from loc_q{tag}
+               where regexp_full_match(key, {q(WORD_CHAR + '+')}) and strpos(tail, '"') > 0
+                 and length(rtrim(gap, {SPACE_CHARS})) < length(gap)
+                 and regexp_full_match(rtrim(gap, {SPACE_CHARS}), {q(r'\p{Nd}*')}) and length(left(tail, length(tail) - strpos(reverse(tail), '"'))) > 0),
+loc_l{tag} AS (select key, value from (select key, value, row_number() over (partition by key order by path desc, ln desc) as r
+          from loc_e{tag}) where r = 1)
 """
 
 
 def clean(x: str) -> str:
-    v = f"regexp_replace({x}, {q(f'#{WORD}{WS}*')}, '', 'g')"
+    v = f"regexp_replace({x}, {q(f'#{WORD_CHAR}{SPACE}*')}, '', 'g')"
     v = f"regexp_replace({v}, {q(chr(92) + '[[^' + chr(92) + 'n]*?' + chr(92) + ']')}, '', 'g')"
     return strip(v)
 
@@ -164,7 +189,7 @@ TEMPLATES_VALUES = "(values " + ", ".join(
     ") tv(category, idx, template)"
 DEFAULTS_VALUES = "(values " + ", ".join(f"({i}, {q(t)})" for i, t in enumerate(DEFAULT_TEMPLATES)) + ") dv(idx, template)"
 
-ORACLE["pairs_sft"] = duckdb_with(["v_scripts", "v_loc"], recursive=True) + ", " + STRUCT + "," + loc_sql("v_loc") + "," + DESC + f""",
+SCRIPT_PAIRS = STRUCT + "," + loc_sql("v_loc") + "," + DESC + f""",
 tcount AS (select category, count(*) as n from {TEMPLATES_VALUES} group by category),
 pb AS (select b.*, coalesce(d.d, 'is a ' || b.category || ' definition') as loc_desc,
          {khash('42', "b.source_file || '|' || cast(b.ln as varchar) || '|' || b.category")} as h,
@@ -173,26 +198,43 @@ pb AS (select b.*, coalesce(d.d, 'is a ' || b.category || ' definition') as loc_
        left join tcount tc on tc.category = b.category where b.lines >= 3),
 pt AS (select pb.*, coalesce(tv.template, dv.template) as template from pb
        left join {TEMPLATES_VALUES} on tv.category = pb.category and tv.idx = pb.h % pb.n
-       left join {DEFAULTS_VALUES} on pb.n = {len(DEFAULT_TEMPLATES)} and tv.template is null and dv.idx = pb.h % pb.n)
-select {q(SYSTEM_SCRIPT)} as system,
+       left join {DEFAULTS_VALUES} on pb.n = {len(DEFAULT_TEMPLATES)} and tv.template is null and dv.idx = pb.h % pb.n),
+script_pairs AS (select {q(SYSTEM_SCRIPT)} as system,
   replace(replace(replace(template, '{{name}}', name), '{{category}}', category), '{{loc_desc}}', loc_desc) as instruction,
-  code as completion, category, source_file, name from pt"""
+  code as completion, category, source_file, name from pt)
+"""
+ORACLE["pairs_sft"] = duckdb_with(["v_scripts", "v_loc"], recursive=True) + ", " + SCRIPT_PAIRS + "select * from script_pairs"
 
 PREFIX = "case when instr(key, '_') > 0 then left(key, length(key) - strpos(reverse(key), '_')) else key end"
-ORACLE["pairs_loc"] = duckdb_with(["v_loc_groups"]) + ", " + loc_sql("v_loc_groups") + f""",
-kp AS (select key, value, {PREFIX} as prefix from loc_l),
-ok AS (select prefix from kp group by prefix having count(*) between 2 and 20)
-select {q(SYSTEM_LOCALIZATION)} as system, 'Write CK3 localization entries for ''' || prefix || '''' as instruction,
+
+
+def loc_pairs_sql(split: bool = False) -> str:
+    size = "n >= 2" if split else "n between 2 and 20"
+    part = f"{khash('part', 'key')} % cast(ceil(n / 20.0) as bigint)" if split else "0"
+    return f"""{loc_sql("v_loc_groups", "g")},
+kp AS (select key, value, {PREFIX} as prefix from loc_lg),
+sized AS (select *, count(*) over (partition by prefix) as n from kp),
+dealt AS (select *, {part} as part from sized where {size}),
+loc_pairs AS (select {q(SYSTEM_LOCALIZATION)} as system, 'Write CK3 localization entries for ' || chr(39) || prefix || chr(39) as instruction,
   'l_english:' || {NL} || string_agg('  ' || key || ':0 "' || value || '"', {NL} order by key, value) as completion,
   'localization' as category, prefix as name
-from kp where prefix in (select prefix from ok) group by prefix"""
+from dealt group by prefix, part)
+"""
+
+
+ORACLE["pairs_loc"] = duckdb_with(["v_loc_groups"]) + ", " + loc_pairs_sql() + "select * from loc_pairs"
+ORACLE["pairs_loc_split"] = duckdb_with(["v_loc_groups"]) + ", " + loc_pairs_sql(split=True) + "select * from loc_pairs"
+ORACLE["jsonl_round_trip"] = ORACLE["pairs_loc"]
 
 
 def entries_sql(view: str, dashes: int) -> str:
-    delim = rf"(?:^|\n){WSL}*-{{{dashes}}}[^\n]*"
-    return f"""(select file, unnest(range(1, len(arr) + 1)) as entry_no, unnest(arr) as entry from
-  (select file, list_filter(list_transform(regexp_split_to_array(text, {q(delim)}), lambda x: {strip('x')}), lambda x: x <> '') as arr
-   from {view}))"""
+    """Entries by line numbers: lines between delimiter lines, joined, stripped, empty ones dropped."""
+    return f"""(select file, row_number() over (partition by file order by part) as entry_no, entry from (
+  select file, part, {strip(f"string_agg(line, {NL} order by ln)")} as entry from (
+    select file, ln, line, cut, sum(cut) over (partition by file order by ln) as part from (
+      select file, ln, line, case when starts_with({strip('line')}, '{'-' * dashes}') then 1 else 0 end as cut from (
+        select file, unnest(range(len(arr))) as ln, unnest(arr) as line from (select file, string_split(text, {NL}) as arr from {view}))))
+  where cut = 0 group by file, part) where entry <> '')"""
 
 
 def first_line(x: str) -> str:
@@ -209,9 +251,8 @@ ORACLE["datatype_entries"] = duckdb_with(["v_types"]) + \
 
 
 def count_sql(view: str, dashes: int, kind: str) -> str:
-    delim = rf"(?:^|\n){WSL}*-{{{dashes}}}[^\n]*"
-    return (f"select {q(kind)} as kind, file, cast(len(list_filter(list_transform(regexp_split_to_array(text, {q(delim)}), "
-            f"lambda x: {strip('x')}), lambda x: x <> '')) as bigint) as n_entries from {view}")
+    return (f"select {q(kind)} as kind, v.file, cast(count(e.entry) as bigint) as n_entries from {view} v "
+            f"left join {entries_sql(view, dashes)} e on e.file = v.file group by v.file")
 
 
 ORACLE["engine_counts"] = duckdb_with(["v_logs", "v_types"]) + count_sql("v_logs", 4, "log") + \
@@ -219,18 +260,21 @@ ORACLE["engine_counts"] = duckdb_with(["v_logs", "v_types"]) + count_sql("v_logs
 
 QUESTION = "case " + " ".join(f"when contains(category, {q(n)}) then {q(t)}" for n, t in LOG_QUESTIONS[:-1]) + \
     f" else {q(LOG_QUESTIONS[-1][1])} end"
-ORACLE["pairs_engine"] = duckdb_with(["v_logs", "v_log_files", "v_types"]) + f"""
-, le AS (select e.file, f.category, e.entry, {LOG_NAME} as name
-         from {entries_sql('v_logs', 4)} e join v_log_files f using (file) where length(e.entry) >= 10),
-te AS (select file, entry, {TYPE_NAME} as name from {entries_sql('v_types', 5)} where length(entry) >= 10)
-select {q(SYSTEM_ENGINE)} as system, replace({QUESTION}, '{{name}}', name) as instruction, entry as completion,
+ENGINE_PAIRS = f"""
+le AS (select e.file, f.category, e.entry, {LOG_NAME} as name
+       from {entries_sql('v_logs', 4)} e join v_log_files f using (file) where length(e.entry) >= 10),
+te AS (select file, entry, {TYPE_NAME} as name from {entries_sql('v_types', 5)} where length(entry) >= 10),
+engine_pairs AS (select {q(SYSTEM_ENGINE)} as system, replace({QUESTION}, '{{name}}', name) as instruction, entry as completion,
   category, name, 'logs/' || file as source_file from le
 union all
 select {q(SYSTEM_ENGINE)}, replace({q(DATA_TYPE_QUESTION)}, '{{name}}', name), entry, 'data_type', name,
-  'logs/data_types/' || file from te"""
+  'logs/data_types/' || file from te)
+"""
+ORACLE["pairs_engine"] = duckdb_with(["v_logs", "v_log_files", "v_types"]) + ", " + ENGINE_PAIRS + "select * from engine_pairs"
 
 
-def scored_sql(how: str = "inner", max_ord: int | None = None) -> str:
+def scored_sql(how: str = "inner", max_ord: int | None = None, outputs: str = "v_outputs", prompts: str = "v_prompts",
+               run: str = "run_id") -> str:
     pf = f"where ord < {max_ord}" if max_ord is not None else ""
     t = "o.text"
     found = "len(list_filter(p.checks, lambda c: contains(o.text, c)))"
@@ -242,18 +286,19 @@ def scored_sql(how: str = "inner", max_ord: int | None = None) -> str:
             f"then {one} else {zero} end)")
     syn = f"(({bal} * {half} + {asg} * {half}) * ({one} - {code} * {half}))"
     kw = f"({found}::DOUBLE / greatest({total}, 1))"
-    st = (f"((case when regexp_matches({t}, {q(BLOCK_RE)}) then {half} else {zero} end) + "
-          f"(case when regexp_matches({t}, {q(SCOPE_RE)}) then {half} else {zero} end))")
+    scope = "(" + " or ".join(f"contains({t}, '{w}')" for w in ("root", "scope:", "this", "prev", "trigger", "effect", "limit")) + ")"
+    st = (f"((case when regexp_matches({t}, {q(WORD_CHAR + SPACE + '*=' + SPACE + '*[{]')}) then {half} else {zero} end) + "
+          f"(case when {scope} then {half} else {zero} end))")
     tot = f"({syn} * 0.4::DOUBLE + {kw} * 0.3::DOUBLE + {st} * 0.3::DOUBLE)"
     m = "p.ord is not null"
     w = (lambda e: f"case when {m} then {e} end") if how != "inner" else (lambda e: e)
     return f"""scored AS (
-  select o.run_id, o.prompt_id, p.ord,
+  select o.{run}, o.prompt_id, p.ord,
     {w(f'round({syn}, 4)')} as syntax_score, {w(f'round({kw}, 4)')} as keyword_score,
     {w(f'round({st}, 4)')} as structure_score, {w(f'round({tot}, 4)')} as total_score,
     {w(f"{nchar(t, '{')} = {nchar(t, '}')}")} as brace_balanced,
     {w(f'cast({found} as int)')} as keywords_found, {w(f'cast({total} as int)')} as keywords_total
-  from v_outputs o {'join' if how == 'inner' else 'left join'} (select * from v_prompts {pf}) p using (prompt_id))
+  from {outputs} o {'join' if how == 'inner' else 'left join'} (select * from {prompts} {pf}) p using (prompt_id))
 """
 
 
@@ -280,11 +325,19 @@ select coalesce(a.run_a, b.run_a) as run_a, coalesce(a.run_b, b.run_b) as run_b,
   case when coalesce(b.b, 0.0) - coalesce(a.a, 0.0) > 0 then '+' else '' end as sign
 from a full outer join b on a.run_a = b.run_a and a.run_b = b.run_b and a.metric = b.metric"""
 ORACLE["eval_report_json"] = duckdb_with(SCORE_VIEWS) + ", " + scored_sql("left") + f""",
-summ AS ({SUMMARY})
-select s.run_id, 1700000000 + s.run_id as timestamp, s.val_score, s.num_prompts,
-  cast(s.num_prompts as int) as per_prompt_n,
-  cast((select count(distinct prompt_id) from v_outputs o where o.run_id = s.run_id) as int) as outputs_n
-from summ s"""
+summ AS ({SUMMARY}),
+outs AS (select run_id, cast(count(distinct prompt_id) as int) as outputs_n from v_outputs group by run_id),
+texts AS (select distinct run_id, prompt_id, text from v_outputs)
+select 1700000000 + s.run_id as timestamp, s.val_score, s.num_prompts, o.outputs_n, c.prompt_id, c.total_score, c.keywords_found,
+  c.brace_balanced, md5(t.text) as output_md5
+from summ s join outs o using (run_id) left join (select * from scored where total_score is not null) c using (run_id)
+left join texts t on t.run_id = s.run_id and t.prompt_id = c.prompt_id"""
+PROMPT_VALUES = "(values " + ", ".join(
+    f"({i}, {q(p['id'])}, [{', '.join(q(c) for c in p['checks'])}])" for i, p in enumerate(EVAL_PROMPTS)) + ") fp(ord, prompt_id, checks)"
+ORACLE["score_benchmark"] = duckdb_with(["v_outputs"]) + f""", fixed_prompts AS (select * from {PROMPT_VALUES}),
+runs AS (select cast(o.run_id as varchar) || '|' || o.prompt_id as run, f.prompt_id, o.text
+         from v_outputs o join fixed_prompts f on f.ord = o.run_id % 8),
+""" + scored_sql(outputs="runs", prompts="fixed_prompts", run="run") + "select * from scored"
 
 LOG = f"""lg AS (select seq, commit, try_cast(val_score as double) as val_score, try_cast(memory_gb as double) as memory_gb,
   upper({strip('status')}) as status, description from v_log)
@@ -352,23 +405,27 @@ ORACLE["sweep_summary"] = RESW + """select count(*) as total_experiments,
   coalesce((select config from rs order by coalesce(val_score, 0.0) desc, seq limit 1), '{}') as best_config from rs"""
 
 D = TRAIN_DEFAULTS
-ORACLE["run_metrics_rows"] = RESW + f"""select seq, {q('darkc0de/Qwen3.5-9B-heretic')} as model,
-  cast({q(D['LORA_R'])} as int) as lora_r, cast({q(D['LORA_ALPHA'])} as int) as lora_alpha,
-  cast({q(D['LEARNING_RATE'])} as double) as learning_rate,
-  cast({q(D['BATCH_SIZE'])} as int) * cast({q(D['GRADIENT_ACCUMULATION'])} as int) as batch_size,
-  cast({q(D['NUM_EPOCHS'])} as int) as epochs, cast({q(D['CLM_MIX_RATIO'])} as double) as clm_mix,
+ORACLE["run_metrics_rows"] = RESW + f"""select seq, {q(BASE_MODEL)} as model,
+  cast(case when seq % 2 = 0 then seq % 5 * 16 + 16 else {D['LORA_R']} end as int) as lora_r, cast({D['LORA_ALPHA']} as int) as lora_alpha,
+  case when seq % 2 = 0 then cast('0.00' || cast(seq % 9 + 1 as varchar) as double) else cast({q(D['LEARNING_RATE'])} as double) end as learning_rate,
+  cast({D['BATCH_SIZE']} * {D['GRADIENT_ACCUMULATION']} as int) as batch_size,
+  cast(case when seq % 2 = 0 then seq % 3 + 1 else {D['NUM_EPOCHS']} end as int) as epochs, cast({q(D['CLM_MIX_RATIO'])} as double) as clm_mix,
   round(elapsed_s, 1) as training_time_s, val_score, syntax as syntax_score, keyword as keyword_score,
-  structure as structure_score from rs"""
-
-SFT = duckdb_with(["v_sft", "v_loc_groups", "v_clm"]) + ", " + loc_sql("v_loc_groups") + f""",
-kp AS (select key, value, {PREFIX} as prefix from loc_l),
-okp AS (select prefix from kp group by prefix having count(*) between 2 and 20),
-recs AS (select 'sft|' || cast(conv_id as varchar) || '|' || cast(turn as varchar) as key, system, instruction, completion
-         from v_sft
-         union all
-         select 'loc|' || prefix, {q(SYSTEM_LOCALIZATION)}, 'Write CK3 localization entries for ''' || prefix || '''',
-           'l_english:' || {NL} || string_agg('  ' || key || ':0 "' || value || '"', {NL} order by key, value)
-         from kp where prefix in (select prefix from okp) group by prefix),
+  structure as structure_score, round(elapsed_s * 2, 1) as peak_vram_mb, cast(8 as int) as num_prompts from rs"""
+_LINE = ORACLE["log_rows_format"][len(RESW):]
+ORACLE["results_log_round_trip"] = RESW + f""", written AS ({_LINE})
+select seq, timestamp, cast(val_score as double) as val_score, cast(syntax as double) as syntax, cast(keyword as double) as keyword,
+  cast(structure as double) as structure, status, cast(elapsed_s as double) as elapsed_s, config from written"""
+ORACLE["experiment_log_read"] = ORACLE["log_normalise"]
+
+RECORD_VIEWS = ["v_scripts", "v_loc", "v_loc_groups", "v_logs", "v_log_files", "v_types", "v_sft", "v_clm"]
+DIGEST = "md5(instruction || '|' || completion)"
+SFT = duckdb_with(RECORD_VIEWS, recursive=True) + ", " + SCRIPT_PAIRS + "," + loc_pairs_sql() + "," + ENGINE_PAIRS + f""",
+recs AS (select 'script|' || source_file || '|' || name || '|' || category || '|' || {DIGEST} as key, system, instruction, completion from script_pairs
+         union all select 'loc|' || name || '|' || {DIGEST}, system, instruction, completion from loc_pairs
+         union all select 'engine|' || source_file || '|' || name || '|' || {DIGEST}, system, instruction, completion from engine_pairs
+         union all select 'chat|' || cast(conv_id as varchar) || '|' || cast(turn as varchar) || '|' || {DIGEST}, system, instruction, completion
+         from v_sft),
 sft AS (select *, pos < floor(n * 0.95) as is_train from
         (select *, row_number() over (order by {khash('42:shuffle', 'key')}, key) - 1 as pos, count(*) over () as n from recs))
 """
@@ -379,29 +436,34 @@ CLM = """clm AS (select *, pos < floor(n * 0.95) as is_train from
 ORACLE["sft_split"] = SFT + "select key, pos, case when is_train then 'train' else 'val' end as split from sft"
 ORACLE["clm_split"] = duckdb_with(["v_clm"]) + ", " + CLM + \
     "select doc_id, pos, case when is_train then 'train' else 'val' end as split from clm"
-MIX = SFT + "," + CLM + """,
+MIXW = SFT + "," + CLM + """,
 n_mix AS (select least(floor((select count(*) from sft where is_train) * 0.2 / (1 - 0.2)),
                        (select count(*) from clm where is_train))::BIGINT as n),
-smp AS (select * from (select doc_id, text, row_number() over (order by """ + \
-    khash("42:sample", "cast(doc_id as varchar)") + """, cast(doc_id as varchar)) - 1 as sample_pos
-        from clm where is_train) where sample_pos < (select n from n_mix)),
-cval AS (select * from clm where not is_train and pos < (select min(pos) from clm where not is_train) + 100)
+smp AS (select * from clm where is_train and pos < (select n from n_mix)),
+cval AS (select * from clm where not is_train and pos < (select count(*) from clm where is_train) + 100)
 """
-MIXW = MIX
-ORACLE["mix_sample"] = MIXW + "select doc_id, sample_pos from smp"
-ORACLE["mix_counts"] = MIXW + """select 'sft' as kind, case when is_train then 'train' else 'val' end as split, count(*) as n
-  from sft group by is_train
-  union all select 'clm', 'train', count(*) from smp
+ORACLE["mix_sample"] = MIXW + "select doc_id, pos as sample_pos from smp"
+COUNTS = """select 'sft' as kind, case when is_train then 'train' else 'val' end as split, count(*) as n
+  from sft group by is_train"""
+ORACLE["mix_counts"] = MIXW + COUNTS + """ union all select 'clm', 'train', count(*) from smp
   union all select 'clm', 'val', count(*) from cval"""
+ORACLE["mix_counts_uncapped"] = MIXW + COUNTS + """ union all select 'clm', 'train', count(*) from smp
+  union all select 'clm', 'val', count(*) from clm where not is_train"""
+ORACLE["mix_counts_sft_only"] = MIXW + COUNTS
 CHAT = ("'<|im_start|>system' || chr(10) || coalesce(system, " + q(SYSTEM_CHAT_DEFAULT) + ") || '<|im_end|>' || chr(10) || "
         "'<|im_start|>user' || chr(10) || instruction || '<|im_end|>' || chr(10) || "
         "'<|im_start|>assistant' || chr(10) || completion || '<|im_end|>'")
 ORACLE["train_text"] = MIXW + f"""select case when is_train then 'train' else 'val' end as split, key, {CHAT} as text from sft
   union all select 'train', cast(doc_id as varchar), text from smp
   union all select 'val', cast(doc_id as varchar), text from cval"""
-ORACLE["dataset_stats"] = duckdb_with(["v_sft", "v_clm"]) + """select 'instruction_pairs' as dataset, count(*) as records,
-  round(sum(strlen(instruction) + strlen(completion)) / 1048576.0, 1) as mb from v_sft
-  union all select 'clm_dataset', count(*), round(sum(strlen(text)) / 1048576.0, 1) from v_clm"""
+PAIR = "strlen(instruction) + strlen(completion)"
+ORACLE["dataset_stats"] = duckdb_with(RECORD_VIEWS, recursive=True) + ", " + RAW + "," + SCRIPT_PAIRS + "," + loc_pairs_sql() + "," + \
+    ENGINE_PAIRS + ", sizes AS (" + " union all ".join(
+        f"select {q(n)} as dataset, {x} as b from {t}" for n, x, t in [
+            ("raw_corpus", "strlen(text)", "raw"), ("structured_blocks", "strlen(code)", "sblocks"), ("instruction_pairs", PAIR, "script_pairs"),
+            ("clm_dataset", f"strlen('# File: ' || path || {NL} || '# Category: ' || category || {NL} || {NL} || text)", "raw"),
+            ("loc_pairs", PAIR, "loc_pairs"), ("engine_reference", PAIR, "engine_pairs")]) + """)
+select dataset, count(*) as records, round(sum(b) / 1048576.0, 1) as mb from sizes group by dataset"""
 
 GRID = duckdb_with(["v_grids"]) + """,
 gk AS (select grid_id, key, list(value order by value) as vals from (select distinct grid_id, key, value from v_grids)
@@ -415,6 +477,7 @@ cv AS (select c.grid_id, c.i, gs.key, gs.vals[((c.i // gs.stride) % gs.n) + 1] a
 """
 ORACLE["grid_expand"] = GRID + """select grid_id, i + 1 as ordinal,
   '{' || string_agg('"' || key || '":' || value, ',' order by key) || '}' as config from cv group by grid_id, i"""
+ORACLE["first_combos"] = ORACLE["grid_expand"].replace("from cv group by", "from cv where i < 3 group by")
 ORACLE["grid_estimate"] = GRID + "select grid_id, total, (total * 300) // 60 as est_minutes from gt"
 DEFV = "(values " + ", ".join(f"({q(k)}, {q(v)})" for k, v in TRAIN_DEFAULTS.items()) + ") dfl(key, value)"
 ORACLE["config_resolve"] = GRID + f""",

@@ -1,21 +1,26 @@
 """The driver queries: one per user-visible operator or small family.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the rendered
-views of that directory (see :mod:`.views`).  Column names match the SQL
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the rendered views
+of that directory (see :mod:`.views`).  The plans are lazy; only the queries of
+file sinks write when they are built, and read back what they wrote.  Column names match the SQL
 oracles in :mod:`.oracle`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed import BASE_MODEL
+from ..fixed import CLM_VAL_CAP
 from ..operators import corpus, grid, localization, logs, mix, results, score
 from ..operators.blocks import extract_blocks, strip_comments, structured_blocks
 from ..operators.pairs import instruction_pairs
+from ..session import ensure_checkpoint_dir
+from ..sources.files import read_jsonl, read_reports, write_jsonl, write_reports
+from ..sources.results_log import append_experiments, append_results, read_experiments, read_results
 from .views import Views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +115,12 @@ def q_pairs_loc(spark, sf_dir):
     return localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")))
 
 
+@query
+def q_pairs_loc_split(spark, sf_dir):
+    """Key groups of any size: larger ones dealt into parts, no key lost."""
+    return localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")), oversize="split")
+
+
 # ---- engine logs ---------------------------------------------------------
 
 @query
@@ -173,20 +184,36 @@ def q_score_compare(spark, sf_dir):
     return score.compare_runs(a, b, ["run_a", "run_b"])
 
 
+@query
+def q_score_benchmark(spark, sf_dir):
+    """Outputs scored against the fixed benchmark prompts."""
+    v = _v(spark, sf_dir)
+    prompts = score.eval_prompts(spark)
+    out = v.view("v_outputs").withColumn("ord", F.pmod("run_id", F.lit(8)).cast("int")).join(
+        prompts.select("ord", F.col("prompt_id").alias("p")), "ord").select(
+        F.concat_ws("|", F.col("run_id").cast("string"), "prompt_id").alias("run"), F.col("p").alias("prompt_id"), "text")
+    return score.score_outputs(out, prompts)
+
+
 @query
 def q_eval_report_json(spark, sf_dir):
+    """Reports written as JSON lines, read back and taken apart: one row per scored prompt."""
     v = _v(spark, sf_dir)
     scored = _scored(spark, sf_dir, "left")
-    summ = score.summarize(scored, ["run_id"])
-    per = score.per_prompt_list(scored, ["run_id"])
-    ts = F.lit(1700000000).cast("long") + F.col("run_id")
-    rep = score.eval_report(summ, per, v.view("v_outputs"), ["run_id"], ts)
-    extra = F.from_json("report", "timestamp long, metrics struct<per_prompt:array<string>>, outputs map<string,string>")
-    rep = rep.select("run_id", "report", extra["timestamp"].alias("timestamp"),
-                     F.coalesce(F.size(extra["metrics"]["per_prompt"]), F.lit(0)).alias("per_prompt_n"),
-                     F.size(extra["outputs"]).alias("outputs_n"))
-    return score.read_report_metrics(rep).select("run_id", "timestamp", "val_score", "num_prompts",
-                                                 "per_prompt_n", "outputs_n")
+    rep = score.eval_report(score.summarize(scored, ["run_id"]), score.per_prompt_list(scored, ["run_id"]), v.view("v_outputs"),
+                            ["run_id"], F.lit(1700000000).cast("long") + F.col("run_id"))
+    path = _scratch(spark, "reports")
+    write_reports(rep, path)
+    back = score.read_report_metrics(read_reports(spark, path).withColumn("x", F.from_json(
+        "report", "timestamp long, metrics struct<per_prompt:array<struct<prompt_id:string,total_score:double,keywords_found:int,"
+                  "brace_balanced:boolean>>>, outputs map<string,string>")))
+    return back.select(F.col("x.timestamp").alias("timestamp"), "val_score", "num_prompts",
+                       F.size("x.outputs").alias("outputs_n"), F.col("x.outputs").alias("outputs"),
+                       F.explode_outer("x.metrics.per_prompt").alias("p")).select(
+        "timestamp", "val_score", "num_prompts", "outputs_n", F.col("p.prompt_id").alias("prompt_id"),
+        F.col("p.total_score").alias("total_score"), F.col("p.keywords_found").alias("keywords_found"),
+        F.col("p.brace_balanced").alias("brace_balanced"),
+        F.md5(F.element_at("outputs", F.col("p.prompt_id"))).alias("output_md5"))
 
 
 # ---- experiment log ------------------------------------------------------
@@ -227,7 +254,7 @@ def q_log_hits(spark, sf_dir):
 
 @query
 def q_log_hits_total(spark, sf_dir):
-    return results.total_gain(results.hits(_log(spark, sf_dir)))
+    return results.total_gain(results.gains(_log(spark, sf_dir)))
 
 
 @query
@@ -284,94 +311,128 @@ def q_sweep_summary(spark, sf_dir):
 @query
 def q_run_metrics_rows(spark, sf_dir):
     r = _results(spark, sf_dir)
-    cfg = grid.resolve_config(F.coalesce(F.from_json("config", "map<string,string>"),
-                                         F.create_map().cast("map<string,string>")))
-    g = lambda k: F.element_at(cfg, k)
-    return r.select(
-        "seq", F.lit(BASE_MODEL).alias("model"),
-        g("LORA_R").cast("int").alias("lora_r"), g("LORA_ALPHA").cast("int").alias("lora_alpha"),
-        g("LEARNING_RATE").cast("double").alias("learning_rate"),
-        (g("BATCH_SIZE").cast("int") * g("GRADIENT_ACCUMULATION").cast("int")).alias("batch_size"),
-        g("NUM_EPOCHS").cast("int").alias("epochs"), g("CLM_MIX_RATIO").cast("double").alias("clm_mix"),
-        F.round("elapsed_s", 1).alias("training_time_s"),
-        F.col("val_score"), F.col("syntax").alias("syntax_score"), F.col("keyword").alias("keyword_score"),
-        F.col("structure").alias("structure_score"))
+    # settings of a run, from its number: some known keys, some not
+    own = F.expr("""map('LORA_R', cast(seq % 5 * 16 + 16 as string), 'LEARNING_RATE', concat('0.00', cast(seq % 9 + 1 as string)),
+                        'NUM_EPOCHS', cast(seq % 3 + 1 as string), 'UNKNOWN', 'x')""")
+    over = F.when(F.col("seq") % 2 == 0, own).otherwise(F.create_map().cast("map<string,string>"))
+    return results.run_metrics(r, over, {"peak_vram_mb": F.round(F.col("elapsed_s") * 2, 1), "num_prompts": F.lit(8)})
+
+
+@query
+def q_results_log_round_trip(spark, sf_dir):
+    """Appended in two jobs of several tasks, read back in log order."""
+    path = _scratch(spark, "results")
+    r = _results(spark, sf_dir)
+    append_results(r.where("seq % 2 = 0").repartition(5), path)
+    append_results(r.where("seq % 2 = 1").repartition(3), path)
+    return read_results(spark, path).select("seq", "timestamp", "val_score", "syntax", "keyword", "structure", "status",
+                                            "elapsed_s", "config")
+
+
+@query
+def q_experiment_log_read(spark, sf_dir):
+    path = _scratch(spark, "experiments")
+    append_experiments(_v(spark, sf_dir).view("v_log").repartition(4), path)
+    return read_experiments(spark, path)
 
 
 # ---- split and mix -------------------------------------------------------
 
-def _sft_records(spark, sf_dir) -> DataFrame:
-    v = _v(spark, sf_dir)
-    sft = v.view("v_sft").select(
-        F.concat_ws("|", F.lit("sft"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("key"),
-        "system", "instruction", "completion")
-    loc = localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")))
-    loc = loc.select(F.concat(F.lit("loc|"), F.col("name")).alias("key"), "system", "instruction", "completion",
-                     "category", "name")
-    return sft.unionByName(loc, allowMissingColumns=True)
+def _scratch(spark, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _sft_split(spark, sf_dir) -> DataFrame:
-    return mix.split_train_val(_sft_records(spark, sf_dir), "key")
+def _records(spark, sf_dir) -> DataFrame:
+    """All instruction records.  The splits read them several times, so they are
+    kept after the first use (recomputed if an executor is lost)."""
+    v = _v(spark, sf_dir)
+    scripts = instruction_pairs(_structured(spark, sf_dir), localization.latest_loc(_loc(spark, sf_dir)))
+    loc = localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")))
+    engine = logs.engine_reference(v.view("v_logs"), v.view("v_log_files"), v.view("v_types"))
+    return mix.instruction_records(scripts, loc, engine, v.view("v_sft")).persist()
 
 
-def _clm_split(spark, sf_dir) -> DataFrame:
-    return mix.split_train_val(_v(spark, sf_dir).view("v_clm"), "doc_id")
+def _mixed(spark, sf_dir, ratio, val_cap=None) -> DataFrame:
+    return mix.mix_datasets(_records(spark, sf_dir), _v(spark, sf_dir).view("v_clm"), ratio, val_cap=val_cap)
 
 
 @query
 def q_sft_split(spark, sf_dir):
-    return _sft_split(spark, sf_dir).select("key", "pos", "split")
+    return mix.split_train_val(_records(spark, sf_dir), "key").select("key", "pos", "split")
 
 
 @query
 def q_clm_split(spark, sf_dir):
-    return _clm_split(spark, sf_dir).select("doc_id", "pos", "split")
-
-
-def _sample(spark, sf_dir, ratio=0.2) -> DataFrame:
-    sft = _sft_split(spark, sf_dir)
-    n_sft_train = sft.where(F.col("split") == "train").select(F.count(F.lit(1))).scalar()
-    return mix.sample_clm(_clm_split(spark, sf_dir), "doc_id", n_sft_train, ratio)
+    return mix.split_train_val(_v(spark, sf_dir).view("v_clm"), "doc_id").select("doc_id", "pos", "split")
 
 
 @query
 def q_mix_sample(spark, sf_dir):
-    return _sample(spark, sf_dir).select("doc_id", "sample_pos")
+    m = _mixed(spark, sf_dir, 0.2).where("kind = 'clm' and split = 'train'")
+    return m.select(F.col("key").cast("long").alias("doc_id"), F.col("pos").alias("sample_pos"))
+
+
+def _mix_counts(m: DataFrame) -> DataFrame:
+    return m.groupBy("kind", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def q_mix_counts(spark, sf_dir):
-    sft = _sft_split(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("sft").alias("kind"), "split", "n")
-    clm_train = _sample(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("clm").alias("kind"), F.lit("train").alias("split"), "n")
-    clm_val = mix.clm_validation(_clm_split(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("clm").alias("kind"), F.lit("val").alias("split"), "n")
-    return sft.unionByName(clm_train).unionByName(clm_val)
+    return _mix_counts(_mixed(spark, sf_dir, 0.2, CLM_VAL_CAP))
+
+
+@query
+def q_mix_counts_uncapped(spark, sf_dir):
+    return _mix_counts(_mixed(spark, sf_dir, 0.2))
+
+
+@query
+def q_mix_counts_sft_only(spark, sf_dir):
+    return _mix_counts(_mixed(spark, sf_dir, 0.0))
 
 
 @query
 def q_train_text(spark, sf_dir):
-    sft = _sft_split(spark, sf_dir)
-    sft_text = sft.select("split", "key", mix.training_text(sft).alias("text"))
-    clm_train = _sample(spark, sf_dir).select(F.lit("train").alias("split"),
-                                               F.col("doc_id").cast("string").alias("key"), "text")
-    clm_val = mix.clm_validation(_clm_split(spark, sf_dir)).select(
-        F.lit("val").alias("split"), F.col("doc_id").cast("string").alias("key"), "text")
-    return sft_text.unionByName(clm_train).unionByName(clm_val)
+    m = _mixed(spark, sf_dir, 0.2, CLM_VAL_CAP)
+    return m.select("split", "key", mix.training_text(m).alias("text"))
 
 
 @query
 def q_dataset_stats(spark, sf_dir):
+    """Records and MB of text of the six datasets."""
     v = _v(spark, sf_dir)
-    sft = v.view("v_sft").agg(F.count(F.lit(1)).alias("records"),
-                              F.sum(F.octet_length("instruction") + F.octet_length("completion")).alias("bytes")) \
-        .select(F.lit("instruction_pairs").alias("dataset"), "records", "bytes")
-    clm = v.view("v_clm").agg(F.count(F.lit(1)).alias("records"), F.sum(F.octet_length("text")).alias("bytes")) \
-        .select(F.lit("clm_dataset").alias("dataset"), "records", "bytes")
-    return sft.unionByName(clm).select("dataset", "records",
-                                       F.round(F.col("bytes") / F.lit(1048576.0), 1).alias("mb"))
+    raw = corpus.raw_corpus(v.view("v_scripts"))
+    blocks = _structured(spark, sf_dir)
+    pair = F.octet_length("instruction") + F.octet_length("completion")
+    sets = [("raw_corpus", raw, F.octet_length("text")),
+            ("structured_blocks", blocks, F.octet_length("code")),
+            ("instruction_pairs", instruction_pairs(blocks, localization.latest_loc(_loc(spark, sf_dir))), pair),
+            ("clm_dataset", corpus.clm_documents(raw), F.octet_length("text")),
+            ("loc_pairs", localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups"))), pair),
+            ("engine_reference", logs.engine_reference(v.view("v_logs"), v.view("v_log_files"), v.view("v_types")), pair)]
+    rows = [df.agg(F.count(F.lit(1)).alias("records"), F.sum(size.cast("long")).alias("bytes"))
+            .select(F.lit(name).alias("dataset"), "records", "bytes") for name, df, size in sets]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("dataset", "records", F.round(F.col("bytes") / F.lit(1048576.0), 1).alias("mb"))
+
+
+@query
+def q_jsonl_round_trip(spark, sf_dir):
+    """Localization pairs written as JSON lines and read with a schema."""
+    path = _scratch(spark, "jsonl")
+    pairs = localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")))
+    write_jsonl(pairs, path)
+    return read_jsonl(spark, path, "system string, instruction string, completion string, category string, name string")
+
+
+@query
+def q_first_combos(spark, sf_dir):
+    """The first 3 combinations of every grid."""
+    e = grid.expand_grid(_grids(spark, sf_dir), "grid", max_experiments=3)
+    return e.select("grid_id", "ordinal", grid.combo_json("combo").alias("config"))
 
 
 # ---- grids ---------------------------------------------------------------

@@ -4,8 +4,8 @@ The test tables hold prose, not game scripts, so scripts, localization files,
 logs, outputs and experiment logs are *rendered* from them.  Each recipe is
 written once and filled per engine (Spark SQL or DuckDB), which keeps the two
 sides of the correctness check on identical inputs.  Every view reads whole
-tables; sizes grow with the scale factor.  Grouped views (one text per order,
-one log file per 256 documents of a source) have bounded groups.
+tables and whole texts; sizes grow with the scale factor.  Grouped views (one
+text per order, one log file per 256 documents of a source) have bounded groups.
 """
 
 from __future__ import annotations
@@ -79,8 +79,8 @@ RECIPES["v_logs"] = """
 select file, {JOIN(doc_id,chunk)} as text from (
  select source || '_' || cast(doc_id {DIV} 256 as {S}) || '.log' as file, doc_id,
    'e' || cast(doc_id as {S}) || case when doc_id % 3 = 0 then ' - ' else ': ' end
-   || substr(text, 1, case when doc_id % 17 = 0 then 2 else 200 end) || {NL}
-   || case when doc_id % 4 = 0 then ' ----' else '--------------------' end || {NL} as chunk from {documents}) t
+   || text || {NL} || case when doc_id % 4 = 0 then ' ----' else '--------------------' end || {NL}
+   || case when doc_id % 17 = 0 then 'x' || cast(doc_id % 10 as {S}) || {NL} || '-----' || {NL} else '' end as chunk from {documents}) t
 group by file
 """
 
@@ -99,15 +99,16 @@ select replace(file, '.log', '.txt') as file, text from {v_logs}
 
 RECIPES["v_outputs"] = """
 select page_id {DIV} 8 as run_id, 'p' || cast(page_id % 8 as {S}) as prompt_id,
-  case when page_id % 7 = 0 then '' when page_id % 5 = 0 then 'import ' || html
+  case when page_id % 5 = 0 then 'import ' || html
        when page_id % 3 = 0 then replace(html, 'margin:0}', 'margin:0')
        else replace(html, 'p{', 'trigger = {') end as text from {pages}
+union all select page_id {DIV} 8, 'e' || cast(page_id % 8 as {S}), '' from {pages} where page_id % 7 = 0
 """
 
 RECIPES["v_prompts"] = """
 select ord, prompt_id, {SPLIT_BAR(checks)} as checks from (values
   (0, 'p0', 'title|nav|zzz'), (1, 'p1', 'trigger|='), (2, 'p2', 'ad|script|track|qq'), (3, 'p3', 'x_y'),
-  (4, 'p4', 'html'), (5, 'p5', 'import|class|nav'), (6, 'p6', '{|}|=')) t(ord, prompt_id, checks)
+  (4, 'p4', 'html'), (5, 'p5', 'import|class|nav'), (6, 'p6', '{|}|='), (7, 'e0', 'a|b'), (8, 'e3', '=')) t(ord, prompt_id, checks)
 """
 
 # Scores are fixed-point text built from integer micro-units (exact in both
@@ -133,11 +134,11 @@ select event_id as seq, ts,
 """
 
 RECIPES["v_sft"] = """
-select u.conv_id, u.turn, s.system, u.text as instruction, a.text as completion from {conversations} u
-join {conversations} a on a.conv_id = u.conv_id and a.turn = u.turn + 1
-left join (select conv_id, {MIN_BY(text,turn)} as system from {conversations} where role = 'system' group by conv_id) s
-  on s.conv_id = u.conv_id
-where u.role = 'user' and a.role = 'assistant'
+select conv_id, turn, system, text as instruction, next_text as completion from (
+  select conv_id, turn, role, text, lead(turn) over w as next_turn, lead(role) over w as next_role, lead(text) over w as next_text,
+    {MIN_BY(text,case when role = 'system' then turn end)} over (partition by conv_id) as system
+  from {conversations} window w as (partition by conv_id order by turn)) t
+where role = 'user' and next_role = 'assistant' and next_turn = turn + 1
 """
 
 RECIPES["v_clm"] = """

@@ -1,11 +1,13 @@
 """The sweep's tab-separated result log: append and read.
 
-Appends go to a directory of part files (one per append job), each with the
-header line, so concurrent sweeps never rewrite a shared file.  Reading keeps
-the original's leniency: lines are stripped and split on tabs, lines with
-fewer fields than the header are dropped, numeric fields that do not parse
-become null.  Append order is kept as ``seq`` (file modification time, then
-file path, then line position: each append writes a new part file).
+Appends go to a directory of part files with a header line each, so concurrent
+sweeps never rewrite a shared file and an append runs on as many tasks as its
+rows have partitions.  A line holds the eight result fields and, behind them,
+the row's ``seq``: the order of the log is in the log, not in file names or
+times.  Reading keeps the original's leniency: lines are stripped and split on
+tabs, lines with fewer fields than the header are dropped, numeric fields that
+do not parse become null.  Logs of the original tool have no ``seq`` field;
+their rows are numbered in file order (modification time, path, place).
 """
 
 from __future__ import annotations
@@ -13,30 +15,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed import RESULTS_COLUMNS
+from ..fixed import EXPERIMENT_LOG_COLUMNS, RESULTS_COLUMNS
 from ..functions.text import py_strip
-from ..operators.ordered import global_rank
-from ..operators.results import format_result_rows, typed_results
+from ..operators.results import format_result_rows, normalise_log, typed_results
 
 
 def append_results(rows: DataFrame, path: str, ts_col: str = "ts") -> None:
-    """Format rows as the eight result fields and append them as TSV."""
-    f = format_result_rows(rows, ts_col).drop("seq")
-    (f.coalesce(1).write.mode("append").option("sep", "\t").option("quote", "")
-       .option("escape", "").option("header", "true").csv(path))
+    """Format rows as result fields and append them as TSV; ``seq`` must be
+    unique over all appends to a log."""
+    (format_result_rows(rows, ts_col).select(*RESULTS_COLUMNS, "seq")
+     .write.mode("append").option("sep", "\t").option("quote", "").option("escape", "")
+     .option("header", "true").option("emptyValue", "").csv(path))
+
+
+def _numbered_fields(spark: SparkSession, path: str, columns) -> DataFrame:
+    """``seq`` and the fields of every line that has all of them, headers left out.
+
+    ``seq`` is the field behind the columns; for a log without it, an
+    increasing number (not consecutive) in file order.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_place"),
+        F.split(py_strip("value"), "\t", -1).alias("_f"))
+    rows = lines.where((F.size("_f") >= len(columns)) & (F.slice("_f", 1, len(columns)) != F.array(*[F.lit(c) for c in columns])))
+    stored = F.expr(f"try_cast(get(_f, {len(columns)}) as bigint)")
+    fields = [F.col("_f")[i].alias(c) for i, c in enumerate(columns)]
+    own = rows.where(stored.isNotNull()).select(stored.alias("seq"), *fields)
+    foreign = (rows.where(stored.isNull()).orderBy("_time", "_file", "_block", "_place")
+               .select(F.monotonically_increasing_id().alias("seq"), *fields))
+    return own.unionByName(foreign)
 
 
 def read_results(spark: SparkSession, path: str, columns=RESULTS_COLUMNS) -> DataFrame:
-    """Result rows with ``seq`` in file order; numeric fields parsed leniently."""
-    header = "\t".join(columns)
-    lines = (spark.read.text(path)
-             .select(F.col("_metadata.file_modification_time").alias("_mtime"),
-                     F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"),
-                     py_strip("value").alias("_line"))
-             .where(F.col("_line") != header))
-    parts = F.split("_line", "\t", -1)
-    rows = lines.where(F.size(parts) >= len(columns)) \
-                .select("_mtime", "_file", "_pos", *[parts[i].alias(c) for i, c in enumerate(columns)])
-    ranked = global_rank(rows, [F.col("_mtime"), F.col("_file"), F.col("_pos")], "seq") \
-        .withColumn("seq", F.col("seq") - 1)
-    return typed_results(ranked.drop("_mtime", "_file", "_pos"))
+    """Result rows with ``seq`` in log order; numeric fields parsed leniently."""
+    return typed_results(_numbered_fields(spark, path, columns))
+
+
+def append_experiments(rows: DataFrame, path: str, columns=EXPERIMENT_LOG_COLUMNS) -> None:
+    """Append experiment rows as TSV lines with their ``seq``; tabs and line
+    breaks inside a field become spaces."""
+    plain = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\t\r\n]", " ").alias(c) for c in columns]
+    (rows.select(*plain, "seq").write.mode("append").option("sep", "\t").option("quote", "").option("escape", "")
+     .option("header", "true").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+
+
+def read_experiments(spark: SparkSession, path: str, columns=EXPERIMENT_LOG_COLUMNS) -> DataFrame:
+    """The experiment log with ``seq`` in log order, normalised: numbers parsed
+    leniently, status stripped and upper-cased."""
+    return normalise_log(_numbered_fields(spark, path, columns))

@@ -44,6 +44,26 @@ def test_prefix_and_group_sizes(spark):
     assert pairs["g2"] == 'l_english:\n  g2_0:0 "v"\n  g2_1:0 "v"'
 
 
+def test_large_groups_are_split_without_loss(spark):
+    loc = spark.createDataFrame([(f"g_{i}", "v") for i in range(95)] + [("h_1", "v"), ("h_2", "v")], "key string, value string")
+    parts = localization.loc_pairs(loc, oversize="split").collect()
+    lines = [x for r in parts if r.name == "g" for x in r.completion.split("\n")[1:]]
+    assert len(lines) == len(set(lines)) == 95 and len(parts) > 3
+    whole = {r.name: r.completion.count("\n") for r in localization.loc_pairs(loc, max_size=None).collect()}
+    assert whole == {"g": 95, "h": 2}
+
+
+def test_entries_lose_nothing_but_delimiters(spark):
+    """All characters of a text but delimiter lines and stripped white space are in its entries."""
+    texts = ["alpha beta\n----\ngamma  \n\n delta\n ------ x\nlast " + "y" * 5000, "no delimiter at all"]
+    df = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file string, text string")
+    got = {}
+    for r in logs.split_entries(df, 4).collect():
+        got[r.file] = got.get(r.file, 0) + len("".join(r.entry.split()))
+    keep = lambda t: len("".join("".join(x for x in t.split("\n") if not x.strip().startswith("----")).split()))
+    assert got == {f"f{i}": keep(t) for i, t in enumerate(texts)}
+
+
 def test_log_split_rules(spark):
     text = "a\n ----\n\n----- b\nc"
     df = spark.createDataFrame([("f", text)], "file string, text string")

@@ -32,10 +32,41 @@ def test_mix_sizes(spark):
         mix.mix_size(F.lit(1), F.lit(1), 1.0)
 
 
-def test_sample_without_replacement(spark):
-    clm = mix.split_train_val(spark.range(300).withColumnRenamed("id", "doc_id"), "doc_id")
-    s = mix.sample_clm(clm, "doc_id", F.lit(100), 0.2).collect()
-    assert len(s) == 25 and len({r.doc_id for r in s}) == 25
+def test_mixed_datasets(spark):
+    sft = spark.range(400).select(F.concat(F.lit("k"), "id").alias("key"), F.lit("q").alias("instruction"), F.lit("a").alias("completion"))
+    clm = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+
+    def counts(**kw):
+        m = mix.mix_datasets(sft, clm, bits=6, **kw)
+        rows = m.select("kind", "split", "key").collect()
+        assert len({(r.kind, r.key) for r in rows}) == len(rows)
+        return {k: sum(1 for r in rows if (r.kind, r.split) == k) for k in {(r.kind, r.split) for r in rows}}
+
+    base = {("sft", "train"): 380, ("sft", "val"): 20}
+    assert counts(ratio=0.0) == base
+    assert counts(ratio=0.2) == base | {("clm", "train"): 95, ("clm", "val"): 150}
+    assert counts(ratio=0.2, val_cap=100) == base | {("clm", "train"): 95, ("clm", "val"): 100}
+    assert counts(ratio=0.9) == base | {("clm", "train"): 2850, ("clm", "val"): 150}
+    assert mix.mix_datasets(sft, None, 0.5, bits=4).count() == 400
+    with pytest.raises(ValueError):
+        mix.instruction_records()
+
+
+def test_plans_are_lazy_and_scan_little(spark, tmp):
+    """Building the log and mix plans starts no job; the split reads its records twice (counts, then ranks)."""
+    spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).write.parquet(f"{tmp}/d")
+    df = spark.read.parquet(f"{tmp}/d")
+    plan = mix.mix_datasets(df.select(F.col("doc_id").alias("key"), "text"), df, 0.2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 5  # two per ranking and one count
+
+
+def test_grid_of_many_combinations_is_spread(spark):
+    df = spark.createDataFrame([(1, {f"k{i}": [str(x) for x in range(10)] for i in range(6)})], "id int, grid map<string,array<string>>")
+    e = grid.expand_grid(df)
+    parts = e.groupBy(F.spark_partition_id()).count().count()
+    assert e.count() == 10 ** 6 and parts > 1
+    last = e.where("ordinal = 123457").first()
+    assert "".join(c.value for c in last.combo) == "123456"
 
 
 def test_chat_text_default_system(spark):

@@ -38,12 +38,84 @@ def test_localization_and_logs_scan(spark, tmp):
     logs = os.path.join(tmp, "logs")
     _write(logs, "effects.log", b"a - b\n----\n")
     _write(logs, "other.log", b"x")
-    _write(logs, "triggers.log", b"   ")
+    _write(logs, "triggers.log", b" \n\t \xe3\x80\x80")
     _write(logs, "data_types/data_types_script.txt", b"F(x)\n-----\n")
     assert [r.file for r in files.scan_logs(spark, logs).collect()] == ["effects.log"]
     assert [r.file for r in files.scan_data_types(spark, logs).collect()] == ["data_types_script.txt"]
 
 
+def test_scans_take_uris(spark, tmp):
+    _write(tmp, "events/a.txt", b"a = { }")
+    _write(tmp, "localization/english/x.yml", b' k:0 "v"\n')
+    _write(tmp, "logs/effects.log", b"a - b\n----\n")
+    _write(tmp, "logs/data_types/d.txt", b"F(x)\n-----\n")
+    for root in (tmp, f"file://{tmp}", f"file:{tmp}/"):
+        assert [r.path for r in files.scan_scripts(spark, root, ["events", "none"]).collect()] == ["events/a.txt"]
+        assert [r.path for r in files.scan_localization(spark, root).collect()] == ["localization/english/x.yml"]
+        assert [r.file for r in files.scan_logs(spark, f"{root}/logs").collect()] == ["effects.log"]
+        assert [r.file for r in files.scan_data_types(spark, f"{root}/logs").collect()] == ["d.txt"]
+        assert files.scan_scripts(spark, root, ["none"]).count() == 0
+    files.write_jsonl(spark.range(3), f"file://{tmp}/d")
+    assert files.dataset_sizes(spark, {"d": f"file://{tmp}/d"}).first().records == 3
+
+
+def test_bad_json_line_is_an_error(spark, tmp):
+    import pytest
+    _write(tmp, "x.jsonl", b'{"text": "a"}\nnot json\n')
+    with pytest.raises(Exception):
+        files.read_jsonl(spark, os.path.join(tmp, "x.jsonl"), "text string").collect()
+
+
+def test_log_append_keeps_order(spark, tmp):
+    rows = spark.range(1000).select(F.col("id").alias("seq"), F.current_timestamp().alias("ts"), (F.col("id") / 7).alias("val_score"),
+                                    *[F.lit(0.0).alias(c) for c in ("syntax", "keyword", "structure")],
+                                    F.lit("ok").alias("status"), F.lit(1.0).alias("elapsed_s"), F.lit('{"a":1}').alias("config"))
+    path = os.path.join(tmp, "log")
+    results_log.append_results(rows.where("seq >= 500").repartition(8), path)
+    results_log.append_results(rows.where("seq < 500").repartition(8), path)
+    back = results_log.read_results(spark, path).orderBy("seq").collect()
+    assert [r.seq for r in back] == list(range(1000))
+    assert all(abs(r.val_score - r.seq / 7) < 1e-6 for r in back)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) >= 8
+
+
+def test_log_of_the_original_tool_is_numbered_in_file_order(spark, tmp):
+    head = "timestamp\tval_score\tsyntax\tkeyword\tstructure\tstatus\telapsed_s\tconfig\n"
+    _write(tmp, "results.tsv", (head + "".join(f"t{i}\t0.{i}\t0\t0\t0\tok\t1\t{{}}\n" for i in range(9)) + "short\t1\n").encode())
+    back = results_log.read_results(spark, os.path.join(tmp, "results.tsv")).orderBy("seq").collect()
+    assert [r.timestamp for r in back] == [f"t{i}" for i in range(9)]
+
+
+def test_experiment_log_and_reports(spark, tmp):
+    _write(tmp, "e.tsv", b"commit\tval_score\tmemory_gb\tstatus\tdescription\na1\t0.5\tx\t keep \td\nb2\t\t1\tCRASH\te f\n")
+    got = [tuple(r)[1:] for r in results_log.read_experiments(spark, os.path.join(tmp, "e.tsv")).orderBy("seq").collect()]
+    assert got == [("a1", 0.5, None, "KEEP", "d"), ("b2", None, 1.0, "CRASH", "e f")]
+    reports = spark.createDataFrame([('{"a": "x\\ny"}',), ("{}",)], "report string")
+    files.write_reports(reports, os.path.join(tmp, "reports"))
+    files.write_reports(reports, os.path.join(tmp, "reports"))
+    assert sorted(r.report for r in files.read_reports(spark, os.path.join(tmp, "reports")).collect()) == sorted(2 * ['{"a": "x\\ny"}', "{}"])
+
+
+def test_hot_values_rank_exactly(spark):
+    df = spark.range(600).select(F.col("id").alias("seq"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).cast("double").alias("v"))
+    got = [r.seq for r in ordered.global_rank(df, F.col("v"), cuts=16).orderBy("rank").collect()]
+    want = sorted(range(600), key=lambda i: (i % 3 == 0, -(i % 2) if i % 3 else 0, i))
+    assert got == want
+
+
+def test_scan_spans_groups_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SUPER", 3)
+    vals = [(i * 37 % 101, None if i % 5 == 0 else float(i % 17)) for i in range(101)]
+    df = spark.createDataFrame(vals, "seq long, v double")
+    rows = ordered.seq_scan(df, width=4, idx="i", running_max={"m": (F.col("v"), True), "b": (F.col("v"), False)},
+                            lag={"l": F.col("v")}, first={"f": F.col("v")}).orderBy("seq").collect()
+    by = [v for _, v in sorted(vals)]
+    top = lambda xs: max((x for x in xs if x is not None), default=None)
+    assert [r.i for r in rows] == list(range(101))
+    assert [r.m for r in rows] == [top(by[:k + 1]) for k in range(101)] and [r.b for r in rows] == [top(by[:k]) for k in range(101)]
+    assert [r.l for r in rows] == [None, *by[:-1]] and {r.f for r in rows} == {by[0]}
+
+
 def test_jsonl_round_trip_and_sizes(spark, tmp):
     df = spark.createDataFrame([("é", None)], "text string, path string")
     out = os.path.join(tmp, "d.jsonl")
@@ -89,7 +161,7 @@ def test_bucketed_scans_match_pandas(spark):
     lag = ordered.lag_by_seq(df, "v", "seq", "p", width=64).orderBy("seq").toPandas()
     exp_lag = pdf.v.shift(1)
     assert all((a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(lag.p[1:], exp_lag[1:]))
-    g = ordered.global_rank(df, [F.col("v").desc_nulls_last(), F.col("seq")], "rank").toPandas()
+    g = ordered.global_rank(df, F.col("v"), "seq", "rank", cuts=8).toPandas()
     exp_order = pdf.assign(key=pdf.v.fillna(-1)).sort_values(["key", "seq"], ascending=[False, True]).seq.tolist()
     assert g.sort_values("rank").seq.tolist() == exp_order and sorted(g["rank"]) == list(range(1, n + 1))
 
@@ -101,3 +173,16 @@ def test_hot_key_split_positions(spark):
     from scriptmill.operators import mix
     s = mix.split_train_val(df, "k", bits=6)
     assert sorted(r.pos for r in s.select("pos").collect()) == list(range(3000))
+
+
+def test_building_the_log_queries_starts_no_job(spark):
+    from scriptmill.plans.queries import QUERIES
+
+    sc = spark.sparkContext
+    sf = "/root/testdata/sf0.001"
+    for name in ("log_running_best", "log_hits", "log_hits_total", "sweep_ranking", "sweep_new_best", "sft_split", "train_text", "grid_expand"):
+        sc.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, sf)
+        tables = {"sft_split": 5, "train_text": 5}.get(name, 1)  # reading a table's schema is a job
+        assert len(sc.statusTracker().getJobIdsForGroup(f"build-{name}")) <= 2 * tables, name
+    sc.setLocalProperty("spark.jobGroup.id", None)
