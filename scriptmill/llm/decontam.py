@@ -72,26 +72,23 @@ class _Words:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.kinds: list[int] = []
-        self.codes: list[int] = []
-        self.arrays = None
+        self.kinds, self.codes = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=np.uint64)
 
     def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.number) > CACHE_WORDS:
             self.clear()
-        number, known = self.number, len(self.kinds)
-        ids = np.array([number.setdefault(t, len(number)) for t in tokens], dtype=np.int64)
-        if len(number) > known:
-            for t in list(number)[known:]:
-                low = t.lower()
-                kind = (_ENDER if t in ".!?:\n" else _NUMBER if t[0].isdigit() or low in NUMBER_WORDS else
-                        _UNIT if low in UNITS else _CAPITAL if t[0].isupper() and t[1:] == t[1:].lower() else _LITERAL)
-                self.kinds.append(kind)
-                self.codes.append(xxhash.xxh64_intdigest(low))
-            self.arrays = None
-        if self.arrays is None:
-            self.arrays = np.array(self.kinds, dtype=np.int8), np.array(self.codes, dtype=np.uint64)
-        return self.arrays[0][ids], self.arrays[1][ids]
+        number, known = self.number, len(self.number)
+        give = number.setdefault
+        ids = np.array([give(t, len(number)) for t in tokens], dtype=np.int64)
+        while len(number) > len(self.kinds):
+            self.kinds, self.codes = np.resize(self.kinds, 2 * len(self.kinds)), np.resize(self.codes, 2 * len(self.codes))
+        # the tokens met for the first time are the last keys
+        for i, t in zip(range(len(number) - 1, known - 1, -1), reversed(number), strict=False):
+            low = t.lower()
+            self.kinds[i] = (_ENDER if t in ".!?:\n" else _NUMBER if t[0].isdigit() or low in NUMBER_WORDS else
+                             _UNIT if low in UNITS else _CAPITAL if t[0].isupper() and t[1:] == t[1:].lower() else _LITERAL)
+            self.codes[i] = xxhash.xxh64_intdigest(low)
+        return self.kinds[ids], self.codes[ids]
 
 
 def canonical(text: str | None, words: _Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
