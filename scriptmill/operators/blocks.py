@@ -1,29 +1,24 @@
 """Comment stripping and top-level block extraction for script text.
 
-Block rules (what a line walker would do): outside a block, a line whose
-stripped form matches ``name = {`` (``name`` = a word character then word
-characters or dots) opens a block; brace depth counts ``{`` minus ``}`` per
-line with quotes ignored; the block ends on the first line where the depth
-falls to zero or below, or at the end of the text.  Lines inside a block are
-never openers of their own; other lines are passed over one at a time.
-
-Set form used here (no scanner): with ``d`` the per-line brace delta and
-``P`` its running sum, a candidate opener at line ``s`` ends at the first
-line ``e >= s`` with ``P[e] <= P[s-1]``.  Those intervals are nested or
-disjoint, so the walked blocks are exactly the candidates not covered by an
-earlier candidate.  A line with ``d < 0`` "closes" every level in
-``[P[e], P[e-1])``; the end of a candidate opened at level ``b`` is the first
-later close event at level ``b``.  All of it is windows partitioned by file,
-so the plan needs one shuffle on the path and no join.  A single file is one
-window partition: a file must fit in a task, as it must fit in a row.
+Block rules: outside a block, a line whose stripped form matches ``name = {``
+(``name`` = a word character then word characters or dots) opens a block; the
+brace level is a running sum of ``{`` minus ``}`` per line with quotes ignored;
+the block reaches to the first line after which the level is back where it was
+before the opener, or to the end of the text.  Lines inside a block open
+nothing of their own.
+
+A file is one row and stays one: its lines are an array, a fold over their
+(level change, may open) pairs gives the spans of the blocks, and each block is
+cut out of the array by ``slice``.  No shuffle, no window, no sort; the cost is
+linear in a file's lines.  A single file is one row, as the scan made it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD, WS, col_of, count_char, py_strip
+from ..functions.text import WORD, WS, col_of, count_char
 
 # Strings run from a quote to the next quote (no escapes) or to the end of the
 # text; '#' outside a string starts a comment that runs to the end of the line.
@@ -36,6 +31,39 @@ def strip_comments(text) -> Column:
     return F.regexp_replace(col_of(text), COMMENT_RE, "$1")
 
 
+def block_spans(lines) -> Column:
+    """``array<struct<first, last, above>>`` of the blocks in an array of lines:
+    0-based first and last line, and the last line before the first that is no
+    ``#`` line (-1 if there is none)."""
+    facts = F.transform(col_of(lines), lambda x: F.struct(
+        (count_char(x, "{") - count_char(x, "}")).alias("change"),
+        (x.contains("{") & x.rlike(OPENER_RE)).alias("opens"),
+        x.rlike(rf"^{WS}*#").alias("hash")))
+    span = "array<struct<first:int,last:int,above:int>>"
+    none = F.lit(-1)
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("level"), none.alias("first"),
+                     F.lit(0).cast("long").alias("floor"), none.alias("above"), none.alias("plain"),
+                     F.array().cast(span).alias("spans"))
+
+    def step(a: Column, x: Column) -> Column:
+        opening = (a["first"] < 0) & x["opens"]
+        first = F.when(opening, a["at"]).otherwise(a["first"])
+        floor = F.when(opening, a["level"]).otherwise(a["floor"])
+        above = F.when(opening, a["plain"]).otherwise(a["above"])
+        level = a["level"] + x["change"]
+        closing = (first >= 0) & (level <= floor)
+        done = F.array(F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above")))
+        return F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.when(closing, none).otherwise(first).alias("first"),
+                        floor.alias("floor"), above.alias("above"), F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"),
+                        F.when(closing, F.concat(a["spans"], done)).otherwise(a["spans"]).alias("spans"))
+
+    def finish(a: Column) -> Column:
+        rest = F.array(F.struct(a["first"].alias("first"), (a["at"] - 1).alias("last"), a["above"].alias("above")))
+        return F.when(a["first"] >= 0, F.concat(a["spans"], rest)).otherwise(a["spans"])
+
+    return F.aggregate(facts, start, step, finish)
+
+
 def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """One row per top-level block of each text.
 
@@ -44,91 +72,15 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
     and ``comment_header`` the run of ``#`` lines directly above the opener.
     Any extra columns of ``df`` are not carried; join on ``path`` for them.
     """
-    lines = (df.select(F.col(path).alias("_path"), F.col(text).alias("_text"))
-               .repartition("_path")
-               .select("_path", F.posexplode(F.split("_text", "\n", -1)).alias("ln", "line")))
-
-    # Sort 1 (path, ln): running depth, file length, running count of
-    # non-comment lines (``nc``), which later keys the comment headers.
-    by_line = Window.partitionBy("_path").orderBy("ln")
-    run = by_line.rowsBetween(Window.unboundedPreceding, 0)
-    lines = (lines
-             .withColumn("d", count_char("line", "{") - count_char("line", "}"))
-             .withColumn("name", F.regexp_extract("line", OPENER_RE, 1))
-             .withColumn("is_c", py_strip("line").startswith("#"))
-             .withColumn("P", F.sum("d").over(run))
-             .withColumn("nc", F.count(F.when(~F.col("is_c"), 1)).over(run))
-             .withColumn("last_ln", F.max("ln").over(by_line.rowsBetween(Window.unboundedPreceding,
-                                                                        Window.unboundedFollowing)))
-             .withColumn("base", F.col("P") - F.col("d")))
-
-    ev = F.struct
-    empty = "array<struct<kind:int,level:bigint>>"
-    plain = F.array(ev(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("level")))
-    opens = F.when(F.col("name") != "", F.array(ev(F.lit(1).alias("kind"), F.col("base").alias("level")))) \
-             .otherwise(F.array().cast(empty))
-    closes = F.when(F.col("d") < 0,
-                    F.transform(F.sequence(F.col("P"), F.col("base") - 1),
-                                lambda lv: ev(F.lit(2).alias("kind"), lv.alias("level")))) \
-              .otherwise(F.array().cast(empty))
-    # only plain rows carry the line text through the sorts
-    events = (lines.withColumn("ev", F.explode(F.concat(plain, opens, closes)))
-                   .select("_path", "ln", "d", "nc", "last_ln", "ev.kind", "ev.level",
-                           F.when(F.col("ev.kind") == 0, F.col("line")).alias("line"),
-                           F.when(F.col("ev.kind") == 0, F.col("name")).alias("name"),
-                           F.when(F.col("ev.kind") == 0, F.col("is_c")).alias("is_c"))
-                   .withColumn("neg_ln", -F.col("ln")))
-
-    # Sort 2 (path, level, -ln): first later close at the candidate's level,
-    # as a running frame in reversed order (linear, not a per-row rescan).
-    later = Window.partitionBy("_path", "level").orderBy("neg_ln").rangeBetween(Window.unboundedPreceding, -1)
-    events = events.withColumn(
-        "e",
-        F.when(F.col("kind") == 1,
-               F.when(F.col("d") <= 0, F.col("ln"))
-                .otherwise(F.coalesce(F.min(F.when(F.col("kind") == 2, F.col("ln"))).over(later),
-                                      F.col("last_ln")))))
-    # Sort 3 (path, ln): a candidate is walked when no earlier candidate's
-    # interval covers it; then the latest walked block at or before each line.
-    before = Window.partitionBy("_path").orderBy("ln").rangeBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("_path").orderBy("ln").rangeBetween(Window.unboundedPreceding, 0)
-    events = events.withColumn(
-        "kept", (F.col("kind") == 1)
-        & F.coalesce(F.max("e").over(before) < F.col("ln"), F.lit(True)))
-    events = (events
-              .withColumn("blk_s", F.max(F.when(F.col("kept"), F.col("ln"))).over(upto))
-              .withColumn("blk_e", F.max(F.when(F.col("kept"), F.col("e"))).over(upto))
-              .withColumn("blk_k", F.max(F.when(F.col("kept"), F.col("nc"))).over(upto)))
-
-    # Each line is code of the block it lies in, and a '#' line is header
-    # material of the next non-comment line (key nc + 1); groups that get no
-    # code line (the next line opens no walked block) are dropped.
-    rows = events.where(F.col("kind") == 0)
-    in_block = F.col("blk_s").isNotNull() & (F.col("ln") <= F.col("blk_e"))
-    part = F.struct
-    role_t = "array<struct<key:bigint,role:int>>"
-    roles = F.concat(
-        F.when(in_block, F.array(part(F.col("blk_k").alias("key"), F.lit(0).alias("role"))))
-         .otherwise(F.array().cast(role_t)),
-        F.when(F.col("is_c"), F.array(part((F.col("nc") + 1).alias("key"), F.lit(1).alias("role"))))
-         .otherwise(F.array().cast(role_t)))
-    tagged = (rows.select("_path", "ln", "line", "name", F.explode(roles).alias("r"))
-                  .select("_path", "ln", "line", "name", "r.key", "r.role"))
-
-    def joined(role: int) -> Column:
-        items = F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("ln", "line"))))
-        return F.array_join(F.transform(items, lambda x: x["line"]), "\n")
-
-    code_ln = F.when(F.col("role") == 0, F.col("ln"))
-    return (tagged.groupBy("_path", "key")
-                  .agg(F.min(code_ln).alias("start"),
-                       F.min_by(F.col("name"), code_ln).alias("name"),
-                       joined(0).alias("code"),
-                       joined(1).alias("comment_header"),
-                       F.count(code_ln).alias("lines"))
-                  .where(F.col("start").isNotNull())
-                  .select(F.col("_path").alias(path), F.col("start").cast("long").alias("ln"), "name", "code",
-                          "comment_header", F.col("lines").cast("long").alias("lines")))
+    cut = lambda first, n: F.array_join(F.slice("_lines", first, n), "\n")  # noqa: E731  1-based
+    b = F.col("_b")
+    return (df.select(F.col(path).alias("_path"), F.split(F.col(text), "\n", -1).alias("_lines"))
+            .select("_path", "_lines", F.explode(block_spans("_lines")).alias("_b"))
+            .select(F.col("_path").alias(path), b["first"].cast("long").alias("ln"),
+                    F.regexp_extract(F.element_at("_lines", b["first"] + 1), OPENER_RE, 1).alias("name"),
+                    cut(b["first"] + 1, b["last"] - b["first"] + 1).alias("code"),
+                    cut(b["above"] + 2, b["first"] - b["above"] - 1).alias("comment_header"),
+                    (b["last"] - b["first"] + 1).cast("long").alias("lines")))
 
 
 def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFrame:
