@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import BASE_MODEL
+from ..fixed import BASE_MODEL, RESULTS_NUMERIC
 from ..functions.text import col_of, cut_with_ellipsis, py_strip
 from .grid import resolve_config
 from .ordered import SEQ_BUCKET_WIDTH, global_rank, rank_by_seq, running_max_by_seq, seq_scan
@@ -129,7 +129,7 @@ def run_metrics(results: DataFrame, overrides, extra: dict[str, Column] | None =
 def typed_results(results: DataFrame) -> DataFrame:
     """Numeric result columns parsed leniently (text that is no number -> null)."""
     out = results
-    for c in ["val_score", "syntax", "keyword", "structure", "elapsed_s"]:
+    for c in RESULTS_NUMERIC:
         out = out.withColumn(c, F.expr(f"try_cast({c} as double)"))
     return out
 

@@ -18,18 +18,15 @@ from ..functions.text import py_strip
 
 
 def result_lines(spark: SparkSession, path: str, columns=RESULTS_COLUMNS) -> DataFrame:
-    """Streaming rows of a result-log directory, with lenient numbers.
-
-    ``order`` is (file path, line text) and only breaks exact score ties.
-    """
-    header = "\t".join(columns)
+    """Streaming rows of a result-log directory, with lenient numbers; ``seq``
+    is the stored log order (null in logs without it)."""
+    header = F.array(*[F.lit(c) for c in columns])
     lines = (spark.readStream.format("text").option("pathGlobFilter", "*.csv").load(path)
-             .select(F.col("_metadata.file_path").alias("file"), py_strip("value").alias("line"))
-             .where(F.col("line") != header))
-    parts = F.split("line", "\t", -1)
-    rows = lines.where(F.size(parts) >= len(columns)) \
-                .select("file", *[parts[i].alias(c) for i, c in enumerate(columns)])
-    return rows.withColumn("score", F.expr("try_cast(val_score as double)"))
+             .select(F.col("_metadata.file_path").alias("file"), F.split(py_strip("value"), "\t", -1).alias("f"))
+             .where((F.size("f") >= len(columns)) & (F.slice("f", 1, len(columns)) != header)))
+    return lines.select("file", *[F.col("f")[i].alias(c) for i, c in enumerate(columns)],
+                        F.expr(f"try_cast(get(f, {len(columns)}) as bigint)").alias("seq"),
+                        F.expr("try_cast(f[1] as double)").alias("score"))
 
 
 def live_status(rows: DataFrame) -> DataFrame:
@@ -37,7 +34,7 @@ def live_status(rows: DataFrame) -> DataFrame:
     ok = F.col("score").isNotNull() & (F.col("score") > 0) & F.get_json_object("config", "$").isNotNull()
     agg = rows.agg(F.count(F.lit(1)).alias("num_experiments"),
                    F.max(F.when(ok, F.col("score"))).alias("best"),
-                   F.min_by(F.col("config"), F.when(ok, F.struct(-F.col("score"), F.col("timestamp"), F.col("file"))))
+                   F.min_by(F.col("config"), F.when(ok, F.struct(-F.col("score"), F.col("seq"), F.col("timestamp"), F.col("file"))))
                     .alias("cfg"))
     return agg.select("num_experiments", F.col("best").isNotNull().alias("has_best"),
                       F.coalesce("best", F.lit(0.0)).alias("best_val_score"),

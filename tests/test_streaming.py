@@ -27,3 +27,18 @@ def test_live_status_over_growing_log(spark, tmp):
     q.awaitTermination()
     r = spark.sql("select * from status_b").first()
     assert (r.num_experiments, r.best_val_score, r.best_config) == (4, 0.5, '{"a":1}')
+
+
+def test_live_status_reads_what_the_log_appends(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from scriptmill.sources.results_log import append_results
+
+    log = os.path.join(tmp, "results")
+    rows = spark.range(40).select(F.col("id").alias("seq"), F.current_timestamp().alias("ts"), (F.col("id") % 7 / 10).alias("val_score"),
+                                  *[F.lit(0.0).alias(c) for c in ("syntax", "keyword", "structure")], F.lit("ok").alias("status"),
+                                  F.lit(1.0).alias("elapsed_s"), F.concat(F.lit('{"a":'), "id", F.lit("}")).alias("config"))
+    append_results(rows.repartition(4), log)
+    start_live_status(spark, log, os.path.join(tmp, "ck"), "status_c").awaitTermination()
+    r = spark.sql("select * from status_c").first()
+    assert (r.num_experiments, r.best_val_score, r.best_config) == (40, 0.6, '{"a":6}')
