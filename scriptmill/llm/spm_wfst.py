@@ -45,9 +45,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE_WORDS = 200_000
-CACHE_PAIRS = 300_000
-SLICE_CHARS = 4 << 20
+CACHE_WORDS = 80_000
+CACHE_PAIRS = 150_000
+SLICE_CHARS = 1 << 20
 
 
 def _fields(blob: bytes) -> Iterator[tuple[int, object]]:
