@@ -49,6 +49,6 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """``doc_id``, the ids of the text, their number, and whether decoding them
     gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = spm_wfst.decode(spm_wfst.encode(docs.select("doc_id", "text"), model), model)
+    out = spm_wfst.encode_and_decode(docs.select("doc_id", "text"), model)
     return out.select("doc_id", F.col("__ids").alias("ids"), (F.length("__ids") / 4).cast("long").alias("n_ids"),
                       spm_wfst.round_trip().alias("round_trip"))

@@ -52,7 +52,7 @@ def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = spm_wfst.decode(spm_wfst.encode(docs, model), model)
+    out = spm_wfst.encode_and_decode(docs, model)
     return out.select("doc_id", (F.length("__ids") / 4).cast("long").alias("n_ids"), F.crc32("__ids").alias("ids_crc32"),
                       F.crc32(F.col("__decoded").cast("binary")).alias("decoded_crc32"),
                       spm_wfst.round_trip().alias("round_trip"))

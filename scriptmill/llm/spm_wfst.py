@@ -251,18 +251,23 @@ def transducer(model: str) -> Transducer:
     return _TRANSDUCERS[model]
 
 
+def _encoded(texts: pd.Series, t: Transducer) -> list[bytes]:
+    """The ids of each text, in slices of bounded size."""
+    out, held, size = [], [], 0
+    for x in texts:
+        held.append(x)
+        size += len(x)
+        if size >= SLICE_CHARS:
+            out += t.encode_batch(held)
+            held, size = [], 0
+    return out + t.encode_batch(held)
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """Every column of ``docs`` plus ``__ids`` (little-endian unsigned 32 bit, binary)."""
     @F.pandas_udf("binary")
     def run(texts: pd.Series) -> pd.Series:
-        t, out, held, size = transducer(model), [], [], 0
-        for x in texts:
-            held.append(x)
-            size += len(x)
-            if size >= SLICE_CHARS:
-                out += t.encode_batch(held)
-                held, size = [], 0
-        return pd.Series(out + t.encode_batch(held), dtype=object)
+        return pd.Series(_encoded(texts, transducer(model)), dtype=object)
 
     return docs.withColumn("__ids", run(F.coalesce("text", F.lit(""))))
 
@@ -277,6 +282,18 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.withColumn("__decoded", run("__ids"))
 
 
+def encode_and_decode(docs: DataFrame, model: str) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: both columns from one Python worker a task."""
+    @F.pandas_udf("ids binary, decoded string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        t = transducer(model)
+        ids = _encoded(texts, t)
+        return pd.DataFrame({"ids": ids, "decoded": [t.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]})
+
+    return (docs.withColumn("__both", run(F.coalesce("text", F.lit(""))))
+            .select(*docs.columns, F.col("__both.ids").alias("__ids"), F.col("__both.decoded").alias("__decoded")))
+
+
 def round_trip() -> Column:
     """Whether ``__decoded`` is the text.  The one change of the normaliser that
     decoding cannot undo is a mark in the text, which reads as a space."""

@@ -64,6 +64,7 @@ def test_frames(spark, library):
     data = [(i, x, "x") for i, x in enumerate(TEXTS)] + [(None, "no id", "x"), (3, TEXTS[3], "x")]
     docs = spark.createDataFrame(data, "doc_id long, text string, ids string")
     out = W.decode(W.encode(docs, MODEL), MODEL)
+    assert sorted(map(str, W.encode_and_decode(docs, MODEL).collect())) == sorted(map(str, out.collect()))
     assert out.columns == ["doc_id", "text", "ids", "__ids", "__decoded"]
     rows = out.collect()
     assert len(rows) == len(data)
