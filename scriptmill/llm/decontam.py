@@ -12,9 +12,11 @@ differently used slots are not.  A document holds an item if one consistent
 alignment covers at least ``min_coverage`` of the item's windows.
 
 Canonical form.  A number starts with a digit or is a number word; a unit is a
-unit word next to a number; a name is a capitalised word that does not begin
-a sentence, and neighbouring names are one slot.  A window needs at least
-``min_literals`` plain words, so that placeholders alone match nothing.
+unit word next to a number; a name is a capitalised word, and neighbouring
+names are one slot.  Whether a capitalised word that begins a sentence is a name
+cannot be told, so texts are read both ways: such words all plain, or all names;
+a window matches in either reading.  A window needs at least ``min_literals``
+plain words, so that placeholders alone match nothing.
 
 Plan.  The windows of documents are computed in Arrow batches and kept if
 their hash is set in a bitmap of fixed size built from the benchmark (2 MB
@@ -32,13 +34,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from scriptmill.llm.common import doc_key, materialize
 
@@ -91,29 +93,59 @@ class _Words:
         return self.kinds[ids], self.codes[ids]
 
 
-def canonical(text: str | None, words: _Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, first token of each canonical token (and the end), its kind and its code."""
+@dataclass
+class Reading:
+    """A canonical form of a text.  ``at`` numbers the tokens as in the literal
+    reading, so places in both readings compare."""
+
+    tokens: list[str]
+    first: np.ndarray  # first token of each canonical token, and the end
+    kinds: np.ndarray
+    codes: np.ndarray
+    at: np.ndarray
+    changed: np.ndarray | None = None  # tokens read otherwise than in the literal reading
+
+
+def readings(text: str | None, words: _Words) -> list[Reading]:
+    """The literal reading, in which a capitalised word that begins a sentence is
+    a plain word, and, if there is such a word, the one in which it is a name."""
     tokens = _TOKEN.findall(text or "")
     if not tokens:
-        return [], np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64)
+        none = np.zeros(0, dtype=np.int64)
+        return [Reading([], np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64), none)]
     kinds, codes = words.look_up(tokens)
     ender = kinds == _ENDER
     begins = np.concatenate(([True], ender[:-1]))  # of a sentence
     place = np.flatnonzero(~ender)
     kinds, codes, begins = kinds[place], codes[place], begins[place]
-    kinds = np.where((kinds == _CAPITAL) & begins, _LITERAL, kinds)
     # a unit word counts as one only beside a number of its own sentence
     number = kinds == _NUMBER
     beside = np.zeros(len(kinds), dtype=bool)
     beside[1:] |= number[:-1] & ~begins[1:]
     beside[:-1] |= number[1:] & ~begins[1:]
     kinds = np.where((kinds == _UNIT) & ~beside, _LITERAL, kinds)
-    name = kinds == _CAPITAL
-    head = np.ones(len(kinds), dtype=bool)
-    head[1:] = ~(name[1:] & name[:-1] & (np.diff(place) == 1))
-    kinds, codes = kinds[head], codes[head]
-    codes = np.where(kinds == _LITERAL, codes, _CODES[kinds])
-    return tokens, np.append(place[head], len(tokens)), kinds, codes
+    follows = np.diff(place) == 1
+    initial = (kinds == _CAPITAL) & begins
+
+    def read(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        name = kinds == _CAPITAL
+        head = np.ones(len(kinds), dtype=bool)
+        head[1:] = ~(name[1:] & name[:-1] & follows)
+        kinds = kinds[head]
+        return np.append(place[head], len(tokens)), kinds, np.where(kinds == _LITERAL, codes[head], _CODES[kinds]), np.flatnonzero(head)
+
+    first, plain, plain_codes, heads = read(np.where(initial, _LITERAL, kinds))
+    out = [Reading(tokens, first, plain, plain_codes, np.arange(len(plain)))]
+    if initial.any():
+        first, named, named_codes, at = read(kinds)
+        out.append(Reading(tokens, first, named, named_codes, np.searchsorted(heads, at), initial[at]))
+    return out
+
+
+def canonical(text: str | None, words: _Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The literal reading: tokens, first token of each canonical token (and the end), its kind and its code."""
+    r = readings(text, words)[0]
+    return r.tokens, r.first, r.kinds, r.codes
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -125,36 +157,74 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def _windows(r: Reading, size: int, min_literals: int, wanted=None) -> Iterator[tuple]:
+    hashes = window_hashes(r.codes, size)
+    if not len(hashes):
+        return
+    sums = lambda flags: (lambda c: c[size:] - c[:-size])(np.concatenate(([0], np.cumsum(flags))))
+    ok = sums(r.kinds == _LITERAL) >= min_literals
+    if r.changed is not None:
+        ok &= sums(r.changed) > 0  # the others are windows of the literal reading
+    if wanted is not None:
+        ok &= wanted(hashes)
+    tokens, first, kinds = r.tokens, r.first, r.kinds
+    for p in np.flatnonzero(ok).tolist():
+        template, slots = [], []
+        for i in range(p, p + size):
+            if kinds[i] == _LITERAL:
+                template.append(tokens[first[i]].lower())
+            else:
+                template.append(PLACEHOLDERS[kinds[i]])
+                end = first[i] + 1
+                while kinds[i] == _CAPITAL and end < first[i + 1] and _TOKEN.fullmatch(tokens[end]) and tokens[end] not in ".!?:\n":
+                    end += 1
+                slots.append({"type": PLACEHOLDERS[kinds[i]], "value": " ".join(tokens[first[i]:end]).lower(), "at": int(r.at[i])})
+        yield int(r.at[p]), size, int(hashes[p].view(np.int64)), " ".join(template), slots
+
+
 def windows(text: str | None, words: _Words, sizes: list[int], min_literals: int, wanted=None) -> list[tuple]:
-    """(place, size, hash, template, slots) of the usable windows whose hash is
-    ``wanted`` (all if None); slots: type and value of each placeholder."""
-    tokens, first, kinds, codes = canonical(text, words)
-    literals = np.concatenate(([0], np.cumsum(kinds == _LITERAL)))
-    out = []
-    for size in sizes:
-        hashes = window_hashes(codes, size)
-        if not len(hashes):
-            continue
-        ok = literals[size:] - literals[:-size] >= min_literals
-        if wanted is not None:
-            ok &= wanted(hashes)
-        for p in np.flatnonzero(ok).tolist():
-            template, slots = [], []
-            for i in range(p, p + size):
-                if kinds[i] == _LITERAL:
-                    template.append(tokens[first[i]].lower())
-                else:
-                    template.append(PLACEHOLDERS[kinds[i]])
-                    end = first[i] + 1
-                    while kinds[i] == _CAPITAL and end < first[i + 1] and _TOKEN.fullmatch(tokens[end]) and tokens[end] not in ".!?:\n":
-                        end += 1
-                    slots.append({"type": PLACEHOLDERS[kinds[i]], "value": " ".join(tokens[first[i]:end]).lower()})
-            out.append((p, size, int(hashes[p].view(np.int64)), " ".join(template), slots))
-    return out
+    """(place, size, hash, template, slots) of the usable windows of both readings
+    whose hash is ``wanted`` (all if None); slots: type, value and place of each placeholder."""
+    return [w for r in readings(text, words) for size in sizes for w in _windows(r, size, min_literals, wanted)]
 
 
 _WORDS = _Words()  # per Python worker
-SLOTS = "array<struct<type:string,value:string>>"
+SLOTS = "array<struct<type:string,value:string,at:int>>"
+HITS = ["item_at", "doc_at", "item_slots", "doc_slots"]
+
+
+PAIRS = "array<struct<item_slots:struct<type:string,value:string>,doc_slots:struct<type:string,value:string>>>"
+
+
+def _pairs(hit: tuple) -> list[tuple]:
+    """(type, item value, document value, item place, document place) of a hit's slots."""
+    return [(a["type"], a["value"], b["value"], a["at"], b["at"]) for a, b in zip(hit[2], hit[3], strict=True)]
+
+
+def _points(hits: list[tuple]) -> dict[tuple[int, int], list[tuple]]:
+    """Slot pairs by (item place, document place): of both readings the one
+    with fewer slots, as the other calls equal words a name."""
+    out: dict[tuple[int, int], list[tuple]] = {}
+    for hit in hits:
+        at, pairs = (hit[0], hit[1]), sorted(_pairs(hit))
+        if at not in out or (len(pairs), pairs) < (len(out[at]), out[at]):
+            out[at] = pairs
+    return out
+
+
+def best_alignment(hits: list[tuple], n_windows: int, min_coverage: float) -> tuple[int, list[dict]] | None:
+    """Windows matched by, and pairs of values of, the best consistent alignment of a document and an item."""
+    by_shift: dict[int, dict[tuple[int, int], list[tuple]]] = {}
+    for (i, d), pairs in _points(hits).items():
+        by_shift.setdefault(d - i, {})[i, d] = pairs
+    best = None
+    for _, points in sorted(by_shift.items()):
+        pairs = {p[:3] for ps in points.values() for p in ps}
+        matched = len({i for i, _ in points})
+        consistent = len(pairs) == len({p[:2] for p in pairs}) == len({(p[0], p[2]) for p in pairs})
+        if consistent and matched / n_windows >= min_coverage and (best is None or matched > best[0]):
+            best = matched, [{"item_slots": {"type": t, "value": a}, "doc_slots": {"type": t, "value": b}} for t, a, b in sorted(pairs)]
+    return best
 
 
 def item_windows(benchmark: DataFrame, window: int, min_literals: int) -> DataFrame:
@@ -163,9 +233,10 @@ def item_windows(benchmark: DataFrame, window: int, min_literals: int) -> DataFr
         for pdf in batches:
             out = []
             for item, item_id, text in zip(pdf["item"], pdf["item_id"], pdf["text"], strict=True):
-                size = min(window, len(canonical(text, _WORDS)[2]))
-                found = windows(text, _WORDS, [size], min_literals) if size >= min_literals else []
-                out += [(item, item_id, at, n, h, template, slots, len(found)) for at, n, h, template, slots in found]
+                found = [w for r in readings(text, _WORDS) if (size := min(window, len(r.kinds))) >= min_literals
+                         for w in _windows(r, size, min_literals)]
+                places = len({at for at, *_ in found})
+                out += [(item, item_id, at, n, h, template, slots, places) for at, n, h, template, slots in found]
             yield pd.DataFrame(out, columns=["item", "item_id", "item_at", "size", "hash", "template", "item_slots", "n_windows"]
                                ).astype({"item_id": "Int64"})
 
@@ -206,22 +277,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     key = doc_key()
     found = (docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), key["a"].alias("a"), key["b"].alias("b"), "text")
              .mapInPandas(run, f"doc_id long, a long, b long, doc_at int, template string, doc_slots {SLOTS}"))
-    hits = (found.join(items.drop("hash", "size"), "template")
-            .withColumn("shift", F.col("doc_at") - F.col("item_at"))
-            .withColumn("pair", F.explode_outer(F.arrays_zip("item_slots", "doc_slots"))))
-    side = lambda s: F.when(F.col("pair").isNotNull(), F.struct(F.col(f"pair.{s}.type"), F.col(f"pair.{s}.value")))
-    aligned = (hits.groupBy("doc_id", "a", "b", "item", "item_id", "n_windows", "shift")
-               .agg(F.countDistinct("item_at").alias("n_matched"), F.collect_set("pair").alias("slots"),
-                    F.collect_set(side("item_slots")).alias("of_item"), F.collect_set(side("doc_slots")).alias("of_doc"))
-               .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-               .filter((F.size("slots") == F.size("of_item")) & (F.size("slots") == F.size("of_doc"))
-                       & (F.col("coverage") >= min_coverage)))
-    best = Window.partitionBy("doc_id", "a", "b", "item").orderBy(F.desc("coverage"), "shift")
-    return (aligned.withColumn("place", F.row_number().over(best)).filter("place = 1")
-            .select(F.struct(F.col("doc_id").alias("id"), "a", "b").alias("doc"), "doc_id", "item_id",
-                    F.col("n_matched").cast("long").alias("n_matched"), F.col("n_windows").cast("long").alias("n_windows"), "coverage",
-                    F.exists("slots", lambda p: p["item_slots"]["value"] != p["doc_slots"]["value"]).alias("reparameterised"),
-                    "slots"))
+    group = ["doc_id", "a", "b", "item", "item_id", "n_windows"]
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for *of, hits in zip(*(pdf[c] for c in [*group, "hits"]), strict=True):
+                best = best_alignment([tuple(h[c] for c in HITS) for h in hits], of[-1], min_coverage)
+                if best:
+                    out.append((*of, *best))
+            yield pd.DataFrame(out, columns=[*group, "n_matched", "slots"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+    held = (found.join(items.drop("hash", "size"), "template").groupBy(*group)
+            .agg(F.collect_list(F.struct(*HITS)).alias("hits"))  # by document and item: bounded by their windows
+            .mapInPandas(judge, f"doc_id long, a long, b long, item long, item_id long, n_windows int, n_matched long, slots {PAIRS}"))
+    return held.select(F.struct(F.col("doc_id").alias("id"), "a", "b").alias("doc"), "doc_id", "item_id", "n_matched",
+                       F.col("n_windows").cast("long").alias("n_windows"), (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
+                       F.exists("slots", lambda p: p["item_slots"]["value"] != p["doc_slots"]["value"]).alias("reparameterised"),
+                       "slots")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -73,3 +73,20 @@ def test_empty(spark, found):
     d, b, _ = found
     assert D.contamination(d.limit(0), b).count() == 0
     assert D.contamination(d, b.limit(0)).count() == 0
+
+
+def held(spark, items, docs, **limits):
+    b = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in D.contamination(d, b, **limits).collect()}
+
+
+TOM = "Tom has 5 apples. Tom gives 2 to Anna. Tom buys 3 more. How many apples does Tom have now?"
+
+
+def test_sentence_initial_names(spark):
+    maria = TOM.replace("Tom", "Maria").replace("5", "7").replace("2", "4").replace("3", "6")
+    got = held(spark, [TOM, "What is the name of this river"], ["so. " + maria, "now see What is the name of this river here"])
+    assert set(got) == {(0, 0), (1, 1)}
+    assert got[0, 0].reparameterised and got[0, 0].coverage >= 0.75 and not got[1, 1].reparameterised
+    assert ("tom", "maria") in {(p.item_slots.value, p.doc_slots.value) for p in got[0, 0].slots}
