@@ -6,10 +6,12 @@ A benchmark item's windows of ``window`` canonical tokens (the whole item if it
 is shorter) are hash-joined with the windows of all documents.  Matches are
 gathered per document, item and alignment (document place less item place);
 their slot values must be consistent: within an alignment each item value maps
-to one document value of its type and back.  So a question asked again with
-other numbers or names is found, while windows that agree by accident in
-differently used slots are not.  A document holds an item if one consistent
-alignment covers at least ``min_coverage`` of the item's windows.
+to the document value that most of its places have (two item values may share
+one), windows that contradict this are dropped, and windows with equal values
+always count.  So a question asked again with other numbers or names is found,
+while windows that agree by accident in differently used slots are not.  A
+document holds an item if the consistent rest of one alignment covers at least
+``min_coverage`` of the item's windows.
 
 Canonical form.  A number starts with a digit or is a number word; a unit is a
 unit word next to a number; a name is a capitalised word, and neighbouring
@@ -33,6 +35,7 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -212,18 +215,33 @@ def _points(hits: list[tuple]) -> dict[tuple[int, int], list[tuple]]:
     return out
 
 
+def consistent_part(points: dict[tuple[int, int], list[tuple]]) -> dict[tuple[int, int], list[tuple]]:
+    """The windows whose slots agree with the majority: per item value the document
+    value most of its places have (none on a tie).  Windows with equal values always agree."""
+    votes: dict[tuple, Counter] = {}
+    for type_, a, b, *_ in {p for pairs in points.values() for p in pairs}:  # each place once
+        votes.setdefault((type_, a), Counter())[b] += 1
+    chosen = {}
+    for key, counts in votes.items():
+        (value, n), *rest = counts.most_common(2)
+        if not rest or rest[0][1] < n:
+            chosen[key] = value
+    return {at: pairs for at, pairs in points.items()
+            if all(p[1] == p[2] for p in pairs) or all(chosen.get(p[:2]) == p[2] for p in pairs)}
+
+
 def best_alignment(hits: list[tuple], n_windows: int, min_coverage: float) -> tuple[int, list[dict]] | None:
-    """Windows matched by, and pairs of values of, the best consistent alignment of a document and an item."""
+    """Windows matched by, and pairs of values of, the best alignment of a document and an item."""
     by_shift: dict[int, dict[tuple[int, int], list[tuple]]] = {}
     for (i, d), pairs in _points(hits).items():
         by_shift.setdefault(d - i, {})[i, d] = pairs
     best = None
     for _, points in sorted(by_shift.items()):
-        pairs = {p[:3] for ps in points.values() for p in ps}
+        points = consistent_part(points)
         matched = len({i for i, _ in points})
-        consistent = len(pairs) == len({p[:2] for p in pairs}) == len({(p[0], p[2]) for p in pairs})
-        if consistent and matched / n_windows >= min_coverage and (best is None or matched > best[0]):
-            best = matched, [{"item_slots": {"type": t, "value": a}, "doc_slots": {"type": t, "value": b}} for t, a, b in sorted(pairs)]
+        if matched and matched / n_windows >= min_coverage and (best is None or matched > best[0]):
+            pairs = sorted({p[:3] for ps in points.values() for p in ps})
+            best = matched, [{"item_slots": {"type": t, "value": a}, "doc_slots": {"type": t, "value": b}} for t, a, b in pairs]
     return best
 
 

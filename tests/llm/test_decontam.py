@@ -90,3 +90,13 @@ def test_sentence_initial_names(spark):
     assert set(got) == {(0, 0), (1, 1)}
     assert got[0, 0].reparameterised and got[0, 0].coverage >= 0.75 and not got[1, 1].reparameterised
     assert ("tom", "maria") in {(p.item_slots.value, p.doc_slots.value) for p in got[0, 0].slots}
+
+
+def test_slots_are_judged_per_window(spark):
+    pears = "she put {} apples and {} pears into the basket before the others came home"
+    years = "in {} the people of the town built a bridge over the wide river and in {} they built another one of stone"
+    got = held(spark, [pears.format(5, 7), years.format(2010, 2010)],
+               [pears.format(4, 4), years.format(2010, 2011), years.format(2011, 2010), years.format(2011, 2012)])
+    assert set(got) == {(0, 0), (1, 1), (2, 1)}
+    assert got[0, 0].coverage == 1.0 and got[1, 1].n_matched < got[1, 1].n_windows
+    assert not got[1, 1].reparameterised
