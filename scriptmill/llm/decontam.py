@@ -10,10 +10,14 @@ to the document value that most of its places have (two item values may share
 one), windows that contradict this are dropped, and windows with equal values
 always count.  So a question asked again with other numbers or names is found,
 while windows that agree by accident in differently used slots are not.  A
-document holds an item if the consistent rest of one alignment covers at least
-``min_coverage`` of the item's windows.
-
-Canonical form.  A number starts with a digit or is a number word; a unit is a
+document holds an item if the consistent rest of one alignment, or of a chain
+of alignments in order (words put in, left out or counted otherwise between
+them, at most an item's length at a time), covers at least ``min_coverage`` of
+the item's windows, or if that of one alignment covers ``min_run`` tokens without
+a gap.
+
+Canonical form.  A number starts with a digit or is a number word, with the
+number words after it; a unit is a
 unit word next to a number; a name is a capitalised word, and neighbouring
 names are one slot.  Whether a capitalised word that begins a sentence is a name
 cannot be told, so texts are read both ways: such words all plain, or all names;
@@ -26,9 +30,10 @@ however large the benchmark is); the survivors are joined on the whole
 template text, so hash collisions do not matter.
 
 Defined results: null and empty texts have no windows; an item without a
-usable window is never found; rows equal in doc_id and text are one document;
+usable window is found where all its tokens stand verbatim, one of fewer than
+``min_literals`` tokens never; rows equal in doc_id and text are one document;
 items that repeat an item_id are told apart by their text; ties between
-alignments go to the larger coverage, then the smaller alignment; other
+alignments go to the larger coverage, then the smaller alignment, chains last; other
 columns of the input are ignored.
 """
 
@@ -36,7 +41,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +55,7 @@ from scriptmill.llm.common import doc_key, materialize
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
+MIN_RUN = 24
 BITMAP_BITS = 24
 CACHE_WORDS = 300_000
 
@@ -63,7 +69,7 @@ UNITS = frozenset("% $ € £ ° m cm mm km mi ft inch inches mile miles meter m
                   "percent degree degrees celsius fahrenheit watt watts volt volts joule joules".split())
 
 _TOKEN = re.compile(r"[.!?:\n]|\d+(?:[.,]\d+)*|km/h|[^\W\d_]+|[%$€£°]")
-_LITERAL, _NUMBER, _UNIT, _CAPITAL, _ENDER = range(5)
+_LITERAL, _NUMBER, _UNIT, _CAPITAL, _ENDER, _NUMBER_WORD, _ONE = range(7)
 PLACEHOLDERS = ("", "<num>", "<unit>", "<name>")
 _CODES = np.array([0] + [xxhash.xxh64_intdigest(p) for p in PLACEHOLDERS[1:]], dtype=np.uint64)
 _BASE = np.uint64(xxhash.xxh64_intdigest("base") | 1)
@@ -90,7 +96,8 @@ class _Words:
         # the tokens met for the first time are the last keys
         for i, t in zip(range(len(number) - 1, known - 1, -1), reversed(number), strict=False):
             low = t.lower()
-            self.kinds[i] = (_ENDER if t in ".!?:\n" else _NUMBER if t[0].isdigit() or low in NUMBER_WORDS else
+            self.kinds[i] = (_ENDER if t in ".!?:\n" else _NUMBER if t[0].isdigit() else
+                             _NUMBER_WORD if low in NUMBER_WORDS else _ONE if low == "one" else
                              _UNIT if low in UNITS else _CAPITAL if t[0].isupper() and t[1:] == t[1:].lower() else _LITERAL)
             self.codes[i] = xxhash.xxh64_intdigest(low)
         return self.kinds[ids], self.codes[ids]
@@ -121,19 +128,28 @@ def readings(text: str | None, words: _Words) -> list[Reading]:
     begins = np.concatenate(([True], ender[:-1]))  # of a sentence
     place = np.flatnonzero(~ender)
     kinds, codes, begins = kinds[place], codes[place], begins[place]
+    follows = np.diff(place) == 1
+    # number words after a number belong to it; "one" is a number only beside a number word
+    word, one = kinds == _NUMBER_WORD, kinds == _ONE
+    near = np.zeros(len(kinds), dtype=bool)
+    near[1:] |= word[:-1] & follows
+    near[:-1] |= word[1:] & follows
+    word |= one & near
+    kinds = np.where(word, _NUMBER, np.where(one, _LITERAL, kinds))
+    joined = np.zeros(len(kinds), dtype=bool)
+    joined[1:] = word[1:] & (kinds[:-1] == _NUMBER) & follows
     # a unit word counts as one only beside a number of its own sentence
     number = kinds == _NUMBER
     beside = np.zeros(len(kinds), dtype=bool)
     beside[1:] |= number[:-1] & ~begins[1:]
     beside[:-1] |= number[1:] & ~begins[1:]
     kinds = np.where((kinds == _UNIT) & ~beside, _LITERAL, kinds)
-    follows = np.diff(place) == 1
     initial = (kinds == _CAPITAL) & begins
 
     def read(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         name = kinds == _CAPITAL
-        head = np.ones(len(kinds), dtype=bool)
-        head[1:] = ~(name[1:] & name[:-1] & follows)
+        head = ~joined
+        head[1:] &= ~(name[1:] & name[:-1] & follows)
         kinds = kinds[head]
         return np.append(place[head], len(tokens)), kinds, np.where(kinds == _LITERAL, codes[head], _CODES[kinds]), np.flatnonzero(head)
 
@@ -145,6 +161,14 @@ def readings(text: str | None, words: _Words) -> list[Reading]:
     return out
 
 
+def verbatim(text: str | None, words: _Words) -> Reading:
+    """The reading in which every token is a plain word."""
+    tokens = _TOKEN.findall(text or "")
+    kinds, codes = words.look_up(tokens) if tokens else (np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64))
+    place = np.flatnonzero(kinds != _ENDER)
+    return Reading(tokens, np.append(place, len(tokens)), np.zeros(len(place), dtype=np.int8), codes[place], np.arange(len(place)))
+
+
 def canonical(text: str | None, words: _Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """The literal reading: tokens, first token of each canonical token (and the end), its kind and its code."""
     r = readings(text, words)[0]
@@ -179,7 +203,7 @@ def _windows(r: Reading, size: int, min_literals: int, wanted=None) -> Iterator[
             else:
                 template.append(PLACEHOLDERS[kinds[i]])
                 end = first[i] + 1
-                while kinds[i] == _CAPITAL and end < first[i + 1] and _TOKEN.fullmatch(tokens[end]) and tokens[end] not in ".!?:\n":
+                while kinds[i] in (_CAPITAL, _NUMBER) and end < first[i + 1] and _TOKEN.fullmatch(tokens[end]) and tokens[end] not in ".!?:\n":
                     end += 1
                 slots.append({"type": PLACEHOLDERS[kinds[i]], "value": " ".join(tokens[first[i]:end]).lower(), "at": int(r.at[i])})
         yield int(r.at[p]), size, int(hashes[p].view(np.int64)), " ".join(template), slots
@@ -193,7 +217,8 @@ def windows(text: str | None, words: _Words, sizes: list[int], min_literals: int
 
 _WORDS = _Words()  # per Python worker
 SLOTS = "array<struct<type:string,value:string,at:int>>"
-HITS = ["item_at", "doc_at", "item_slots", "doc_slots"]
+HITS = ["item_at", "doc_at", "item_slots", "doc_slots", "size"]
+VERBATIM = "="  # marks the templates of the verbatim reading; no token holds it
 
 
 PAIRS = "array<struct<item_slots:struct<type:string,value:string>,doc_slots:struct<type:string,value:string>>>"
@@ -230,48 +255,103 @@ def consistent_part(points: dict[tuple[int, int], list[tuple]]) -> dict[tuple[in
             if all(p[1] == p[2] for p in pairs) or all(chosen.get(p[:2]) == p[2] for p in pairs)}
 
 
-def best_alignment(hits: list[tuple], n_windows: int, min_coverage: float) -> tuple[int, list[dict]] | None:
-    """Windows matched by, and pairs of values of, the best alignment of a document and an item."""
-    by_shift: dict[int, dict[tuple[int, int], list[tuple]]] = {}
-    for (i, d), pairs in _points(hits).items():
-        by_shift.setdefault(d - i, {})[i, d] = pairs
+def longest_run(places: list[int], size: int) -> int:
+    """Tokens of the longest stretch that windows of one shift cover without a gap."""
+    best = start = last = 0
+    for n, i in enumerate(sorted(places)):
+        if not n or i - last > size:
+            start = i
+        last = i
+        best = max(best, last - start + size)
+    return best
+
+
+def chains(points: Iterable[tuple[int, int]], reach: int) -> Iterator[list[tuple[int, int]]]:
+    """Disjoint chains of (item place, document place), longest first, that rise in
+    both; between neighbours the shift changes by ``reach`` at most, and as little as can be."""
+    order = sorted(points, key=lambda p: (p[1], p[0]))
+    i, d = (np.array(x, dtype=np.int64) for x in zip(*order, strict=True))
+    one = np.int64(1) << np.int64(32)  # a point outweighs any sum of changes
+    value, back = np.full(len(order), one), np.full(len(order), -1)
+    low = np.searchsorted(d, d - 2 * reach)  # item places differ by less than ``reach``
+    for j in range(len(order)):
+        at = slice(low[j], j)
+        change = np.abs((d[j] - d[at]) - (i[j] - i[at]))
+        may = np.flatnonzero((i[at] < i[j]) & (d[at] < d[j]) & (change <= reach))
+        if len(may):
+            gain = value[at][may] - change[may]
+            k = int(gain.argmax())
+            value[j], back[j] = gain[k] + one, low[j] + may[k]
+    used = np.zeros(len(order), dtype=bool)
+    for j in np.argsort(-value, kind="stable").tolist():
+        out = []
+        while j >= 0 and not used[j]:
+            used[j] = True
+            out.append(order[j])
+            j = back[j]
+        if out:
+            yield out
+
+
+def best_alignment(hits: list[tuple], n_windows: int, min_coverage: float, min_run: int | None = None) -> tuple[int, list[dict]] | None:
+    """Windows matched by, and pairs of values of, the best alignment of a
+    document and an item: of one shift or, if ``min_run`` is given, a chain of shifts."""
+    points, size = _points(hits), max(h[4] for h in hits)
+    by_shift: dict[int, list[tuple[int, int]]] = {}
+    for i, d in points:
+        by_shift.setdefault(d - i, []).append((i, d))
     best = None
-    for _, points in sorted(by_shift.items()):
-        points = consistent_part(points)
-        matched = len({i for i, _ in points})
-        if matched and matched / n_windows >= min_coverage and (best is None or matched > best[0]):
-            pairs = sorted({p[:3] for ps in points.values() for p in ps})
+
+    def weigh(places: list[tuple[int, int]], run: int | None) -> None:
+        nonlocal best
+        part = consistent_part({at: points[at] for at in places})
+        matched = len(part)
+        enough = matched / n_windows >= min_coverage or (run is not None and longest_run([i for i, _ in part], size) >= run)
+        if part and enough and (best is None or matched > best[0]):
+            pairs = sorted({p[:3] for ps in part.values() for p in ps})
             best = matched, [{"item_slots": {"type": t, "value": a}, "doc_slots": {"type": t, "value": b}} for t, a, b in pairs]
+
+    for _, places in sorted(by_shift.items()):
+        weigh(places, min_run)
+    if min_run is not None and len(by_shift) > 1 and len({i for i, _ in points}) >= min_coverage * n_windows:
+        for places in chains(points, n_windows + size):
+            if len(places) >= min_coverage * n_windows:
+                weigh(places, None)
     return best
 
 
 def item_windows(benchmark: DataFrame, window: int, min_literals: int) -> DataFrame:
-    """``item, item_id, item_at, hash, template, item_slots, n_windows`` of every usable item window."""
+    """``item, item_id, item_at, size, hash, template, item_slots, n_windows, whole`` of every usable
+    item window; an item without one gives its verbatim windows (``whole``)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for item, item_id, text in zip(pdf["item"], pdf["item_id"], pdf["text"], strict=True):
                 found = [w for r in readings(text, _WORDS) if (size := min(window, len(r.kinds))) >= min_literals
                          for w in _windows(r, size, min_literals)]
+                whole = not found
+                if whole and (size := min(window, len((r := verbatim(text, _WORDS)).kinds))) >= min_literals:
+                    found = [(at, n, h, VERBATIM + template, slots) for at, n, h, template, slots in _windows(r, size, 0)]
                 places = len({at for at, *_ in found})
-                out += [(item, item_id, at, n, h, template, slots, places) for at, n, h, template, slots in found]
-            yield pd.DataFrame(out, columns=["item", "item_id", "item_at", "size", "hash", "template", "item_slots", "n_windows"]
+                out += [(item, item_id, at, n, h, template, slots, places, whole) for at, n, h, template, slots in found]
+            yield pd.DataFrame(out, columns=["item", "item_id", "item_at", "size", "hash", "template", "item_slots", "n_windows", "whole"]
                                ).astype({"item_id": "Int64"})
 
     return (benchmark.filter("text is not null").select(F.xxhash64("item_id", "text").alias("item"),
                                                         F.col("item_id").cast("long").alias("item_id"), "text")
             .dropDuplicates(["item"])
             .mapInPandas(run, f"item long, item_id long, item_at int, size int, hash long, template string, "
-                              f"item_slots {SLOTS}, n_windows int"))
+                              f"item_slots {SLOTS}, n_windows int, whole boolean"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_literals: int = MIN_LITERALS,
-                  min_coverage: float = MIN_COVERAGE) -> DataFrame:
+                  min_coverage: float = MIN_COVERAGE, min_run: int = MIN_RUN) -> DataFrame:
     """One row per document and benchmark item it holds: ``doc`` (key), ``doc_id,
     item_id, n_matched, n_windows, coverage, reparameterised, slots`` (the pairs of values)."""
     spark = docs.sparkSession
     items = materialize(item_windows(benchmark, window, min_literals), "items")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most ``window``
+    seen = items.select("whole", "size").distinct().collect()  # at most 2 * ``window``
+    sizes, whole_sizes = (sorted(r["size"] for r in seen if r["whole"] == w) for w in (False, True))
     bit = F.expr(f"shiftrightunsigned(hash, {64 - BITMAP_BITS})")
     cells = (items.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect())  # at most 2^(BITMAP_BITS-6)
@@ -290,25 +370,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
             for doc_id, a, b, text in zip(pdf["doc_id"], pdf["a"], pdf["b"], pdf["text"], strict=True):
                 out += [(doc_id, a, b, at, template, slots)
                         for at, _, _, template, slots in windows(text, _WORDS, sizes, min_literals, wanted)]
+                out += [(doc_id, a, b, at, VERBATIM + template, slots) for size in whole_sizes
+                        for at, _, _, template, slots in _windows(verbatim(text, _WORDS), size, 0, wanted)]
             yield pd.DataFrame(out, columns=["doc_id", "a", "b", "doc_at", "template", "doc_slots"]).astype({"doc_id": "Int64"})
 
     key = doc_key()
     found = (docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), key["a"].alias("a"), key["b"].alias("b"), "text")
              .mapInPandas(run, f"doc_id long, a long, b long, doc_at int, template string, doc_slots {SLOTS}"))
-    group = ["doc_id", "a", "b", "item", "item_id", "n_windows"]
+    group = ["doc_id", "a", "b", "item", "item_id", "whole", "n_windows"]
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for *of, hits in zip(*(pdf[c] for c in [*group, "hits"]), strict=True):
-                best = best_alignment([tuple(h[c] for c in HITS) for h in hits], of[-1], min_coverage)
+                best = best_alignment([tuple(h[c] for c in HITS) for h in hits], of[-1], *((1.0,) if of[-2] else (min_coverage, min_run)))
                 if best:
                     out.append((*of, *best))
             yield pd.DataFrame(out, columns=[*group, "n_matched", "slots"]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
-    held = (found.join(items.drop("hash", "size"), "template").groupBy(*group)
+    held = (found.join(items.drop("hash"), "template").groupBy(*group)
             .agg(F.collect_list(F.struct(*HITS)).alias("hits"))  # by document and item: bounded by their windows
-            .mapInPandas(judge, f"doc_id long, a long, b long, item long, item_id long, n_windows int, n_matched long, slots {PAIRS}"))
+            .mapInPandas(judge, f"doc_id long, a long, b long, item long, item_id long, whole boolean, n_windows int, n_matched long, slots {PAIRS}"))
     return held.select(F.struct(F.col("doc_id").alias("id"), "a", "b").alias("doc"), "doc_id", "item_id", "n_matched",
                        F.col("n_windows").cast("long").alias("n_windows"), (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
                        F.exists("slots", lambda p: p["item_slots"]["value"] != p["doc_slots"]["value"]).alias("reparameterised"),

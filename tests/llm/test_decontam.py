@@ -100,3 +100,32 @@ def test_slots_are_judged_per_window(spark):
     assert set(got) == {(0, 0), (1, 1), (2, 1)}
     assert got[0, 0].coverage == 1.0 and got[1, 1].n_matched < got[1, 1].n_windows
     assert not got[1, 1].reparameterised
+
+
+def test_edited_and_partial_copies(spark):
+    rng = random.Random(5)
+    words = make(rng, 50).split()
+    half = " ".join(words[:25]), " ".join(words[25:])
+    price = "the man who sold the old boat paid {} for it and then gave {} to his young son at home"
+    sum_ = "Compute 12 + 7 * 3 - 4."
+    docs = [f"{half[0]} oh {half[1]}", f"{half[0]} {' '.join(words[26:])}", make(rng, 30) + " " + " ".join(words[13:37]) + " " + make(rng, 30),
+            " ".join(words[13:30]), price.format("twenty five", "one hundred and six km"), "see: compute 12 7 3 4, then", "Compute 13 + 7 * 3 - 4.",
+            half[1] + " " + half[0], make(rng, 9) + " " + " ".join(words[:20]) + " " + make(rng, 300) + " " + " ".join(words[30:])]
+    got = held(spark, [" ".join(words), price.format(25, 100), sum_, "Ñ. 5"], docs)
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (4, 1), (5, 2), (7, 0)}
+    assert got[0, 0].n_matched == 36 and got[1, 0].n_matched == 35 and got[2, 0].n_matched == 17
+    assert kinds("twenty five or 3 million or one, no one") == ["<num>", "or", "<num>", "or", "one", "no", "one"]
+
+
+def test_chains_match_search_over_all():
+    rng = random.Random(2)
+    for _ in range(60):
+        points = list({(rng.randrange(7), rng.randrange(12)) for _ in range(rng.randint(1, 9))})
+        reach, best = rng.randint(7, 9), 0
+        for mask in range(1, 1 << len(points)):
+            c = sorted(p for k, p in enumerate(points) if mask >> k & 1)
+            if all(a[0] < b[0] and a[1] < b[1] and abs((b[1] - a[1]) - (b[0] - a[0])) <= reach for a, b in zip(c, c[1:])):
+                best = max(best, len(c))
+        found = list(D.chains(points, reach))
+        assert sorted(p for c in found for p in c) == sorted(points)
+        assert len(found[0]) == best
