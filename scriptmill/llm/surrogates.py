@@ -20,9 +20,12 @@ whatever spelling get the same one (coreference), in their own format:
   same entity as after a given name.
 
 Collision checks: two entities of a type never share a surrogate, and no
-surrogate is a real entity of the corpus; an entity that fails is hashed again
-with the next attempt number until none fails (the smaller canonical form
-keeps the surrogate).
+surrogate is a real entity of the corpus (e-mail addresses as a whole: local
+parts differ under one host, and no surrogate host is real); an entity that
+fails is hashed again with the next attempt number until none fails (the smaller
+canonical form keeps the surrogate).  A shape has a finite number of forms, so
+after a few attempts the surrogate grows with each (by a character, syllable or
+digit; private addresses go to 10.0.0.0/8, then addresses grow by an octet).
 
 Only DataFrame functions are used.  Texts without any cue skip the expression
 and the joins; a mention in very many documents is one row of the mapping,
@@ -43,6 +46,7 @@ from pyspark.sql.window import Window
 from scriptmill.llm.common import doc_key, materialize
 
 KEY = "surrogate-key"
+GROW_AFTER = 4
 
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "г-жа")
@@ -124,12 +128,22 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), size), value), F.lit(0), lambda a, b: a + b)
 
 
-def surrogate(kind: Column, canon: Column, h: Column) -> Column:
-    """The surrogate's canonical form for an entity's, by type."""
+def _more(n: Column, one) -> Column:
+    """``n`` pieces ``one(i)`` (i from 1), joined."""
+    return F.when(n <= 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), one), ""))
+
+
+def surrogate(kind: Column, canon: Column, h: Column, grow: Column | None = None) -> Column:
+    """The surrogate's canonical form for an entity's, by type; ``grow`` pieces
+    (characters, syllables, octets) longer, which makes room for any number."""
+    grow = F.lit(0) if grow is None else grow
+    digits = _more(grow, lambda i: _pick("0123456789", _nibbles(h, i + 47)))
+    letters = _more(grow, lambda i: _pick("abcdefghijklmnopqrstuvwxyz", _nibbles(h, i + 47)))
     last = F.length(canon)
     area = {0: "23456789", 3: "23456789"}
     phone = F.when(last == 10, _digits(10, h, area)).otherwise(reshape(canon, h))
-    card = F.concat(F.substring(canon, F.lit(1), F.lit(1)), reshape(F.substring(canon, F.lit(2), last - 2), h))
+    phone = F.concat(phone, digits)
+    card = F.concat(F.substring(canon, F.lit(1), F.lit(1)), reshape(F.substring(canon, F.lit(2), last - 2), h), digits)
     check = F.pmod(F.lit(10) - _luhn_sum(F.concat(card, F.lit("0"))) % 10, F.lit(10))
     card = F.concat(card, F.when(_luhn_sum(canon) % 10 == 0, check).otherwise(
         F.pmod(check + 1 + _nibbles(h, F.lit(0)) % 9, F.lit(10))).cast("string"))
@@ -137,26 +151,32 @@ def surrogate(kind: Column, canon: Column, h: Column) -> Column:
     octet = lambda i: (1 + _nibbles(h, F.lit(i)) % 254).cast("string")
     public = F.element_at(F.array(*[F.lit(str(x)) for x in range(1, 224) if x not in (10, 127, 169, 172, 192, 198, 203)]),
                           (_nibbles(h, F.lit(0)) % 216 + 1).cast("int"))
-    head = (F.when(octets[0].isin("10", "127"), F.concat_ws(".", octets[0], octet(1)))
+    # a private network that is full goes on in the largest one
+    head = (F.when((grow > 0) & canon.rlike(r"^(10|192\.168|169\.254|172\.(1[6-9]|2[0-9]|3[01]))\."), F.concat_ws(".", F.lit("10"), octet(1)))
+            .when(octets[0].isin("10", "127"), F.concat_ws(".", octets[0], octet(1)))
             .when(canon.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2[0-9]|3[01]))\."), F.concat_ws(".", octets[0], octets[1]))
             .otherwise(F.concat_ws(".", public, octet(1))))
+    ip = F.concat(F.concat_ws(".", head, octet(2), octet(3)),
+                  _more(grow - 1, lambda i: F.concat(F.lit("."), (1 + _nibbles(h, i + 47) % 254).cast("string"))))
     ssn = F.concat(_pick("1345", _nibbles(h, F.lit(0))), _digits(2, h, {1: "123456789"}), F.lit("-"), _pick("123456789", _nibbles(h, F.lit(4))),
                    _pick("0123456789", _nibbles(h, F.lit(5))), F.lit("-"), _pick("123456789", _nibbles(h, F.lit(6))),
-                   F.substring(_digits(10, h), F.lit(7), F.lit(3)))
+                   F.substring(_digits(10, h), F.lit(7), F.lit(3)), digits)
     hexadecimal = canon.rlike("^([0-9a-f]+|[0-9A-F]+)$")
-    out = (F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", F.concat_ws(".", head, octet(2), octet(3)))
-           .when(kind == "ssn", ssn).when(kind == "secret", F.when(hexadecimal, reshape(canon, h, "abcdef")).otherwise(reshape(canon, h)))
-           .when(kind.isin("local", "host"), reshape(canon, h)))
+    out = (F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip)
+           .when(kind == "ssn", ssn).when(kind == "secret", F.when(hexadecimal, F.concat(reshape(canon, h, "abcdef"), digits))
+                                                     .otherwise(F.concat(reshape(canon, h), digits)))
+           .when(kind.isin("local", "host"), F.concat(reshape(canon, h), letters)))
     n = lambda i: _nibbles(h, F.lit(i))
     more = F.when(n(9) % 2 == 0, "")  # names grow with the hash, so there are always enough of them
     for script in ("latin", "cyrillic"):
+        syllables = lambda middle: _more(grow, lambda i: _word(middle, _nibbles(h, i + 47)))
         begin, middle, ends = _GIVEN[script]
         for gender, end in ends.items():
             out = out.when(kind == f"given-{gender}-{script}", F.concat(
-                _word(begin, n(0)), _word(middle, n(1)), more.otherwise(_word(middle, n(2))), _word(middle, n(4)), _word(end, n(3))))
+                _word(begin, n(0)), _word(middle, n(1)), more.otherwise(_word(middle, n(2))), syllables(middle), _word(middle, n(4)), _word(end, n(3))))
         begin, middle, end = _FAMILY[script]
         out = out.when(kind == f"family-{script}", F.concat(
-            _word(begin, n(0)), _word(middle, n(1)), _word(_FAMILY[script][2], n(2)), more.otherwise(_word(middle, n(4))), _word(end, n(3))))
+            _word(begin, n(0)), _word(middle, n(1)), _word(_FAMILY[script][2], n(2)), more.otherwise(_word(middle, n(4))), syllables(middle), _word(end, n(3))))
     return out
 
 
@@ -198,18 +218,25 @@ def _real_form(kind: Column, canon: Column) -> Column:
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """``kind, canon, surrogate``: distinct surrogates, none a real entity."""
+    """``kind, canon, surrogate``: distinct surrogates, none a real entity.
+
+    Addresses are distinct as a whole: local parts only under one host, and no
+    surrogate's host is a real one.  From attempt ``GROW_AFTER`` on surrogates
+    grow by a piece an attempt, so the loop ends however full a shape is."""
     held = materialize(entities.select("kind", "canon").distinct().withColumn("attempt", F.lit(0)), "entities")
-    real = held.select(F.col("kind").alias("real_kind"), _real_form(F.col("kind"), F.col("canon")).alias("real")).distinct()
+    real = held.filter("kind <> 'local'").select(F.col("kind").alias("real_kind"), F.col("canon").alias("real")).distinct()
+    form = _real_form(F.col("kind"), F.col("canon"))
     while True:
         h = keyed(F.col("kind"), F.col("canon"), F.col("attempt"), key)
-        made = held.withColumn("h", h).withColumn("surrogate", surrogate(
-            F.col("kind"), _real_form(F.col("kind"), F.col("canon")), F.col("h"))).drop("h")
-        order = Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon")
+        made = (held.withColumn("h", h).withColumn("surrogate", surrogate(
+            F.col("kind"), form, F.col("h"), F.greatest(F.col("attempt") - (GROW_AFTER - 1), F.lit(0)))).drop("h")
+            .withColumn("under", F.when(F.col("kind") == "local", F.substring_index("canon", "@", -1)).otherwise("")))
+        order = Window.partitionBy("kind", "under", "surrogate").orderBy("attempt", "canon")
+        own = (F.col("kind") == "local") & (F.col("surrogate") == form)
         tried = materialize(
             made.withColumn("copy", F.row_number().over(order) > 1)
             .join(real, (F.col("kind") == F.col("real_kind")) & (F.col("surrogate") == F.col("real")), "left")
-            .select("kind", "canon", "surrogate", "attempt", (F.col("copy") | F.col("real").isNotNull()).alias("bad")), "surrogates")
+            .select("kind", "canon", "surrogate", "attempt", (F.col("copy") | own | F.col("real").isNotNull()).alias("bad")), "surrogates")
         if not tried.filter("bad").limit(1).count():
             return tried.select("kind", "canon", "surrogate")
         held = tried.select("kind", "canon", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt"))
@@ -217,8 +244,9 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def place(kind: Column, raw: Column, made: Column) -> Column:
     """The surrogate in the mention's format: digits into its layout from the
-    right, letters in its case."""
-    n, k = F.length(F.regexp_replace(raw, "[^0-9]", "")), F.length(made)
+    right, letters in its case; what the surrogate is longer follows the mention."""
+    n = F.length(F.regexp_replace(raw, "[^0-9]", ""))
+    k = F.when(kind == "phone", F.least(n, F.lit(10))).otherwise(n)  # digits of the canonical form
     seen = lambda i: F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^0-9]", ""))
 
     def digit(i: Column) -> Column:
@@ -229,8 +257,9 @@ def place(kind: Column, raw: Column, made: Column) -> Column:
         c, m = F.substring(raw, i, F.lit(1)), F.substring(made, i, F.lit(1))
         return F.when(c.rlike("[A-Z]"), F.upper(m)).otherwise(m)
 
-    over = lambda f: F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw)), f), "")
-    return F.when(kind.isin("phone", "card"), over(digit)).when(kind.isin("local", "host"), over(letter)).otherwise(made)
+    over = lambda f, size: F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw)), f), ""),
+                                    F.substring(made, size + 1, F.length(made)))
+    return F.when(kind.isin("phone", "card"), over(digit, k)).when(kind.isin("local", "host"), over(letter, F.length(raw))).otherwise(made)
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from scriptmill.llm import surrogates as S
 
@@ -94,3 +95,31 @@ def test_key_and_empty(spark):
     one, two = (S.replace_entities(d, k).collect()[0].text for k in ("k1", "k2"))
     assert one != two and one == S.replace_entities(d, "k1").collect()[0].text
     assert S.replace_entities(d.limit(0)).count() == 0
+
+
+def test_more_entities_than_a_shape_has_forms(spark):
+    """Full shapes: the surrogates grow, so the loop ends with distinct ones that are not real."""
+    rows = ([("local", f"{c}@x.com") for c in "abcdefghijklmnopqrstuvwxyz0123456789"] + [("local", "a@y.com"), ("local", "_@x.com")]
+            + [("host", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", f"{i:02d}") for i in range(100)]
+            + [("phone", str(i)) for i in range(10)] + [("ip", f"192.168.{i}.{j}") for i in range(256) for j in range(0, 256, 2)])
+    got = S.assign(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert len(got) == len(rows)
+    for kind in ("host", "secret", "phone", "ip"):
+        made = [r.surrogate for r in got if r.kind == kind]
+        assert len(set(made)) == len(made) and not set(made) & {c for k, c in rows if k == kind}
+    local = [(r.canon.split("@")[1], r.surrogate) for r in got if r.kind == "local"]
+    assert len(set(local)) == len(local) and all(r.surrogate != r.canon.split("@")[0] for r in got if r.kind == "local")
+    assert all(r.surrogate.startswith(("192.168.", "10.")) for r in got if r.kind == "ip")
+
+
+def test_whole_addresses_of_one_letter(spark):
+    text = " ".join(f"a@{c}{d}.com" for c in "abcdefghij" for d in "klmnopqrst") + " Call +1 (373) 555-5176"
+    out = S.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0].text
+    made = out.split(" Call ")[0].split(" ")
+    assert len(set(made)) == 100 and not set(made) & set(text.split(" "))
+
+
+def test_grown_surrogates_keep_the_layout(spark):
+    rows = [("phone", "+1 (373) 555-5176", "12345678909"), ("phone", "373 555 5176", "12345678909"), ("local", "Ab", "xyz"), ("card", "4152-8219-8424-0033", "41112222333344445")]
+    d = spark.createDataFrame(rows, "kind string, raw string, made string").select(S.place(F.col("kind"), F.col("raw"), F.col("made")).alias("x"))
+    assert [r.x for r in d.collect()] == ["+1 (123) 456-78909", "123 456 78909", "Xyz", "4111-2222-3333-44445"]
