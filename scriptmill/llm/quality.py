@@ -7,7 +7,7 @@ lines, and the share of words on content lines decides retention.
 
 Fitting.  The CRF is fitted on a bounded sample of labelled documents
 (``max_docs`` per class with at most ``max_lines`` lines each, lowest keyed
-hash of doc_id first, documents of the held-out fold crc32(doc_id) mod 3 = 1
+hash of doc_id first, rows equal in doc_id and text once, documents of the held-out fold crc32(doc_id) mod 3 = 1
 left out): every line of a document labelled quality 1 counts as content, of
 quality 0 as boilerplate.  The chain is fitted by gradient ascent on the
 penalised likelihood (forward-backward), on the driver over the collected
@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptmill.llm.common import doc_key, materialize
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 CONTENT_SHARE = 0.5
@@ -233,6 +235,17 @@ def labelled_sample(labels: DataFrame, column: str, per_class: int) -> DataFrame
                        .unionByName(rows.filter("label = 0").orderBy(key, "label_id").limit(per_class)))
 
 
+def labelled_rows(docs: DataFrame, sample: DataFrame, per_class: int) -> DataFrame:
+    """``doc_id, text, label`` of the sampled documents, rows equal in doc_id and text
+    once, at most ``per_class`` of each label in the order of a keyed hash: repeated
+    doc_ids cannot crowd a class out.  Written once."""
+    rows = (docs.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("label_id"))
+            .select("doc_id", "text", F.col("label").cast("int").alias("label"), doc_key().alias("__key")).dropDuplicates(["__key"]))
+    first = lambda label: (rows.filter(F.col("label") == label)
+                           .orderBy(F.xxhash64(F.lit("row"), "__key"), "__key").limit(per_class).drop("__key"))
+    return materialize(first(1).unionByName(first(0)), "examples")
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> Crf:
     sample = labelled_sample(labels, "quality", max_docs)
 
@@ -242,11 +255,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines:
             yield pd.DataFrame({"label": [g[0] for g in got], "lines": [len(g[1]) for g in got],
                                 "codes": [g[1].tobytes() for g in got]})
 
-    rows = (docs.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("label_id"))
-            .select("text", F.col("label").cast("int").alias("label"))
+    rows = (labelled_rows(docs, sample, max_docs).select("text", "label")
             .mapInPandas(codes, "label int, lines int, codes binary").filter(F.col("lines") <= max_lines)
-            # repeated rows of one doc_id could exceed the sample's bound
-            .orderBy("label", F.xxhash64("codes"), "codes").limit(2 * max_docs).collect())
+            .orderBy("label", F.xxhash64("codes"), "codes").collect())  # at most 2 * max_docs
     width = len(EDGES)
     return fit_crf([(np.frombuffer(r["codes"], dtype=np.uint8).reshape(-1, width), int(r["label"])) for r in rows])
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptmill.llm.quality import labelled_sample
+from scriptmill.llm.quality import labelled_rows, labelled_sample
 
 PER_CLASS = 3000
 LIFT = 4.0
@@ -170,8 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lift: fl
         max_terms: int = MAX_TERMS, k: int = NEIGHBOURS) -> Index:
     """The index of a bounded sample of labelled documents."""
     sample = labelled_sample(labels, "toxic", per_class)
-    examples = docs.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("label_id")).select(
-        "doc_id", "text", F.col("label").cast("int").alias("label"))
+    examples = labelled_rows(docs, sample, per_class)
 
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -208,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lift: fl
 
     # neighbours of a block should be alike: sorted by label, then by their terms
     rows = (examples.mapInPandas(vectors, "doc_id long, label int, terms array<int>, tf array<int>")
-            .orderBy("label", F.sort_array("terms"), "doc_id").limit(2 * per_class).collect())
+            .orderBy("label", F.sort_array("terms"), "doc_id").collect())  # at most 2 * per_class
     index.doc_ids = np.array([r["doc_id"] for r in rows], dtype=np.int64)
     index.labels = np.array([r["label"] for r in rows], dtype=float)
     index.weights = np.array([total[r["label"]] / size[r["label"]] for r in rows])

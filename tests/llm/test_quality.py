@@ -68,3 +68,16 @@ def test_assess_and_reject(spark):
     none = Q.assess(docs, labels.limit(0)).filter("kept").count()
     assert none == 62  # no model: the base rules alone
     assert Q.assess(docs.limit(0), labels).count() == 0
+
+
+def test_repeated_rows_leave_both_classes(spark):
+    """Each row twice, and one document many times with other texts: no class is crowded out."""
+    data = [(i, f"text {i}") for i in range(40) for _ in range(2)] + [(0, f"other {k}") for k in range(50)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = Q.labelled_rows(docs, Q.labelled_sample(labels, "quality", 10), 10).collect()
+    assert len(rows) == len(set(rows)) and {r.label for r in rows} == {0, 1}
+    assert sum(r.label for r in rows) == 10 and len(rows) <= 20
+    crf = Q.fit(spark.createDataFrame([(i, ("plain words here" if i % 2 else "a### b%%% c&&&")) for i in range(40) for _ in range(2)],
+                                      "doc_id long, text string"), labels, max_docs=10)
+    assert crf != Q.fit_crf([])

@@ -77,3 +77,13 @@ def test_assess(spark):
     assert by[None].predicted == 1 and by[1002].predicted == 1 and by[1000].predicted == by[1001].predicted == 0
     assert {r.score for r in T.assess(docs, labels.limit(0)).collect()} == {0.0}
     assert T.assess(docs.limit(0), labels).count() == 0
+
+
+def test_repeated_rows_leave_both_classes(spark):
+    rng = np.random.default_rng(4)
+    make = lambda i: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(20)) + (" vilestuff nastything" if i % 2 else "")
+    data = [row for i in range(200) for row in [(i, make(i))] * 2]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    index = T.fit(docs, labels, per_class=50)
+    assert index.vocabulary and Counter(index.labels.tolist()) == {0.0: 50, 1.0: 50}
