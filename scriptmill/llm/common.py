@@ -23,6 +23,13 @@ def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("doc"), text).alias("b"))
 
 
+def reserve(df: DataFrame, prefix: str = "__") -> None:
+    """Columns whose names begin with ``__`` are the operators' own; input may not bring them."""
+    taken = [c for c in df.columns if c.startswith(prefix)]
+    if taken:
+        raise ValueError(f"column names beginning with {prefix} are reserved: {', '.join(taken)}")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared folder that ``spark.checkpoint.dir``
     names and read it back.

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptmill.llm import chat_format, decontam, line_dedup, quality, sharding, simhash_gray, spm_wfst, surrogates, token_files, toxicity
+from scriptmill.llm import (chat_format, decontam, importance, line_dedup, quality, secret_ledger, sharding, simhash_gray, spm_wfst, surrogates,
+                            token_files, toxicity, whitening)
 from scriptmill.llm.common import materialize, read_table
 from scriptmill.llm.oracle import ORACLE  # noqa: F401  read by the entry point
 
@@ -76,6 +77,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_ledger.digest(secret_ledger.scan(docs, secret_ledger.new_ledger(spark)))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_knn_toxicity": op2_knn_toxicity,
@@ -87,4 +102,7 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_simhash_gray": op9_simhash_gray,
     "op10_token_files": op10_token_files,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_secret_ledger": op13_secret_ledger,
 }

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     cols = sorted(d[0] for d in cur.description)
