@@ -24,12 +24,14 @@ cannot be told, so texts are read both ways: such words all plain, or all names;
 a window matches in either reading.  A window needs at least ``min_literals``
 plain words, so that placeholders alone match nothing.
 
-Plan.  The windows of documents are computed in Arrow batches and kept if
-their hash is set in a bitmap of fixed size built from the benchmark (2 MB
-however large the benchmark is); the survivors are joined on the whole
-template text, so hash collisions do not matter.
-
-Defined results: null and empty texts have no windows; an item without a
+Plan.  The texts of an Arrow batch are tokenised together as one array of code
+points, and their windows hashed as arrays; a window is kept if its hash is set in a bitmap of fixed size built from the benchmark (2 MB
+however large the benchmark is), and only then written out; the survivors are
+joined on the whole template text, so hash collisions do not matter.
+
+Defined results: an empty table of either kind gives an empty result; null and
+empty texts have no windows; a very long text is one array, about 100 bytes a
+character while it is read; an item without a
 usable window is found where all its tokens stand verbatim, one of fewer than
 ``min_literals`` tokens never; rows equal in doc_id and text are one document;
 items that repeat an item_id are told apart by their text; ties between
@@ -39,6 +41,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -57,7 +60,6 @@ MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
 MIN_RUN = 24
 BITMAP_BITS = 24
-CACHE_WORDS = 300_000
 
 NUMBER_WORDS = frozenset("two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
                          "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred "
@@ -68,67 +70,142 @@ UNITS = frozenset("% $ € £ ° m cm mm km mi ft inch inches mile miles meter m
                   "days week weeks month months year years mph kmh km/h usd eur dollar dollars cent cents euro euros "
                   "percent degree degrees celsius fahrenheit watt watts volt volts joule joules".split())
 
-_TOKEN = re.compile(r"[.!?:\n]|\d+(?:[.,]\d+)*|km/h|[^\W\d_]+|[%$€£°]")
+_KMH = "km/h"  # the one word that holds a sign
+_NONE, _LETTER, _DIGIT, _END, _SIGN = range(5)  # classes of characters
 _LITERAL, _NUMBER, _UNIT, _CAPITAL, _ENDER, _NUMBER_WORD, _ONE = range(7)
 PLACEHOLDERS = ("", "<num>", "<unit>", "<name>")
 _CODES = np.array([0] + [xxhash.xxh64_intdigest(p) for p in PLACEHOLDERS[1:]], dtype=np.uint64)
 _BASE = np.uint64(xxhash.xxh64_intdigest("base") | 1)
+_CHAR_BASE = np.uint64(xxhash.xxh64_intdigest("char") | 1)
+#: texts are tokenised together up to this many characters; a longer one alone
+SLICE_CHARS = 1 << 20
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
 
 
 class _Words:
-    """Class and hash of each distinct token, kept up to ``CACHE_WORDS``."""
+    """What tokens are told by: per character its class, case and the hash of its
+    lower case; the hashes of number and unit words."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.kinds, self.codes = np.zeros(1024, dtype=np.int8), np.zeros(1024, dtype=np.uint64)
-
-    def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.number) > CACHE_WORDS:
-            self.clear()
-        number, known = self.number, len(self.number)
-        give = number.setdefault
-        ids = np.array([give(t, len(number)) for t in tokens], dtype=np.int64)
-        while len(number) > len(self.kinds):
-            self.kinds, self.codes = np.resize(self.kinds, 2 * len(self.kinds)), np.resize(self.codes, 2 * len(self.codes))
-        # the tokens met for the first time are the last keys
-        for i, t in zip(range(len(number) - 1, known - 1, -1), reversed(number), strict=False):
-            low = t.lower()
-            self.kinds[i] = (_ENDER if t in ".!?:\n" else _NUMBER if t[0].isdigit() else
-                             _NUMBER_WORD if low in NUMBER_WORDS else _ONE if low == "one" else
-                             _UNIT if low in UNITS else _CAPITAL if t[0].isupper() and t[1:] == t[1:].lower() else _LITERAL)
-            self.codes[i] = xxhash.xxh64_intdigest(low)
-        return self.kinds[ids], self.codes[ids]
+        every = "".join(map(chr, range(0x110000)))
+        self.kind = np.zeros(len(every), dtype=np.uint8)
+        self.upper, self.changes = np.zeros(len(every), dtype=bool), np.zeros(len(every), dtype=np.uint8)
+        low = np.arange(len(every), dtype=np.uint64)
+        for kind, pattern in ((_LETTER, r"[^\W\d_]+"), (_DIGIT, r"\d+"), (_END, r"[.!?:\n]"), (_SIGN, "[%$€£°]")):
+            for m in re.finditer(pattern, every):
+                self.kind[m.start():m.end()] = kind
+        for c in np.flatnonzero(self.kind == _LETTER).tolist():
+            x = every[c]
+            small, self.upper[c] = x.lower(), x.isupper()
+            if small != x:
+                self.changes[c] = 1
+                if len(small) == 1:
+                    low[c] = ord(small)
+        low[ord("ς")] = ord("σ")  # lower case of one letter by its place
+        self.hashes = _mix(low + np.uint64(1))
+        self.powers = np.ones(1, dtype=np.uint64)
+        self.flag, self.special, self.classes = np.zeros(4096, dtype=bool), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int8)
+        words = {**dict.fromkeys(UNITS, _UNIT), "one": _ONE, **dict.fromkeys(NUMBER_WORDS, _NUMBER_WORD)}
+        of = np.array([Tokens([w], self).codes[0] for w in words], dtype=np.uint64)
+        order = np.argsort(of)
+        self.special, self.classes = of[order], np.array(list(words.values()), dtype=np.int8)[order]
+        self.flag[of >> np.uint64(52)] = True
+
+    def power(self, n: int) -> np.ndarray:
+        while len(self.powers) < n:
+            self.powers = np.concatenate((self.powers, self.powers * self.powers[-1] * _CHAR_BASE))
+        return self.powers
+
+
+class Tokens:
+    """The tokens of several texts, found together: words of letters, numbers with
+    their inner signs, single signs, sentence ends.  Token ``i`` lies in text
+    ``doc[i]``; ``codes`` are hashes of the lower-cased tokens."""
+
+    def __init__(self, texts: list[str | None], words: _Words):
+        self.text = "\0".join(t or "" for t in texts)
+        c = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kind = words.kind[c]
+        point = np.flatnonzero((c[1:-1] == ord(".")) | (c[1:-1] == ord(","))) + 1
+        kind[point[(kind[point - 1] == _DIGIT) & (kind[point + 1] == _DIGIT)]] = _DIGIT
+        cut = set()  # where a token begins though its class goes on
+        for i in np.flatnonzero(c == ord("/")).tolist():
+            at = i - 2
+            if at >= 0 and self.text.startswith(_KMH, at) and (not at or kind[at - 1] != _LETTER or at in cut):
+                kind[i] = _LETTER
+                cut.add(at + len(_KMH))
+        held = kind > 0
+        begins = held.copy()
+        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] >= _END)
+        forced = [i for i in cut if i < len(c)]
+        begins[forced] = held[forced]
+        ends = held.copy()
+        ends[:-1] &= begins[1:] | ~held[1:]
+        self.start, self.stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        size = np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))
+        doc_start = np.cumsum(size + 1) - size - 1
+        self.doc = np.searchsorted(doc_start, self.start, "right") - 1
+        self.doc_end = np.searchsorted(self.start, doc_start + size)  # the token behind each text's last one
+        self.kinds, self.codes = np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64)
+        if not len(self.start):
+            return
+        length = self.stop - self.start
+        head = np.cumsum(length) - length
+        within = np.arange(head[-1] + length[-1]) - np.repeat(head, length)
+        chars = c[held]
+        self.codes = _mix(np.add.reduceat(words.hashes[chars] * words.power(int(length.max()))[within], head))
+        first = c[self.start]
+        other = np.add.reduceat(words.changes[chars], head, dtype=np.int64) - words.changes[first]
+        kinds = np.where(words.upper[first] & (other == 0), _CAPITAL, _LITERAL).astype(np.int8)
+        maybe = np.flatnonzero(words.flag[self.codes >> np.uint64(52)])
+        if len(maybe):
+            found = np.searchsorted(words.special, self.codes[maybe]) % len(words.special)
+            same = words.special[found] == self.codes[maybe]
+            kinds[maybe[same]] = words.classes[found[same]]
+        kinds[kind[self.start] == _DIGIT] = _NUMBER
+        kinds[kind[self.start] == _END] = _ENDER
+        self.kinds = kinds
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def __getitem__(self, i: int) -> str:
+        return self.text[self.start[i]:self.stop[i]]
 
 
 @dataclass
 class Reading:
-    """A canonical form of a text.  ``at`` numbers the tokens as in the literal
-    reading, so places in both readings compare."""
+    """A canonical form of texts.  ``at`` numbers the tokens of each text as in the
+    literal reading, so places in both readings compare."""
 
-    tokens: list[str]
+    tokens: Tokens
     first: np.ndarray  # first token of each canonical token, and the end
     kinds: np.ndarray
     codes: np.ndarray
     at: np.ndarray
+    doc: np.ndarray
     changed: np.ndarray | None = None  # tokens read otherwise than in the literal reading
 
 
-def readings(text: str | None, words: _Words) -> list[Reading]:
+def _within(doc: np.ndarray) -> np.ndarray:
+    """The number of each element among those of its text (texts in order)."""
+    return np.arange(len(doc)) - np.searchsorted(doc, doc)
+
+
+def readings(tokens: Tokens) -> list[Reading]:
     """The literal reading, in which a capitalised word that begins a sentence is
     a plain word, and, if there is such a word, the one in which it is a name."""
-    tokens = _TOKEN.findall(text or "")
-    if not tokens:
-        none = np.zeros(0, dtype=np.int64)
-        return [Reading([], np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64), none)]
-    kinds, codes = words.look_up(tokens)
+    kinds, codes, doc = tokens.kinds, tokens.codes, tokens.doc
     ender = kinds == _ENDER
-    begins = np.concatenate(([True], ender[:-1]))  # of a sentence
+    begins = np.ones(len(kinds), dtype=bool)  # of a sentence
+    begins[1:] = ender[:-1] | (doc[1:] != doc[:-1])
     place = np.flatnonzero(~ender)
-    kinds, codes, begins = kinds[place], codes[place], begins[place]
-    follows = np.diff(place) == 1
+    kinds, codes, begins, doc = kinds[place], codes[place], begins[place], doc[place]
+    follows = (np.diff(place) == 1) & (doc[1:] == doc[:-1])
     # number words after a number belong to it; "one" is a number only beside a number word
     word, one = kinds == _NUMBER_WORD, kinds == _ONE
     near = np.zeros(len(kinds), dtype=bool)
@@ -154,24 +231,24 @@ def readings(text: str | None, words: _Words) -> list[Reading]:
         return np.append(place[head], len(tokens)), kinds, np.where(kinds == _LITERAL, codes[head], _CODES[kinds]), np.flatnonzero(head)
 
     first, plain, plain_codes, heads = read(np.where(initial, _LITERAL, kinds))
-    out = [Reading(tokens, first, plain, plain_codes, np.arange(len(plain)))]
+    number_of = _within(doc[heads])
+    out = [Reading(tokens, first, plain, plain_codes, number_of, doc[heads])]
     if initial.any():
         first, named, named_codes, at = read(kinds)
-        out.append(Reading(tokens, first, named, named_codes, np.searchsorted(heads, at), initial[at]))
+        out.append(Reading(tokens, first, named, named_codes, number_of[np.searchsorted(heads, at)], doc[at], initial[at]))
     return out
 
 
-def verbatim(text: str | None, words: _Words) -> Reading:
+def verbatim(tokens: Tokens) -> Reading:
     """The reading in which every token is a plain word."""
-    tokens = _TOKEN.findall(text or "")
-    kinds, codes = words.look_up(tokens) if tokens else (np.zeros(0, dtype=np.int8), np.zeros(0, dtype=np.uint64))
-    place = np.flatnonzero(kinds != _ENDER)
-    return Reading(tokens, np.append(place, len(tokens)), np.zeros(len(place), dtype=np.int8), codes[place], np.arange(len(place)))
+    place = np.flatnonzero(tokens.kinds != _ENDER)
+    doc = tokens.doc[place]
+    return Reading(tokens, np.append(place, len(tokens)), np.zeros(len(place), dtype=np.int8), tokens.codes[place], _within(doc), doc)
 
 
-def canonical(text: str | None, words: _Words) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+def canonical(text: str | None, words: _Words) -> tuple[Tokens, np.ndarray, np.ndarray, np.ndarray]:
     """The literal reading: tokens, first token of each canonical token (and the end), its kind and its code."""
-    r = readings(text, words)[0]
+    r = readings(Tokens([text], words))[0]
     return r.tokens, r.first, r.kinds, r.codes
 
 
@@ -185,37 +262,59 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _windows(r: Reading, size: int, min_literals: int, wanted=None) -> Iterator[tuple]:
+    """(text, place, size, hash, template, slots) of the usable windows of a reading."""
     hashes = window_hashes(r.codes, size)
     if not len(hashes):
         return
     sums = lambda flags: (lambda c: c[size:] - c[:-size])(np.concatenate(([0], np.cumsum(flags))))
-    ok = sums(r.kinds == _LITERAL) >= min_literals
-    if r.changed is not None:
-        ok &= sums(r.changed) > 0  # the others are windows of the literal reading
+    ok = r.doc[:len(hashes)] == r.doc[size - 1:]
     if wanted is not None:
         ok &= wanted(hashes)
+    if not ok.any():
+        return
+    ok &= sums(r.kinds == _LITERAL) >= min_literals
+    if r.changed is not None:
+        ok &= sums(r.changed) > 0  # the others are windows of the literal reading
     tokens, first, kinds = r.tokens, r.first, r.kinds
     for p in np.flatnonzero(ok).tolist():
+        doc = int(r.doc[p])
         template, slots = [], []
         for i in range(p, p + size):
             if kinds[i] == _LITERAL:
                 template.append(tokens[first[i]].lower())
             else:
                 template.append(PLACEHOLDERS[kinds[i]])
-                end = first[i] + 1
-                while kinds[i] in (_CAPITAL, _NUMBER) and end < first[i + 1] and _TOKEN.fullmatch(tokens[end]) and tokens[end] not in ".!?:\n":
+                end, last = first[i] + 1, min(first[i + 1], tokens.doc_end[doc])
+                while kinds[i] in (_CAPITAL, _NUMBER) and end < last and tokens.kinds[end] != _ENDER:
                     end += 1
-                slots.append({"type": PLACEHOLDERS[kinds[i]], "value": " ".join(tokens[first[i]:end]).lower(), "at": int(r.at[i])})
-        yield int(r.at[p]), size, int(hashes[p].view(np.int64)), " ".join(template), slots
+                slots.append({"type": PLACEHOLDERS[kinds[i]], "value": " ".join(tokens[t] for t in range(first[i], end)).lower(), "at": int(r.at[i])})
+        yield doc, int(r.at[p]), size, int(hashes[p].view(np.int64)), " ".join(template), slots
 
 
 def windows(text: str | None, words: _Words, sizes: list[int], min_literals: int, wanted=None) -> list[tuple]:
     """(place, size, hash, template, slots) of the usable windows of both readings
     whose hash is ``wanted`` (all if None); slots: type, value and place of each placeholder."""
-    return [w for r in readings(text, words) for size in sizes for w in _windows(r, size, min_literals, wanted)]
+    return [w[1:] for r in readings(Tokens([text], words)) for size in sizes for w in _windows(r, size, min_literals, wanted)]
+
+
+def slices(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts in runs of bounded size, each with the number of its first."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= SLICE_CHARS:
+            yield start, texts[start:i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+@functools.cache
+def _words() -> _Words:
+    """Built once per Python worker."""
+    return _Words()
 
 
-_WORDS = _Words()  # per Python worker
 SLOTS = "array<struct<type:string,value:string,at:int>>"
 HITS = ["item_at", "doc_at", "item_slots", "doc_slots", "size"]
 VERBATIM = "="  # marks the templates of the verbatim reading; no token holds it
@@ -327,13 +426,14 @@ def item_windows(benchmark: DataFrame, window: int, min_literals: int) -> DataFr
         for pdf in batches:
             out = []
             for item, item_id, text in zip(pdf["item"], pdf["item_id"], pdf["text"], strict=True):
-                found = [w for r in readings(text, _WORDS) if (size := min(window, len(r.kinds))) >= min_literals
+                tokens = Tokens([text], _words())
+                found = [w for r in readings(tokens) if (size := min(window, len(r.kinds))) >= min_literals
                          for w in _windows(r, size, min_literals)]
                 whole = not found
-                if whole and (size := min(window, len((r := verbatim(text, _WORDS)).kinds))) >= min_literals:
-                    found = [(at, n, h, VERBATIM + template, slots) for at, n, h, template, slots in _windows(r, size, 0)]
-                places = len({at for at, *_ in found})
-                out += [(item, item_id, at, n, h, template, slots, places, whole) for at, n, h, template, slots in found]
+                if whole and (size := min(window, len((r := verbatim(tokens)).kinds))) >= min_literals:
+                    found = [(of, at, n, h, VERBATIM + template, slots) for of, at, n, h, template, slots in _windows(r, size, 0)]
+                places = len({at for _, at, *_ in found})
+                out += [(item, item_id, at, n, h, template, slots, places, whole) for _, at, n, h, template, slots in found]
             yield pd.DataFrame(out, columns=["item", "item_id", "item_at", "size", "hash", "template", "item_slots", "n_windows", "whole"]
                                ).astype({"item_id": "Int64"})
 
@@ -366,12 +466,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for doc_id, a, b, text in zip(pdf["doc_id"], pdf["a"], pdf["b"], pdf["text"], strict=True):
-                out += [(doc_id, a, b, at, template, slots)
-                        for at, _, _, template, slots in windows(text, _WORDS, sizes, min_literals, wanted)]
-                out += [(doc_id, a, b, at, VERBATIM + template, slots) for size in whole_sizes
-                        for at, _, _, template, slots in _windows(verbatim(text, _WORDS), size, 0, wanted)]
+            out, of = [], list(zip(pdf["doc_id"], pdf["a"], pdf["b"], strict=True))
+            for start, texts in slices(pdf["text"].tolist()):
+                tokens = Tokens(texts, _words())
+                out += [(*of[start + i], at, template, slots) for r in readings(tokens) for size in sizes
+                        for i, at, _, _, template, slots in _windows(r, size, min_literals, wanted)]
+                if whole_sizes:
+                    r = verbatim(tokens)
+                    out += [(*of[start + i], at, VERBATIM + template, slots) for size in whole_sizes
+                            for i, at, _, _, template, slots in _windows(r, size, 0, wanted)]
             yield pd.DataFrame(out, columns=["doc_id", "a", "b", "doc_at", "template", "doc_slots"]).astype({"doc_id": "Int64"})
 
     key = doc_key()
