@@ -7,10 +7,11 @@ the block reaches to the first line after which the level is back where it was
 before the opener, or to the end of the text.  Lines inside a block open
 nothing of their own.
 
-A file is one row and stays one: its lines are an array, a fold over their
-(level change, may open) pairs gives the spans of the blocks, and each block is
-cut out of the array by ``slice``.  No shuffle, no window, no sort; the cost is
-linear in a file's lines.  A single file is one row, as the scan made it.
+``extract_blocks`` takes a file as a row: its lines are an array, a fold over
+their (level change, may open) pairs gives the spans of the blocks, and each block
+is cut out of the array by ``slice``.  No shuffle, no window, no sort; the fold
+appends by blocks of lines, so its cost is linear in a file's lines.  Files above
+a row's size are read by lines: see :mod:`.chunks`.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD, WS, col_of, count_char
+from ..sources.lines import fold_append, let
 
 # Strings run from a quote to the next quote (no escapes) or to the end of the
 # text; '#' outside a string starts a comment that runs to the end of the line.
@@ -26,6 +28,9 @@ COMMENT_RE = r'("[^"]*(?:"|\z))|#[^\n]*'
 OPENER_RE = rf"^{WS}*({WORD}[\p{{L}}\p{{N}}_.]*){WS}*={WS}*\{{"
 
 
+SPAN = "struct<first:int,last:int,above:int>"
+
+
 def strip_comments(text) -> Column:
     """Remove ``#`` comments outside quoted strings; newlines stay."""
     return F.regexp_replace(col_of(text), COMMENT_RE, "$1")
@@ -39,13 +44,12 @@ def block_spans(lines) -> Column:
         (count_char(x, "{") - count_char(x, "}")).alias("change"),
         (x.contains("{") & x.rlike(OPENER_RE)).alias("opens"),
         x.rlike(rf"^{WS}*#").alias("hash")))
-    span = "array<struct<first:int,last:int,above:int>>"
     none = F.lit(-1)
     start = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("level"), none.alias("first"),
-                     F.lit(0).cast("long").alias("floor"), none.alias("above"), none.alias("plain"),
-                     F.array().cast(span).alias("spans"))
+                     F.lit(0).cast("long").alias("floor"), none.alias("above"), none.alias("plain"))
+    empty = F.expr(f"cast(array() as array<{SPAN}>)")
 
-    def step(a: Column, x: Column) -> Column:
+    def step(a: Column, x: Column) -> tuple[Column, Column]:
         opening = (a["first"] < 0) & x["opens"]
         first = F.when(opening, a["at"]).otherwise(a["first"])
         floor = F.when(opening, a["level"]).otherwise(a["floor"])
@@ -53,15 +57,16 @@ def block_spans(lines) -> Column:
         level = a["level"] + x["change"]
         closing = (first >= 0) & (level <= floor)
         done = F.array(F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above")))
-        return F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.when(closing, none).otherwise(first).alias("first"),
-                        floor.alias("floor"), above.alias("above"), F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"),
-                        F.when(closing, F.concat(a["spans"], done)).otherwise(a["spans"]).alias("spans"))
+        state = F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.when(closing, none).otherwise(first).alias("first"),
+                         floor.alias("floor"), above.alias("above"), F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"))
+        return state, F.when(closing, done).otherwise(empty)
 
     def finish(a: Column) -> Column:
-        rest = F.array(F.struct(a["first"].alias("first"), (a["at"] - 1).alias("last"), a["above"].alias("above")))
-        return F.when(a["first"] >= 0, F.concat(a["spans"], rest)).otherwise(a["spans"])
+        last = a["state"]
+        rest = F.array(F.struct(last["first"].alias("first"), (last["at"] - 1).alias("last"), last["above"].alias("above")))
+        return F.when(last["first"] >= 0, F.concat(a["out"], rest)).otherwise(a["out"])
 
-    return F.aggregate(facts, start, step, finish)
+    return let(fold_append(facts, start, step, SPAN), finish)
 
 
 def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -72,15 +77,19 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
     and ``comment_header`` the run of ``#`` lines directly above the opener.
     Any extra columns of ``df`` are not carried; join on ``path`` for them.
     """
-    cut = lambda first, n: F.array_join(F.slice("_lines", first, n), "\n")  # noqa: E731  1-based
-    b = F.col("_b")
-    return (df.select(F.col(path).alias("_path"), F.split(F.col(text), "\n", -1).alias("_lines"))
-            .select("_path", "_lines", F.explode(block_spans("_lines")).alias("_b"))
-            .select(F.col("_path").alias(path), b["first"].cast("long").alias("ln"),
-                    F.regexp_extract(F.element_at("_lines", b["first"] + 1), OPENER_RE, 1).alias("name"),
-                    cut(b["first"] + 1, b["last"] - b["first"] + 1).alias("code"),
-                    cut(b["above"] + 2, b["first"] - b["above"] - 1).alias("comment_header"),
-                    (b["last"] - b["first"] + 1).cast("long").alias("lines")))
+    cut = lambda lines, first, n: F.array_join(F.slice(lines, first, n), "\n")  # noqa: E731  1-based
+
+    def blocks(lines: Column) -> Column:
+        # cut out before the rows are made: a row holds its block, not the file
+        return F.transform(block_spans(lines), lambda b: F.struct(
+            b["first"].cast("long").alias("ln"),
+            F.regexp_extract(F.element_at(lines, b["first"] + 1), OPENER_RE, 1).alias("name"),
+            cut(lines, b["first"] + 1, b["last"] - b["first"] + 1).alias("code"),
+            cut(lines, b["above"] + 2, b["first"] - b["above"] - 1).alias("comment_header"),
+            (b["last"] - b["first"] + 1).cast("long").alias("lines")))
+
+    return (df.select(F.col(path).alias(path), F.explode(let(F.split(F.col(text), "\n", -1), blocks)).alias("_b"))
+            .select(path, "_b.*"))
 
 
 def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFrame:

@@ -49,18 +49,21 @@ def log_question(category, name) -> Column:
     return F.replace(q, F.lit("{name}"), col_of(name))
 
 
+def named_entries(entries: DataFrame, name, min_chars: int = 10) -> DataFrame:
+    """``file, entry_no, name, entry`` of the entries of ``min_chars`` characters or
+    more, however they were cut out of their files."""
+    return (entries.where(F.length("entry") >= min_chars)
+            .select("file", "entry_no", name("entry").alias("name"), "entry"))
+
+
 def log_entries(logs: DataFrame, min_chars: int = 10) -> DataFrame:
     """``file, entry_no, name, entry`` from log files (4-dash delimiters)."""
-    e = split_entries(logs.select("file", "text"), 4)
-    return (e.where(F.length("entry") >= min_chars)
-             .select("file", "entry_no", log_entry_name("entry").alias("name"), "entry"))
+    return named_entries(split_entries(logs.select("file", "text"), 4), log_entry_name, min_chars)
 
 
 def data_type_entries(types: DataFrame, min_chars: int = 10) -> DataFrame:
     """``file, entry_no, name, entry`` from data-type files (5-dash delimiters)."""
-    e = split_entries(types.select("file", "text"), 5)
-    return (e.where(F.length("entry") >= min_chars)
-             .select("file", "entry_no", data_type_name("entry").alias("name"), "entry"))
+    return named_entries(split_entries(types.select("file", "text"), 5), data_type_name, min_chars)
 
 
 def entry_counts(logs: DataFrame, types: DataFrame | None = None) -> DataFrame:
@@ -78,23 +81,26 @@ def entry_counts(logs: DataFrame, types: DataFrame | None = None) -> DataFrame:
 
 
 def engine_reference(logs: DataFrame, log_categories: DataFrame,
-                     types: DataFrame | None = None) -> DataFrame:
+                     types: DataFrame | None = None, min_chars: int = 10) -> DataFrame:
     """Reference pairs from logs (category by file name) and data-type files.
 
     ``log_categories`` maps ``file`` to ``category``; files without a
     category are not read.  The two sources are unioned by name.
     """
-    logs_c = logs.join(log_categories.select("file", "category"), "file")
-    le = split_entries(logs_c.select("file", "category", "text"), 4).where(F.length("entry") >= 10) \
-        .withColumn("name", log_entry_name("entry"))
+    known = logs.join(log_categories.select("file"), "file", "left_semi")
+    return reference_pairs(log_entries(known, min_chars), log_categories,
+                           None if types is None else data_type_entries(types, min_chars))
+
+
+def reference_pairs(entries: DataFrame, log_categories: DataFrame, type_entries: DataFrame | None = None) -> DataFrame:
+    """Reference pairs from entries (``file, name, entry``), cut out of whole files or of chunks of lines."""
+    le = entries.join(log_categories.select("file", "category"), "file")
     out = le.select(F.lit(SYSTEM_ENGINE).alias("system"),
                     log_question("category", "name").alias("instruction"),
                     F.col("entry").alias("completion"), "category", "name",
                     F.concat(F.lit("logs/"), "file").alias("source_file"))
-    if types is not None:
-        te = split_entries(types.select("file", "text"), 5).where(F.length("entry") >= 10) \
-            .withColumn("name", data_type_name("entry"))
-        out = out.unionByName(te.select(
+    if type_entries is not None:
+        out = out.unionByName(type_entries.select(
             F.lit(SYSTEM_ENGINE).alias("system"),
             F.replace(F.lit(DATA_TYPE_QUESTION), F.lit("{name}"), F.col("name")).alias("instruction"),
             F.col("entry").alias("completion"), F.lit("data_type").alias("category"), "name",

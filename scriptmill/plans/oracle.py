@@ -488,3 +488,12 @@ select c.grid_id, c.i + 1 as ordinal, dfl.key, dfl.value from combo_ids c, {DEFV
   where dfl.key <> 'TIME_BUDGET' and not exists (select 1 from ov where ov.grid_id = c.grid_id and ov.i = c.i and ov.key = dfl.key)
 union all select grid_id, i + 1, key, value from ov
 union all select grid_id, i + 1, 'TIME_BUDGET', '300' from combo_ids"""
+
+# what was written as files and scanned, found in the tables
+ORACLE["scripts_scan"] = duckdb_with(["v_scripts"]) + ", " + RAW + """, scanned AS (
+  select regexp_extract(path, '^(.*)/', 1) as dir, category, unnest(string_split(text, chr(10))) as line from raw)
+select dir, category, count(*) as n_lines, sum(length(line))::bigint as chars,
+  sum(('0x' || substr(md5(line), 1, 8))::bigint)::bigint as digest from scanned where line <> '' group by dir, category"""
+for _scan, _of in (("blocks_by_lines", "blocks_top"), ("blocks_headers_by_lines", "blocks_headers"), ("engine_entries_scan", "engine_entries"),
+                   ("datatype_entries_scan", "datatype_entries"), ("loc_latest_scan", "loc_latest")):
+    ORACLE[_scan] = ORACLE[_of]

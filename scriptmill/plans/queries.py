@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from ..fixed import CLM_VAL_CAP
 from ..operators import corpus, grid, localization, logs, mix, results, score
 from ..operators.blocks import extract_blocks, strip_comments, structured_blocks
+from ..operators.chunks import extract_blocks_by_lines, split_entries_by_lines
 from ..operators.pairs import instruction_pairs
 from ..session import ensure_checkpoint_dir
-from ..sources.files import read_jsonl, read_reports, write_jsonl, write_reports
+from ..sources.files import read_jsonl, read_reports, scan_scripts, write_jsonl, write_reports
+from ..sources.lines import scan_lines, scan_localization_lines, text_lines
 from ..sources.results_log import append_experiments, append_results, read_experiments, read_results
 from .views import Views
 
@@ -145,6 +147,69 @@ def q_pairs_engine(spark, sf_dir):
     return logs.engine_reference(v.view("v_logs"), v.view("v_log_files"), v.view("v_types"))
 
 
+# ---- files read split by split ---------------------------------------------
+
+def _files_of(view: DataFrame, path: str, spark, folder: str = "", order: list[str] | None = None, text: str = "text") -> str:
+    """A view's texts as text files in the shared folder, one directory per name; the root."""
+    root = _scratch(spark, "files")
+    named = view.select(F.col(path).alias("name"), *(order or []), F.col(text).alias("value"))
+    if order:
+        named = named.repartition("name").sortWithinPartitions("name", *order).drop(*order)
+    named.write.partitionBy("name").text(f"{root}/{folder}")
+    return root
+
+
+def _with_file(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("file", F.regexp_extract("path", "name=([^/]*)/", 1)).drop("path")
+
+
+@query
+def q_scripts_scan(spark, sf_dir):
+    """Script files written below category, other and skipped directories, scanned,
+    filtered: lines, characters and a digest of the lines per directory."""
+    root = _scratch(spark, "game")
+    scripts = _v(spark, sf_dir).view("v_scripts").withColumn("dir", F.regexp_extract("path", "^(.*)/", 1))
+    for d in ("events", "common/decisions", "common/traits", "common/scripted_effects", "misc", "tools"):
+        scripts.where(F.col("dir") == d).select("text").write.text(f"{root}/{d}")
+    spark.range(1).select(F.lit(" \t ")).write.text(f"{root}/blank")
+    kept = corpus.raw_corpus(scan_scripts(spark, root))
+    lines = kept.select(F.regexp_extract("path", "^(.*)/", 1).alias("dir"), "category", F.explode(F.split("text", "\n", -1)).alias("line"))
+    digest = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("long")
+    return lines.where("line <> ''").groupBy("dir", "category").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line").cast("long")).alias("chars"), F.sum(digest).alias("digest"))
+
+
+@query
+def q_blocks_by_lines(spark, sf_dir):
+    """Blocks found over chunks of 16 lines: strings, blocks and headers cross them."""
+    return extract_blocks_by_lines(text_lines(_v(spark, sf_dir).view("v_scripts")), width=16)
+
+
+@query
+def q_blocks_headers_by_lines(spark, sf_dir):
+    return extract_blocks_by_lines(text_lines(_v(spark, sf_dir).view("v_scripts")), keep_comments=True, width=16)
+
+
+@query
+def q_engine_entries_scan(spark, sf_dir):
+    """Engine logs written as files and read by lines, split by split."""
+    root = _files_of(_v(spark, sf_dir).view("v_logs"), "file", spark)
+    return logs.named_entries(_with_file(split_entries_by_lines(scan_lines(spark, root, root), 4)), logs.log_entry_name)
+
+
+@query
+def q_datatype_entries_scan(spark, sf_dir):
+    root = _files_of(_v(spark, sf_dir).view("v_types"), "file", spark)
+    return logs.named_entries(_with_file(split_entries_by_lines(scan_lines(spark, root, root), 5)), logs.data_type_name)
+
+
+@query
+def q_loc_latest_scan(spark, sf_dir):
+    """Localization files written in line order and read by lines; last key wins."""
+    root = _files_of(_v(spark, sf_dir).view("v_loc"), "path", spark, "localization/english", ["ln"], "line")
+    return localization.latest_loc(localization.parse_loc(scan_localization_lines(spark, root, glob="*")))
+
+
 # ---- scoring -------------------------------------------------------------
 
 def _scored(spark, sf_dir, how="inner", max_ord=None) -> DataFrame:
