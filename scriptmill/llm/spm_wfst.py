@@ -14,7 +14,8 @@ path of finite weight.  The tropical shortest path so gives the same ids as
 the library, for a merge (BPE) model whose piece scores alone would not: their
 sum is not what merging minimises.  Every prefix of an input has one finite
 path too, so the search holds one state per position: the arc of finite weight
-that enters it.
+that enters it.  In a unigram model the weights are the pieces' own, and the
+search keeps the cheapest arc into each position.  Other model types raise.
 
 Machines are composed lazily: arcs are weighed when an input first needs them.
 No piece holds a mark after another character (checked at compile time), nor a
@@ -27,7 +28,9 @@ on where the one before it differs.
 Decoding concatenates pieces, byte pieces as UTF-8 with U+FFFD for each bad
 byte, marks as spaces, and drops the leading one.
 
-Defined results: null text counts as empty; an empty text has no ids and
+Defined results: an empty table gives an empty result; columns named ``__ids``,
+``__decoded`` or ``__both`` raise; a very long text is composed word by word;
+null text counts as empty; an empty text has no ids and
 decodes to the empty string; unknown characters become bytes, so decoding
 returns the normalised text exactly; control pieces written in a text are
 plain characters; rows that repeat a doc_id are encoded one by one.
@@ -35,7 +38,7 @@ plain characters; rows that repeat a doc_id are encoded one by one.
 
 from __future__ import annotations
 
-import os
+import codecs
 import re
 from collections.abc import Iterator
 
@@ -44,10 +47,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptmill.llm.common import reserve
+
 MARK = "▁"
-CACHE_WORDS = 80_000
+#: words kept by a worker, in two generations of this size
+CACHE_WORDS = 300_000
 CACHE_PAIRS = 150_000
 SLICE_CHARS = 1 << 20
+UNIGRAM, MERGES = 1, 2  # model types of the file format
+START = (1 << 21) - 1  # stands before a word's first piece; codes are smaller
 
 
 def _fields(blob: bytes) -> Iterator[tuple[int, object]]:
@@ -82,7 +90,12 @@ class Transducer:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        spec = dict(_fields(dict(_fields(sp.serialized_model_proto())).get(3, b"")))
+        proto = dict(_fields(sp.serialized_model_proto()))
+        trained = dict(_fields(proto.get(2, b""))).get(3, UNIGRAM)  # proto default
+        if trained not in (UNIGRAM, MERGES):
+            raise ValueError("only merge (BPE) and unigram models are compiled")
+        self.additive = trained == UNIGRAM
+        spec = dict(_fields(proto.get(3, b"")))
         if spec.get(2):
             raise ValueError("the model's normaliser maps characters; only the identity is compiled")
         # proto defaults: add_dummy_prefix, remove_extra_whitespaces and escape_whitespaces are true
@@ -96,10 +109,13 @@ class Transducer:
         plain = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.piece_id = {self.pieces[i]: i for i in plain}
         self.score = {self.pieces[i]: sp.get_score(i) for i in plain}
-        self.longest = max(map(len, self.piece_id))
         self.unknown = sp.unk_id()
-        # what a piece can end with: while a span is not among these, no longer one is a piece
-        self.endings = {p[k:] for p in self.piece_id for k in range(len(p))}
+        # characters that are no piece are numbered behind the pieces
+        self.size = [len(p) for p in self.pieces]
+        self.four = [i.to_bytes(4, "little") for i in range(n)]
+        self.cost = [-self.score[p] if p in self.score else 0.0 for p in self.pieces]
+        self.unknown_cost = 10.0 - min(self.score.values())
+        self.backward = self._trie()
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.piece_id):
             raise ValueError("a piece holds a mark after another character")
         # letters after which no piece goes on with a full stop or comma: words can be cut there too
@@ -107,7 +123,7 @@ class Transducer:
         loose = "".join(sorted(set("abcdefghijklmnopqrstuvwxyz") - joined))
         cut = rf"{MARK}*[^{MARK}.,]*[{loose}](?=[.,])|" if loose else ""
         self.words = re.compile(rf"{cut}{MARK}*[^{MARK}]+|{MARK}+", re.S)
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         raw = [p.replace(MARK, " ").encode() for p in self.pieces]
@@ -137,70 +153,134 @@ class Transducer:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
+    def _trie(self) -> dict:
+        """The pieces read backwards: character -> (piece that ends the walk or -1, what may stand before)."""
+        grown: dict = {}
+        for piece, i in self.piece_id.items():
+            at = grown
+            for c in reversed(piece):
+                at = at.setdefault(c, {})
+            at[""] = i
+        leaf: dict = {}
+
+        def close(node: dict) -> dict:  # as deep as the longest piece
+            return {c: (kids.get("", -1), close(kids) if len(kids) > ("" in kids) else leaf) for c, kids in node.items() if c}
+
+        return close(grown)
+
+    def text_of(self, code: int) -> str:
+        n = len(self.pieces)
+        return self.pieces[code] if code < n else chr(code - n) if code < START else ""
+
+    def kept_apart(self, last: int, code: int) -> bool:
+        """Whether the arc that writes ``code`` after ``last`` (``START`` at the
+        start) has weight 0: merging leaves the two as they are."""
+        a, b = self.text_of(last), self.text_of(code)
+        if len(self.apart) >= CACHE_PAIRS:
+            self.apart.clear()
+        kept = self.apart[last << 21 | code] = self.merge(a + b) == ([a, b] if a else [b])
+        return kept
+
     def weight(self, last: str, piece: str) -> float:
         """Of the arc that writes ``piece`` after ``last`` ('' at the start)."""
-        kept = self.apart.get((last, piece))
-        if kept is None:
-            if len(self.apart) >= CACHE_PAIRS:
-                self.apart.clear()
-            kept = self.apart[last, piece] = self.merge(last + piece) == ([last, piece] if last else [piece])
-        return 0.0 if kept else np.inf
-
-    def extend(self, word: str, entered: list[str | None], done: int) -> None:
-        """Fill ``entered`` (per position of ``word`` the piece of the finite arc
-        into it) beyond position ``done``."""
+        code = lambda x: self.piece_id.get(x, len(self.pieces) + ord(x[0])) if x else START
+        return 0.0 if self.kept_apart(code(last), code(piece)) else np.inf
+
+    def arcs(self, word: str, end: int) -> list[int]:
+        """The arcs into position ``end``, shortest first: pieces, or the character itself if it is none."""
+        kids, at, found = self.backward, end, []
+        while at:
+            hit = kids.get(word[at - 1])
+            if hit is None:
+                break
+            at -= 1
+            piece, kids = hit
+            if piece >= 0:
+                found.append(piece)
+        if not found or self.size[found[0]] > 1:
+            found.insert(0, len(self.pieces) + ord(word[end - 1]))  # bytes, joins nothing
+        return found
+
+    def extend(self, word: str, entered: list[int], done: int) -> None:
+        """Fill ``entered`` (per position of ``word`` the code of the finite arc
+        into it, -1 if there is none) beyond position ``done``."""
         del entered[done + 1:]
-        endings, piece_id, apart = self.endings, self.piece_id, self.apart
+        backward, size, apart, n = self.backward, self.size, self.apart, len(self.pieces)
         for end in range(done + 1, len(word) + 1):
-            spans = []
-            for at in range(end - 1, -1, -1):
-                span = word[at:end]
-                if span not in endings:
+            kids, at, found = backward, end, []
+            while at:
+                hit = kids.get(word[at - 1])
+                if hit is None:
                     break
-                if span in piece_id:
-                    spans.append((at, span))
-            if not spans or len(spans[0][1]) > 1:
-                spans.insert(0, (end - 1, word[end - 1]))  # a character that is no piece: bytes, joins nothing
-            found = None
-            for at, span in reversed(spans):
-                last = entered[at]
-                if last is not None:
-                    kept = apart.get((last, span))
-                    if kept or (kept is None and self.weight(last, span) == 0.0):
-                        found = span
+                at -= 1
+                piece, kids = hit
+                if piece >= 0:
+                    found.append(piece)
+            if not found or size[found[0]] > 1:
+                found.insert(0, n + ord(word[end - 1]))
+            for code in reversed(found):
+                last = entered[end - size[code] if code < n else end - 1]
+                if last >= 0:
+                    kept = apart.get(last << 21 | code)
+                    if kept or (kept is None and self.kept_apart(last, code)):
                         break
-            entered.append(found)
-
-    @staticmethod
-    def path(entered: list[str | None]) -> list[str]:
-        out, at = [], len(entered) - 1
+            else:
+                code = -1
+            entered.append(code)
+
+    def cheapest(self, word: str) -> list[int]:
+        """The tropical shortest path where pieces have weights of their own
+        (unigram models): ties go to the longest last piece."""
+        best, entered, n = [0.0], [START], len(self.pieces)
+        for end in range(1, len(word) + 1):
+            total, chosen = np.inf, -1
+            for code in reversed(self.arcs(word, end)):
+                start, cost = (end - self.size[code], self.cost[code]) if code < n else (end - 1, self.unknown_cost)
+                if best[start] + cost < total:
+                    total, chosen = best[start] + cost, code
+            best.append(total)
+            entered.append(chosen)
+        return entered
+
+    def path(self, entered: list[int]) -> list[int]:
+        out, at, n, size = [], len(entered) - 1, len(self.pieces), self.size
         while at:
-            out.append(entered[at])
-            at -= len(entered[at])
+            code = entered[at]
+            out.append(code)
+            at -= size[code] if code < n else 1
         return out[::-1]
 
     def shortest_path(self, word: str) -> list[str]:
-        entered: list[str | None] = [""]
-        self.extend(word, entered, 0)
-        return self.path(entered)
+        if self.additive:
+            entered = self.cheapest(word)
+        else:
+            entered = [START]
+            self.extend(word, entered, 0)
+        return [self.text_of(code) for code in self.path(entered)]
 
     # -- ids
 
-    def ids_of_piece(self, piece: str) -> list[int]:
-        found = self.piece_id.get(piece)
-        if found is not None:
-            return [found]
-        return [self.byte_id.get(b, self.unknown) for b in piece.encode()]
+    def ids_of_path(self, entered: list[int]) -> bytes:
+        n, four = len(self.pieces), self.four
+        return b"".join([four[code] if code < n else b"".join([four[self.byte_id.get(b, self.unknown)] for b in chr(code - n).encode()])
+                         for code in self.path(entered)])
 
     def learn(self, words: set[str]) -> None:
         """Compose words that the cache lacks."""
-        entered, before = [""], ""
+        entered, before = [START], ""
         for w in sorted(words):
             got = self.older.get(w)
             if got is None:
-                same = len(os.path.commonprefix((before, w)))
-                self.extend(w, entered, same)
-                got = np.array([i for p in self.path(entered) for i in self.ids_of_piece(p)], dtype="<u4").tobytes()
+                if self.additive:
+                    entered = self.cheapest(w)
+                else:
+                    same = 0
+                    for a, b in zip(before, w):
+                        if a != b:
+                            break
+                        same += 1
+                    self.extend(w, entered, same)
+                got = self.ids_of_path(entered)
                 before = w
             self.recent[w] = got
 
@@ -234,12 +314,12 @@ class Transducer:
         return text[1:] if self.add_prefix and text[:1] == " " else text
 
 
+codecs.register_error("one_each", lambda e: ("\ufffd", e.start + 1))
+
+
 def decode_bytes(raw: bytes) -> str:
     """UTF-8 with one U+FFFD for each byte that is not part of a character."""
-    try:
-        return raw.decode()
-    except UnicodeDecodeError as e:
-        return raw[:e.start].decode() + "�" + decode_bytes(raw[e.start + 1:])
+    return raw.decode(errors="one_each")
 
 
 _TRANSDUCERS: dict[str, Transducer] = {}  # per Python worker
@@ -269,6 +349,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(_encoded(texts, transducer(model)), dtype=object)
 
+    reserve(docs, "__ids")
     return docs.withColumn("__ids", run(F.coalesce("text", F.lit(""))))
 
 
@@ -290,6 +371,8 @@ def encode_and_decode(docs: DataFrame, model: str) -> DataFrame:
         ids = _encoded(texts, t)
         return pd.DataFrame({"ids": ids, "decoded": [t.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]})
 
+    for name in ("__both", "__ids", "__decoded"):
+        reserve(docs, name)
     return (docs.withColumn("__both", run(F.coalesce("text", F.lit(""))))
             .select(*docs.columns, F.col("__both.ids").alias("__ids"), F.col("__both.decoded").alias("__decoded")))
 

@@ -72,3 +72,40 @@ def test_frames(spark, library):
         assert np.frombuffer(r["__ids"], "<u4").tolist() == library.encode(r.text or "")
         assert r["__decoded"] == (r.text or "").replace("▁", " ")
     assert W.encode(docs.limit(0), MODEL).count() == 0
+    for name in ("__ids", "__both"):
+        with pytest.raises(ValueError):
+            W.encode_and_decode(docs.withColumnRenamed("ids", name), MODEL)
+
+
+def retyped(tmp_path, kind):
+    """The model file with another model type."""
+    blob = sentencepiece.SentencePieceProcessor(model_file=MODEL).serialized_model_proto()
+    spec = dict(W._fields(blob))[2]
+    new = spec.replace(b"\x18\x02", bytes([0x18, kind]), 1)
+    assert dict(W._fields(new))[3] == kind
+    path = str(tmp_path / f"kind{kind}.model")
+    with open(path, "wb") as f:
+        f.write(blob.replace(spec, new, 1))
+    return path
+
+
+def test_unigram_models_use_piece_weights(tmp_path):
+    path = retyped(tmp_path, W.UNIGRAM)
+    t, library, rng = W.Transducer(path), sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
+    alphabet = "aaeeiionrst  .,\n'éß中🙂19"
+    texts = [x for x in TEXTS if len(x or "") < 300] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    for text in texts:
+        assert t.encode(text) == library.encode(text or ""), text
+
+
+def test_other_model_types_raise(tmp_path):
+    with pytest.raises(ValueError, match="unigram"):
+        W.Transducer(retyped(tmp_path, 4))
+
+
+def test_many_bad_bytes_and_very_long_texts(library):
+    t = W.transducer(MODEL)
+    bad = [t.byte_id[0xFF]] * 100_000 + [t.byte_id[0xE4]] * 3 + [600]
+    assert t.decode(bad) == library.decode(bad)
+    for text in ("x" * 20_000, "ab " * 100_000, "中" * 20_000, "é.,\n" * 20_000):
+        assert t.encode(text) == library.encode(text)
