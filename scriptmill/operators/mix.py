@@ -7,10 +7,12 @@ record's unique key (ties by key), positions come from the bucketed global
 rank of :mod:`.ordered` (no single-task window).  Membership therefore
 differs from the original tool, sizes do not.
 
-One ranking per record set gives everything: the split is a cut at
-``floor(n * (1 - val_fraction))``, the CLM sample is the first positions of the
-shuffled training part (a uniform sample without replacement), the validation
-cap counts on from the cut.  All sizes are arithmetic on two counts.
+The split is a cut at ``floor(n * (1 - val_fraction))``, the CLM sample is the
+first positions of the shuffled training part (a uniform sample without
+replacement), the validation cap counts on from the cut.  All sizes are
+arithmetic on two counts.  Where positions themselves are not asked for, the
+cuts are found by counting hashes (``cut_classes``) and the records stay where
+they are.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from ..fixed import CHAT_FORMAT, SEED, SYSTEM_CHAT_DEFAULT, VAL_FRACTION
 from ..functions.hashing import keyed_hash
 from ..functions.text import col_of
-from .ordered import rank_by_hash
+from .ordered import cut_classes, rank_by_hash
 
 RECORD_COLUMNS = ["key", "system", "instruction", "completion", "category", "source_file", "name"]
 
@@ -81,6 +83,18 @@ def split_train_val(df: DataFrame, key, seed=SEED, val_fraction: float = VAL_FRA
     return p.withColumnRenamed("_all", total) if total else p.drop("_all")
 
 
+def label_split(df: DataFrame, key, seed=SEED, val_fraction: float = VAL_FRACTION, bits: int = 16) -> DataFrame:
+    """Adds ``split`` as :func:`split_train_val` does, without positions: no record is shuffled."""
+    d = _hashed(df, key, seed)
+    split = F.when(F.col("_class") == 0, "train").otherwise("val")
+    return cut_classes(d, "_h", "_key", lambda n: [n_train(n, val_fraction)], "_class", bits).withColumn("split", split).drop("_h", "_key", "_class")
+
+
+def _hashed(df: DataFrame, key, seed) -> DataFrame:
+    d = df.withColumn("_key", col_of(key).cast("string"))
+    return d.withColumn("_h", keyed_hash(f"{seed}:shuffle", "_key"))
+
+
 def mix_size(n_sft_train, n_clm_train, ratio: float) -> Column:
     """CLM records to add: ``int(n_sft * r / (1 - r))`` capped at what exists."""
     if ratio >= 1:
@@ -93,22 +107,26 @@ def mix_size(n_sft_train, n_clm_train, ratio: float) -> Column:
 def mix_datasets(sft: DataFrame, clm: DataFrame | None, ratio: float, sft_key: str = "key", clm_key: str = "doc_id",
                  val_cap: int | None = None, seed=SEED, bits: int = 16) -> DataFrame:
     """The training and validation records of a run: ``kind`` (sft or clm),
-    ``split``, ``pos``, ``key`` and the records' columns.
+    ``split``, ``key`` and the records' columns.
 
     Training is all SFT training records plus ``mix_size`` CLM ones; validation
     is all SFT validation records plus the CLM ones (the first ``val_cap`` in
     shuffled order, None: all).  At ratio 0, or without CLM data, SFT only.
     """
-    s = split_train_val(sft, sft_key, seed, bits=bits)
+    s = label_split(sft, sft_key, seed, bits=bits)
     out = s.withColumn("key", col_of(sft_key).cast("string")).withColumn("kind", F.lit("sft"))
     if clm is None or ratio <= 0:
         return out
     n_sft = n_train(sft.select(F.count(F.lit(1))).scalar())
-    c = split_train_val(clm, clm_key, seed, bits=bits, total="_all")
-    cut = n_train("_all")
-    taken = F.col("pos") < F.when(F.col("split") == "train", mix_size(n_sft, cut, ratio)).otherwise(
-        F.col("_all") if val_cap is None else cut + val_cap)
-    c = c.where(taken).withColumn("key", col_of(clm_key).cast("string")).withColumn("kind", F.lit("clm")).drop("_all")
+
+    def targets(n: Column) -> list[Column]:
+        cut = n_train(n)  # sampled, left out, validation, beyond the cap
+        return [mix_size(n_sft, cut, ratio), cut, n if val_cap is None else F.least(n, cut + val_cap)]
+
+    c = cut_classes(_hashed(clm, clm_key, seed), "_h", "_key", targets, "_class", bits)
+    split = F.when(F.col("_class") == 0, "train").when(F.col("_class") == 2, "val")
+    c = (c.withColumn("split", split).where("split is not null").withColumn("key", col_of(clm_key).cast("string"))
+         .withColumn("kind", F.lit("clm")).drop("_h", "_key", "_class"))
     if clm_key != "key":
         c = c.drop(clm_key)
     return out.unionByName(c, allowMissingColumns=True)

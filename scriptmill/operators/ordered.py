@@ -6,18 +6,20 @@ these helpers scan in levels instead: rows go to *buckets* that are monotone in
 the sort order and bounded in size (a hash prefix, a ``seq`` range, a value
 range), a summary with one row per bucket is scanned in order and joined back,
 and a window partitioned by bucket does the rest.  Nothing here runs a job when
-it is called: the plans are lazy.
+it is called, but for ``global_rank``, which writes its rows once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket
 from ..functions.text import col_of
+from ..session import write_once
 
 SEQ_BUCKET_WIDTH = 1 << 16
 #: buckets per group of the two-level scan: a group covers 2**32 positions
@@ -140,32 +142,59 @@ def lag_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "prev", width:
     return seq_scan(df, seq, width, lag={out: col_of(value)})
 
 
-def global_rank(df: DataFrame, value: Column, seq: str = "seq", out: str = "rank", cuts: int = 256) -> DataFrame:
-    """1-based position by ``value`` falling (null last), ties by ``seq`` rising.
+def global_rank(df: DataFrame, value: Column, seq: str = "seq", out: str = "rank", cuts: int | None = None) -> DataFrame:
+    """1-based position by ``value`` falling (null last), ties by ``seq`` rising (unique).
 
-    Lazy, with no table in between: buckets are value ranges between
-    approximate quantiles (at most ``cuts``, one row, found by one
-    aggregation), a value that fills a bucket by itself is split by ``seq``
-    ranges, the bucket counts are prefix-summed and joined back, and row
-    numbers come from a window inside each bucket.  Any cut points give the
-    same ranks: they only decide how even the buckets are.
+    Rows are dealt over ``cuts`` ranges (default: the shuffle partitions) of the
+    whole sort key, so a value that holds a third of the rows is split by
+    ``seq``, sorted inside each and written once.  A row's place in its range is
+    in its row id; the ranges' counts, one small row each, are summed and added.
+    Unlike the rest of this module this writes when it is called.
     """
-    probs = [i / cuts for i in range(1, cuts)]
-    # one row of at most 2 * cuts numbers, carried to every row
-    edges = df.agg(F.array_distinct(F.percentile_approx(value, probs, 10 * cuts)).alias("_e"),
-                   F.array_distinct(F.percentile_approx(seq, probs, 10 * cuts)).alias("_q"))
-    below = lambda edge, x: F.size(F.filter(edge, lambda e: e < x))
-    # a value that is itself an edge has a cell of its own per seq range
-    hot = F.coalesce(F.array_contains("_e", F.col("_v")), F.lit(False))
-    d = (df.withColumn("_v", value).join(F.broadcast(edges))
-         .withColumn("_r", F.when(F.col("_v").isNull(), F.lit(2 * cuts + 2)).otherwise(
-             2 * (F.lit(cuts) - below("_e", F.col("_v"))) - hot.cast("int")))
-         .withColumn("_s", F.when(hot | F.col("_v").isNull(), below("_q", F.col(seq))).otherwise(F.lit(0)))
-         .drop("_e", "_q"))
-    counts = d.groupBy("_r", "_s").agg(F.count(F.lit(1)).alias("_n"))  # at most (2 * cuts + 2) * cuts rows
-    w = Window.orderBy("_r", "_s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_r", "_s", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_r", "_s").orderBy(F.col("_v").desc_nulls_last(), F.col(seq))
-    return (d.join(F.broadcast(offsets), ["_r", "_s"])
-             .withColumn(out, (F.col("_offset") + F.row_number().over(inside)).cast("long"))
-             .select(*df.columns, out))
+    n = cuts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("_v").desc_nulls_last(), F.col(seq)]
+    kept = write_once(df.withColumn("_v", value).repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_v")
+                      .withColumn("_id", F.monotonically_increasing_id()), "rank")
+    ranged = kept.withColumn("_p", F.shiftright("_id", 33))  # an id is the range and the place in it
+    offsets = _bucket_offsets(ranged, "_p", "_offset").drop("_total")
+    place = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return ranged.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_offset") + place + 1).select(*df.columns, out)
+
+
+def cut_classes(df: DataFrame, h: str, key: str, targets: Callable[[Column], Sequence[Column]], out: str, bits: int = 16) -> DataFrame:
+    """How many of the rising ``targets`` (positions, from the number of rows) a
+    row's position in the order ``(h, key)`` has reached, without ranking.
+
+    The smallest pair of each position is found by counting: rows per hash
+    prefix (at most ``2**bits`` counters), then the rows of the one prefix that
+    holds it.  All rows are then compared with those few pairs where they lie:
+    only hashes and keys of a few prefixes are shuffled, no record moves.  Rows
+    that equal such a pair (copies of one key) are numbered among themselves, so
+    every class has its exact size.
+    """
+    d = df.withColumn("_b", hash_bucket(h, bits))
+    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = list(targets(F.col("_total")))
+    cells = (counts.select("_b", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+             .select("_b", "_n", "_before", F.posexplode(F.array(*[t.cast("long") for t in wanted])).alias("_i", "_t"))
+             .where((F.col("_before") <= F.col("_t")) & (F.col("_t") < F.col("_before") + F.col("_n")))
+             .select(F.col("_b"), "_i", (F.col("_t") - F.col("_before")).alias("_rest")))
+    # at most one cell a target; its rows are 1 / 2**bits of all
+    inside = Window.partitionBy("_i").orderBy(h, key)
+    picked = (d.select("_b", h, key).join(F.broadcast(cells), "_b")
+              .withColumn("_k", F.row_number().over(inside) - 1)
+              .withColumn("_same", F.col("_k") - F.rank().over(inside) + 1)
+              .where(F.col("_k") == F.col("_rest")).select("_i", F.struct(F.col(h).alias("h"), F.col(key).alias("k")).alias("_at"), "_same"))
+    pairs = picked.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("_i", F.struct("_at", "_same")))).alias("_cuts"))  # one row
+    at = F.struct(F.col(h).alias("h"), F.col(key).alias("k"))
+    c = [F.element_at("_cuts", F.lit(i)) for i in range(len(wanted))]  # null: beyond the last row
+    marked = df.join(F.broadcast(pairs))
+    equal = reduce(lambda a, b: a | b, [F.coalesce(at == x["_at"], F.lit(False)) for x in c])
+    reached = lambda more: sum((F.coalesce((at > x["_at"]) | more(x), F.lit(False)).cast("int") for x in c[1:]),
+                               F.coalesce((at > c[0]["_at"]) | more(c[0]), F.lit(False)).cast("int"))
+    # copies of a pair: numbered among themselves
+    copies = (marked.where(equal).withColumn("_k", F.row_number().over(Window.partitionBy(h, key).orderBy(h)) - 1))
+    numbered = copies.withColumn(out, reached(lambda x: (at == x["_at"]) & (F.col("_k") >= x["_same"]))).drop("_k")
+    others = marked.where(~equal).withColumn(out, reached(lambda x: F.lit(False)))
+    return others.unionByName(numbered).drop("_cuts")

@@ -68,11 +68,8 @@ def gains(log: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
 
 
 def hits(log: DataFrame, width: int = SEQ_BUCKET_WIDTH) -> DataFrame:
-    """The gains ranked by delta (largest first, ties in log order; null deltas last).
-
-    Ranking reads the gains three times (cut points, counts, ranks), so they are
-    kept after the first (recomputed if an executor is lost)."""
-    return global_rank(gains(log, width).persist(), F.col("delta"), "seq", "rank")
+    """The gains ranked by delta (largest first, ties in log order; null deltas last)."""
+    return global_rank(gains(log, width), F.col("delta"), "seq", "rank")
 
 
 def total_gain(gain_rows: DataFrame) -> DataFrame:
@@ -154,7 +151,8 @@ def format_result_rows(results: DataFrame, ts_col: str = "ts") -> DataFrame:
 
 def compact_json(c) -> Column:
     """JSON text without whitespace outside strings (``separators=(',', ':')``)."""
-    return F.regexp_replace(col_of(c), r'("(?:[^"\\]|\\.)*")|[ \t\n\r]+', "$1")
+    # possessive runs: the matcher keeps no state per character, so texts of any length pass
+    return F.regexp_replace(col_of(c), r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\n\r]++', "$1")
 
 
 def sorted_results(results: DataFrame, sort_by: str = "val_score", limit: int = 50) -> DataFrame:

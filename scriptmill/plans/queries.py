@@ -19,7 +19,7 @@ from ..operators import corpus, grid, localization, logs, mix, results, score
 from ..operators.blocks import extract_blocks, strip_comments, structured_blocks
 from ..operators.chunks import extract_blocks_by_lines, split_entries_by_lines
 from ..operators.pairs import instruction_pairs
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, write_once
 from ..sources.files import read_jsonl, read_reports, scan_scripts, write_jsonl, write_reports
 from ..sources.lines import scan_lines, scan_localization_lines, text_lines
 from ..sources.results_log import append_experiments, append_results, read_experiments, read_results
@@ -409,13 +409,12 @@ def _scratch(spark, name: str) -> str:
 
 
 def _records(spark, sf_dir) -> DataFrame:
-    """All instruction records.  The splits read them several times, so they are
-    kept after the first use (recomputed if an executor is lost)."""
+    """All instruction records, written once: the splits read their keys several times."""
     v = _v(spark, sf_dir)
     scripts = instruction_pairs(_structured(spark, sf_dir), localization.latest_loc(_loc(spark, sf_dir)))
     loc = localization.loc_pairs(localization.latest_loc(_loc(spark, sf_dir, "v_loc_groups")))
     engine = logs.engine_reference(v.view("v_logs"), v.view("v_log_files"), v.view("v_types"))
-    return mix.instruction_records(scripts, loc, engine, v.view("v_sft")).persist()
+    return write_once(mix.instruction_records(scripts, loc, engine, v.view("v_sft")), "records")
 
 
 def _mixed(spark, sf_dir, ratio, val_cap=None) -> DataFrame:
@@ -434,8 +433,9 @@ def q_clm_split(spark, sf_dir):
 
 @query
 def q_mix_sample(spark, sf_dir):
-    m = _mixed(spark, sf_dir, 0.2).where("kind = 'clm' and split = 'train'")
-    return m.select(F.col("key").cast("long").alias("doc_id"), F.col("pos").alias("sample_pos"))
+    """The sampled documents in shuffled order: positions of the sample alone."""
+    m = _mixed(spark, sf_dir, 0.2).where("kind = 'clm' and split = 'train'").select("key")
+    return mix.shuffle_positions(m, "key", out="sample_pos").select(F.col("key").cast("long").alias("doc_id"), "sample_pos")
 
 
 def _mix_counts(m: DataFrame) -> DataFrame:

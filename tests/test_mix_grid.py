@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptmill.operators import grid, mix
+from scriptmill.operators.ordered import cut_classes
 
 
 def test_exact_split_sizes(spark):
@@ -53,11 +54,36 @@ def test_mixed_datasets(spark):
 
 
 def test_plans_are_lazy_and_scan_little(spark, tmp):
-    """Building the log and mix plans starts no job; the split reads its records twice (counts, then ranks)."""
+    """Building the log and mix plans starts no job; hashes are counted, records stay."""
     spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).write.parquet(f"{tmp}/d")
     df = spark.read.parquet(f"{tmp}/d")
     plan = mix.mix_datasets(df.select(F.col("doc_id").alias("key"), "text"), df, 0.2)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation") <= 5  # two per ranking and one count
+    # per record set: hashes counted, the cell, the records and the copies of a cut's key, each branch naming its
+    # cuts (the same subplans, run once); and one total
+    assert plan.count("Relation") <= 14
+
+
+def test_cuts_match_ranks(spark):
+    """Classes by counted cuts are those of the ranked positions, with copies of keys too."""
+    import random
+
+    rng = random.Random(1)
+    for n, copies in ((1, 0), (2, 0), (300, 0), (300, 120), (40, 39)):
+        keys = [f"k{i}" for i in range(n - copies)] + ["same"] * copies
+        rng.shuffle(keys)
+        df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, i int").repartition(3)
+        ranked = {r.i: r for r in mix.split_train_val(df, "key", bits=4).collect()}
+        for name, targets in (("split", lambda t: [mix.n_train(t)]), ("three", lambda t: [F.floor(t / 5), F.floor(t / 2), t]), ("none", lambda t: [F.lit(0), t])):
+            got = cut_classes(mix._hashed(df, "key", mix.SEED), "_h", "_key", targets, "c", bits=4).collect()
+            assert sorted(r.i for r in got) == sorted(ranked)
+            cuts = {"split": [int(n * 0.95)], "three": [n // 5, n // 2, n], "none": [0, n]}[name]
+            size = lambda f: sorted((k, sum(1 for r in got if r.key == k and f(r) )) for k in set(keys))
+            for c in range(len(cuts) + 1):
+                by_rank = sorted((k, sum(1 for r in ranked.values() if r.key == k and sum(r.pos >= x for x in cuts) == c)) for k in set(keys))
+                assert size(lambda r: r.c == c) == by_rank
+        labels = mix.label_split(df, "key", bits=4)
+        assert sorted(labels.columns) == ["i", "key", "split"]
+        assert labels.where("split = 'train'").count() == int(n * 0.95)
 
 
 def test_grid_of_many_combinations_is_spread(spark):

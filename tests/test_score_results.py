@@ -53,6 +53,15 @@ def test_best_config_rules(spark):
     assert bad.best_config == '{"b":2}'
 
 
+def test_compact_json_of_very_long_strings(spark):
+    import json
+
+    values = [{"a": "x y" * 400_000, "b": [1, 2]}, {"q": '\\"\t' * 200_000}, {"k": " ", "": '"'}, [], "s p"]
+    df = spark.createDataFrame([(i, json.dumps(v, indent=2)) for i, v in enumerate(values)], "i int, c string")
+    got = dict(df.select("i", results.compact_json("c")).collect())
+    assert got == {i: json.dumps(v, separators=(",", ":")) for i, v in enumerate(values)}
+
+
 def test_new_best_needs_a_saved_model(spark):
     rows = [(0, 0.3, "ok"), (1, 0.5, "error"), (2, 0.4, "ok"), (3, 0.4, "ok"), (4, 0.6, "ok")]
     df = spark.createDataFrame(rows, "seq long, val_score double, status string")
