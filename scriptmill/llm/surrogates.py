@@ -34,7 +34,10 @@ whose join can be split on the documents' side.
 Defined results: null text stays null, an empty text empty; rows equal in
 doc_id and text are one document and get the same result; overlapping
 candidates go to the leftmost, then by the order above (secrets first); a name
-without a title is not detected; other columns are kept.
+without a title is not detected; an empty table gives an empty result; a host
+name counts up to 128 labels, what follows them stays; very long texts pass, as
+every repetition in the expression is of single characters or bounded; other
+columns are kept, names beginning with ``__`` are reserved and raise.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scriptmill.llm.common import doc_key, materialize
+from scriptmill.llm.common import doc_key, materialize, reserve, shuffle_parts
 
 KEY = "surrogate-key"
 GROW_AFTER = 4
@@ -59,7 +62,7 @@ _KEY_ID = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))"
 _PATTERNS = (
     rf"{_SECRET_HEAD}[A-Za-z0-9+/_-]{{6,}}+={{0,2}}",
     rf"{_KEY_ID}[A-Z0-9]{{16}}",
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}",
     rf"(?<![\p{{L}}\p{{N}}-]){_TITLE}\.? {_NAME}(?: {_NAME})?",
     r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9])(?!\.[0-9])",
     r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])",
@@ -223,7 +226,9 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     Addresses are distinct as a whole: local parts only under one host, and no
     surrogate's host is a real one.  From attempt ``GROW_AFTER`` on surrogates
     grow by a piece an attempt, so the loop ends however full a shape is."""
-    held = materialize(entities.select("kind", "canon").distinct().withColumn("attempt", F.lit(0)), "entities")
+    # surrogates are long expressions: dealt over a stated number of tasks, as few small rows would share one
+    spread = lambda df: df.repartition(shuffle_parts(df.sparkSession), "kind", "canon")
+    held = materialize(spread(entities.select("kind", "canon").distinct()).withColumn("attempt", F.lit(0)), "entities")
     real = held.filter("kind <> 'local'").select(F.col("kind").alias("real_kind"), F.col("canon").alias("real")).distinct()
     form = _real_form(F.col("kind"), F.col("canon"))
     while True:
@@ -235,11 +240,11 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         own = (F.col("kind") == "local") & (F.col("surrogate") == form)
         tried = materialize(
             made.withColumn("copy", F.row_number().over(order) > 1)
-            .join(real, (F.col("kind") == F.col("real_kind")) & (F.col("surrogate") == F.col("real")), "left")
+            .join(real.hint("merge"), (F.col("kind") == F.col("real_kind")) & (F.col("surrogate") == F.col("real")), "left")
             .select("kind", "canon", "surrogate", "attempt", (F.col("copy") | own | F.col("real").isNotNull()).alias("bad")), "surrogates")
         if not tried.filter("bad").limit(1).count():
             return tried.select("kind", "canon", "surrogate")
-        held = tried.select("kind", "canon", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt"))
+        held = spread(tried.select("kind", "canon", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt")))
 
 
 def place(kind: Column, raw: Column, made: Column) -> Column:
@@ -264,7 +269,8 @@ def place(kind: Column, raw: Column, made: Column) -> Column:
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """Every row of ``docs`` with surrogates in ``text``, plus ``__n_entities``."""
-    # only these texts meet the expression; they are written once with their gaps and mentions
+    reserve(docs)
+    # only these texts meet the expression; they are written once with their mentions
     found = materialize(docs.filter(F.col("text").rlike(CUE))
                         .withColumn("__mentions", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
                         .withColumn("__key", doc_key()), "mentions")

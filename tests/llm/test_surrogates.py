@@ -123,3 +123,17 @@ def test_grown_surrogates_keep_the_layout(spark):
     rows = [("phone", "+1 (373) 555-5176", "12345678909"), ("phone", "373 555 5176", "12345678909"), ("local", "Ab", "xyz"), ("card", "4152-8219-8424-0033", "41112222333344445")]
     d = spark.createDataFrame(rows, "kind string, raw string, made string").select(S.place(F.col("kind"), F.col("raw"), F.col("made")).alias("x"))
     assert [r.x for r in d.collect()] == ["+1 (123) 456-78909", "123 456 78909", "Xyz", "4111-2222-3333-44445"]
+
+
+def test_very_long_texts_of_every_cue(spark):
+    """No repetition in the expression recurses, and clashing names raise."""
+    n = 1_000_000
+    cues = ["a@" + "b." * (n // 2) + "com", "a." * (n // 2) + "@x.com", "1" * n, "1-" * (n // 2), "1.2." * (n // 4), "+1 (" * (n // 4),
+            "Mr. " + "A" + "b" * n, "Mr. Ab " * (n // 7), "password=" + "a" * n + "1", "token: " * (n // 7), "AKIA" + "A" * n, "@" * n, "x@y" * (n // 3)]
+    docs = spark.createDataFrame(list(enumerate(cues)), "doc_id long, text string").repartition(7)
+    found = docs.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(S.PATTERN), F.lit(0))).alias("n"),
+                        F.size(F.split("text", S.PATTERN, -1)).alias("pieces")).collect()
+    assert len(found) == len(cues) and all(r.pieces == r.n + 1 for r in found)
+    assert S.replace_entities(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        S.replace_entities(docs.withColumn("__key", F.lit(1)))
