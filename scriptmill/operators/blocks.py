@@ -47,19 +47,17 @@ def block_spans(lines) -> Column:
     none = F.lit(-1)
     start = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("level"), none.alias("first"),
                      F.lit(0).cast("long").alias("floor"), none.alias("above"), none.alias("plain"))
-    empty = F.expr(f"cast(array() as array<{SPAN}>)")
-
-    def step(a: Column, x: Column) -> tuple[Column, Column]:
+    def step(a: Column, x: Column) -> tuple[Column, Column, Column]:
         opening = (a["first"] < 0) & x["opens"]
         first = F.when(opening, a["at"]).otherwise(a["first"])
         floor = F.when(opening, a["level"]).otherwise(a["floor"])
         above = F.when(opening, a["plain"]).otherwise(a["above"])
         level = a["level"] + x["change"]
         closing = (first >= 0) & (level <= floor)
-        done = F.array(F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above")))
+        done = F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above"))
         state = F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.when(closing, none).otherwise(first).alias("first"),
                          floor.alias("floor"), above.alias("above"), F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"))
-        return state, F.when(closing, done).otherwise(empty)
+        return state, closing, done
 
     def finish(a: Column) -> Column:
         last = a["state"]
@@ -77,19 +75,16 @@ def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> Dat
     and ``comment_header`` the run of ``#`` lines directly above the opener.
     Any extra columns of ``df`` are not carried; join on ``path`` for them.
     """
-    cut = lambda lines, first, n: F.array_join(F.slice(lines, first, n), "\n")  # noqa: E731  1-based
-
     def blocks(lines: Column) -> Column:
         # cut out before the rows are made: a row holds its block, not the file
         return F.transform(block_spans(lines), lambda b: F.struct(
-            b["first"].cast("long").alias("ln"),
-            F.regexp_extract(F.element_at(lines, b["first"] + 1), OPENER_RE, 1).alias("name"),
-            cut(lines, b["first"] + 1, b["last"] - b["first"] + 1).alias("code"),
-            cut(lines, b["above"] + 2, b["first"] - b["above"] - 1).alias("comment_header"),
-            (b["last"] - b["first"] + 1).cast("long").alias("lines")))
+            b["first"].cast("long").alias("ln"), F.slice(lines, b["first"] + 1, b["last"] - b["first"] + 1).alias("body"),
+            F.slice(lines, b["above"] + 2, b["first"] - b["above"] - 1).alias("header")))
 
     return (df.select(F.col(path).alias(path), F.explode(let(F.split(F.col(text), "\n", -1), blocks)).alias("_b"))
-            .select(path, "_b.*"))
+            .select(path, "_b.ln", F.regexp_extract(F.col("_b.body")[0], OPENER_RE, 1).alias("name"),
+                    F.array_join("_b.body", "\n").alias("code"), F.array_join("_b.header", "\n").alias("comment_header"),
+                    F.size("_b.body").cast("long").alias("lines")))
 
 
 def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFrame:

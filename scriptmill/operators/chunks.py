@@ -90,9 +90,8 @@ def _local_scan(facts: Column) -> Column:
     zero = F.lit(0).cast("long")
     start = F.struct(F.lit(0).alias("at"), zero.alias("level"), F.lit(_FAR).cast("long").alias("low"), none.alias("first"),
                      zero.alias("floor"), none.alias("above"), none.alias("plain"))
-    empty = F.expr(f"cast(array() as array<{SPAN}>)")
 
-    def step(a: Column, x: Column) -> tuple[Column, Column]:
+    def step(a: Column, x: Column) -> tuple[Column, Column, Column]:
         opening = (a["first"] < 0) & x["opens"]
         first = F.when(opening, a["at"]).otherwise(a["first"])
         floor = F.when(opening, a["level"]).otherwise(a["floor"])
@@ -102,7 +101,7 @@ def _local_scan(facts: Column) -> Column:
         state = F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.least(a["low"], level).alias("low"),
                          F.when(closing, none).otherwise(first).alias("first"), floor.alias("floor"), above.alias("above"),
                          F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"))
-        return state, F.when(closing, F.array(F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above")))).otherwise(empty)
+        return state, closing, F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above"))
 
     return fold_append(facts, start, step, SPAN)
 

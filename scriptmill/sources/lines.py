@@ -81,9 +81,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 512) -> Column:
-    """Fold an array from ``start``; ``step(state, x)`` gives the next state and
-    an array of ``kind`` to append.  A struct of ``state`` and ``out``.
+def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str, block: int = 512) -> Column:
+    """Fold an array from ``start``; ``step(state, x)`` gives the next state, whether
+    to append, and the item (of ``kind``) to append.  A struct of ``state`` and ``out``.
 
     Appending copies what was appended before, so the fold goes by blocks whose
     results are arrays of their own: linear for any length in practice.
@@ -92,17 +92,18 @@ def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column
     nested = F.expr(f"cast(array() as array<array<{kind}>>)")
 
     def inner(acc: Column, x: Column) -> Column:
-        return let(F.struct(*(c.alias(n) for n, c in zip(("state", "more"), step(acc["state"], x)))), lambda d: F.struct(
-            d["state"].alias("state"), F.when(F.size(d["more"]) > 0, F.concat(acc["out"], d["more"])).otherwise(acc["out"]).alias("out")))
+        state, appends, item = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.when(appends, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
 
     def fold(xs: Column) -> Column:
         def outer(acc: Column, i: Column) -> Column:
             done = F.aggregate(F.slice(xs, i, block), F.struct(acc["state"].alias("state"), none.alias("out")), inner)
             return let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
 
-        places = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(block))).otherwise(F.expr("cast(array() as array<int>)"))
-        return F.aggregate(places, F.struct(start.alias("state"), nested.alias("out")), outer,
+        begin = lambda out: F.struct(start.alias("state"), out.alias("out"))
+        long = F.aggregate(F.sequence(F.lit(1), F.size(xs), F.lit(block)), begin(nested), outer,
                            lambda a: F.struct(a["state"].alias("state"), F.flatten(a["out"]).alias("out")))
+        return F.when(F.size(xs) <= block, F.aggregate(xs, begin(none), inner)).otherwise(long)
 
     return let(col_of(xs), fold)
 
@@ -112,8 +113,8 @@ def entering_states(summaries: DataFrame, summary: str, start: Column, step: Cal
     from one summary per chunk.  A file's summaries are one row of numbers."""
     ordered = summaries.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("chunk", F.col(summary).alias("s")))).alias("_xs"))
 
-    def one(state: Column, x: Column) -> tuple[Column, Column]:
-        return step(state, x["s"]), F.array(F.struct(x["chunk"].alias("chunk"), state.alias("entering")))
+    def one(state: Column, x: Column) -> tuple[Column, Column, Column]:
+        return step(state, x["s"]), F.lit(True), F.struct(x["chunk"].alias("chunk"), state.alias("entering"))
 
     scanned = fold_append("_xs", start.cast(kind), one, f"struct<chunk:bigint,entering:{kind}>")["out"]
     return ordered.select("path", F.explode(scanned).alias("_s")).select("path", "_s.chunk", "_s.entering")
