@@ -8,17 +8,22 @@ lines, and the share of words on content lines decides retention.
 Fitting.  The CRF is fitted on a bounded sample of labelled documents
 (``max_docs`` per class with at most ``max_lines`` lines each, lowest keyed
 hash of doc_id first, rows equal in doc_id and text once, documents of the held-out fold crc32(doc_id) mod 3 = 1
-left out): every line of a document labelled quality 1 counts as content, of
-quality 0 as boilerplate.  The chain is fitted by gradient ascent on the
-penalised likelihood (forward-backward), on the driver over the collected
-feature codes of the sample, never over texts.
+left out).  Labels are of documents, lines are latent: a document of quality 1
+has at least ``CONTENT_SHARE`` of its words on content lines, one of quality 0
+less.  Lines are first told apart by a logistic model of their features alone,
+then fit and labelling alternate: the chain is fitted by gradient ascent on the
+penalised likelihood of the present labels (forward-backward), and each document
+is labelled anew by its best path among those that meet its share (a score per
+line, raised or lowered until the best path does).  All of it runs on the driver
+over the collected feature codes of the sample, never over texts.
 
 Base rules come first: fewer than ``min_words`` words, or more than half of
 the words inside repeated three-word windows, reject a document outright.
 
 Defined results: null text counts as empty; an empty text has no words and
 fails; equal lines keep their first; rows that repeat a doc_id are scored one
-by one; a label that is null is not used, several labels of one doc_id count
+by one; an empty table gives an empty result; a column named ``__quality`` raises;
+a very long text is one row of arrays, about 100 bytes a character; a label that is null is not used, several labels of one doc_id count
 as their maximum; without any labelled document of both classes every line is
 content; other columns of the input are ignored.
 """
@@ -33,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptmill.llm.common import doc_key, materialize
+from scriptmill.llm.common import doc_key, materialize, reserve
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -42,6 +47,7 @@ MAX_DOCS = 1500
 MAX_LINES = 2000
 L2 = 1.0
 STEPS = 200
+ROUNDS = 4
 
 _BYTES = np.arange(256)
 _SPACE = np.isin(_BYTES, [32, 9, 10, 11, 12, 13])
@@ -172,22 +178,28 @@ def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
 
-def fit_crf(examples: list[tuple[np.ndarray, int]], steps: int = STEPS, l2: float = L2) -> Crf:
+def fit_crf(examples: list[tuple[np.ndarray, np.ndarray | int]], steps: int = STEPS, l2: float = L2, begin_at: Crf | None = None) -> Crf:
     """Gradient ascent (Adam) on the penalised log-likelihood of the label
-    sequences; ``examples``: feature codes and the label of all lines."""
-    if len({y for _, y in examples}) < 2:
+    sequences; ``examples``: feature codes and the labels of the lines (or one for all)."""
+    examples = [(x, np.broadcast_to(np.asarray(y), (len(x),))) for x, y in examples]
+    if len({int(v) for _, y in examples for v in np.unique(y)}) < 2:
         return Crf()
     examples = sorted(examples, key=lambda e: -len(e[0]))
     n, t_max = len(examples), len(examples[0][0])
     lengths = np.array([len(x) for x, _ in examples])
-    y = np.array([label for _, label in examples])
+    y = np.concatenate([label for _, label in examples])
     alive = [int((lengths > t).sum()) for t in range(t_max)]  # longest first: those alive at t are a prefix
     flat = np.concatenate([x for x, _ in examples])
     begin = np.cumsum(lengths) - lengths
     seq = np.repeat(np.arange(n), lengths)
-    counts_1 = np.bincount(flat[y[seq] == 1].ravel(), minlength=N_FEATURES).astype(float)
-    steps_in = np.maximum(lengths - 1, 0)
+    counts_1 = np.bincount(flat[y == 1].ravel(), minlength=N_FEATURES).astype(float)
+    inner = np.ones(len(flat), dtype=bool)
+    inner[begin] = False
+    at_inner = np.flatnonzero(inner)
+    pair_counts = np.bincount(2 * y[at_inner - 1] + y[at_inner], minlength=4)
     theta = np.zeros(N_FEATURES + 5)
+    if begin_at is not None:
+        theta = np.array([*begin_at.weights, begin_at.start, *begin_at.pairs[0], *begin_at.pairs[1]])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for it in range(1, steps + 1):
         w, s, pairs = theta[:N_FEATURES], theta[N_FEATURES], theta[N_FEATURES + 1:].reshape(2, 2)
@@ -208,14 +220,12 @@ def fit_crf(examples: list[tuple[np.ndarray, int]], steps: int = STEPS, l2: floa
         p1 = np.exp(alpha[:, 1] + beta[:, 1] - z[seq])
         grad = np.zeros_like(theta)
         grad[:N_FEATURES] = counts_1 - np.bincount(flat.ravel(), weights=np.repeat(p1, flat.shape[1]), minlength=N_FEATURES)
-        grad[N_FEATURES] = (y - p1[begin]).sum()
-        inner = np.ones(len(flat), dtype=bool)
-        inner[begin] = False
-        at = np.flatnonzero(inner)
+        grad[N_FEATURES] = (y[begin] - p1[begin]).sum()
+        at = at_inner
         for a in (0, 1):
             for b in (0, 1):
                 p = np.exp(alpha[at - 1, a] + pairs[a, b] + b * e[at] + beta[at, b] - z[seq[at]])
-                grad[N_FEATURES + 1 + 2 * a + b] = (steps_in[y == a].sum() if a == b else 0) - p.sum()
+                grad[N_FEATURES + 1 + 2 * a + b] = pair_counts[2 * a + b] - p.sum()
         grad = (grad - l2 * theta) / n
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + 0.1 * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
@@ -223,6 +233,67 @@ def fit_crf(examples: list[tuple[np.ndarray, int]], steps: int = STEPS, l2: floa
     return Crf(tuple(t[:N_FEATURES]), t[N_FEATURES], ((t[-4], t[-3]), (t[-2], t[-1])))
 
 
+def fit_lines(examples: list[tuple[np.ndarray, int]], steps: int = STEPS, l2: float = L2) -> np.ndarray:
+    """Feature weights of a logistic model of single lines, each document's lines
+    weighing 1 together, from the labels of the documents."""
+    flat = np.concatenate([x for x, _ in examples])
+    weight = np.concatenate([np.full(len(x), 1 / max(len(x), 1)) for x, _ in examples])
+    y = np.concatenate([np.full(len(x), label, dtype=float) for x, label in examples])
+    theta, m, v = np.zeros(N_FEATURES), np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+    for it in range(1, steps + 1):
+        p = 1 / (1 + np.exp(-theta[flat].sum(axis=1)))
+        grad = np.bincount(flat.ravel(), weights=np.repeat(weight * (y - p), flat.shape[1]), minlength=N_FEATURES)
+        grad = (grad - l2 * theta) / len(examples)
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+        theta = theta + 0.1 * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
+    return theta
+
+
+def share_path(scores: np.ndarray, words: np.ndarray, crf: Crf, label: int) -> np.ndarray:
+    """The best label sequence whose share of words on content lines is that of a
+    document with this label: all lines' scores shift by as little as it takes."""
+    total = max(int(words.sum()), 1)
+
+    def path(shift: float) -> np.ndarray:
+        return np.array(viterbi(scores + shift, crf))
+
+    def fits(found: np.ndarray) -> bool:
+        return (words[found == 1].sum() >= CONTENT_SHARE * total) == bool(label)
+
+    best = path(0.0)
+    if fits(best):
+        return best
+    low, high, sign = 0.0, 64.0, 1 if label else -1
+    best = np.full(len(scores), label)
+    for _ in range(12):
+        middle = (low + high) / 2
+        found = path(sign * middle)
+        if fits(found):
+            best, high = found, middle
+        else:
+            low = middle
+    return best
+
+
+def fit_latent(examples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = ROUNDS) -> Crf:
+    """The chain of documents whose lines are not labelled; ``examples``: feature
+    codes, words per line, label of the document."""
+    if len({y for *_, y in examples}) < 2:
+        return Crf()
+    weights = fit_lines([(x, y) for x, _, y in examples])
+    alone = Crf(start=0.0)
+    labels = [share_path(weights[x].sum(axis=1), n, alone, y) for x, n, y in examples]
+    crf = None
+    for k in range(rounds):
+        crf = fit_crf([(x, z) for (x, *_), z in zip(examples, labels, strict=True)], STEPS if crf is None else STEPS // 4, begin_at=crf)
+        if k + 1 < rounds:
+            new = [share_path(np.asarray(crf.weights)[x].sum(axis=1), n, crf, y) for x, n, y in examples]
+            if all((a == b).all() for a, b in zip(labels, new, strict=True)):
+                break
+            labels = new
+    return crf
+
+
 def labelled_sample(labels: DataFrame, column: str, per_class: int) -> DataFrame:
     """(``label_id``, ``label``): at most ``per_class`` doc_ids of each label,
     held-out fold left out, in the order of a keyed hash.  Bounded: safe to broadcast."""
@@ -251,15 +322,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines:
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [(label, analyse(t)[2]) for t, label in zip(pdf["text"], pdf["label"], strict=True)]
+            got = [(label, *analyse(t)[1:]) for t, label in zip(pdf["text"], pdf["label"], strict=True)]
             yield pd.DataFrame({"label": [g[0] for g in got], "lines": [len(g[1]) for g in got],
-                                "codes": [g[1].tobytes() for g in got]})
+                                "words": [g[1].astype("<i4").tobytes() for g in got], "codes": [g[2].tobytes() for g in got]})
 
     rows = (labelled_rows(docs, sample, max_docs).select("text", "label")
-            .mapInPandas(codes, "label int, lines int, codes binary").filter(F.col("lines") <= max_lines)
-            .orderBy("label", F.xxhash64("codes"), "codes").collect())  # at most 2 * max_docs
+            .mapInPandas(codes, "label int, lines int, words binary, codes binary").filter(F.col("lines") <= max_lines)
+            .orderBy("label", F.xxhash64("codes"), "codes", "words").collect())  # at most 2 * max_docs
     width = len(EDGES)
-    return fit_crf([(np.frombuffer(r["codes"], dtype=np.uint8).reshape(-1, width), int(r["label"])) for r in rows])
+    return fit_latent([(np.frombuffer(r["codes"], dtype=np.uint8).reshape(-1, width), np.frombuffer(r["words"], dtype="<i4"),
+                        int(r["label"])) for r in rows])
 
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -273,6 +345,7 @@ def score(docs: DataFrame, crf: Crf) -> DataFrame:
         got = [verdict(t, crf) for t in texts]
         return pd.DataFrame({k.split()[0]: [g[k.split()[0]] for g in got] for k in RESULT.split(", ")})
 
+    reserve(docs, "__quality")
     return docs.withColumn("__quality", judge(F.coalesce("text", F.lit(""))))
 
 

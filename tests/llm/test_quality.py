@@ -81,3 +81,53 @@ def test_repeated_rows_leave_both_classes(spark):
     crf = Q.fit(spark.createDataFrame([(i, ("plain words here" if i % 2 else "a### b%%% c&&&")) for i in range(40) for _ in range(2)],
                                       "doc_id long, text string"), labels, max_docs=10)
     assert crf != Q.fit_crf([])
+
+
+def mixed(rng, good):
+    """A text of prose and boilerplate lines, most of one kind, with the true line labels."""
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(2, 9))))
+    prose = lambda: " ".join(word() for _ in range(int(rng.integers(9, 25)))).capitalize() + "."
+    junk = [lambda: " | ".join(word().capitalize() for _ in range(6)), lambda: "### " + " $ ".join(word() for _ in range(4)) + " &&&",
+            lambda: " ".join([word().upper()] * 6), lambda: "Menu > " + " > ".join(word().upper() for _ in range(3))]
+    labels, state = [], int(good)
+    for _ in range(int(rng.integers(8, 20))):
+        if rng.random() < 0.25:
+            state = int(rng.random() < (0.75 if good else 0.2))
+        labels.append(state)
+    if np.mean(labels) < 0.6 and good or np.mean(labels) > 0.3 and not good:
+        return mixed(rng, good)
+    return "\n".join(prose() if z else junk[int(rng.integers(len(junk)))]() for z in labels), labels
+
+
+def test_lines_of_mixed_documents_are_labelled():
+    """From document labels alone: at least 90 % of the lines of new mixed documents are right."""
+    rng = np.random.default_rng(7)
+    sample = [(*Q.analyse(mixed(rng, y)[0])[1:], y) for y in [0, 1] * 150]
+    crf = Q.fit_latent([(feats, words, y) for words, feats, y in sample])
+    right = of = both = truly = 0
+    for y in [0, 1] * 60:
+        text, labels = mixed(rng, y)
+        got = Q.viterbi(np.asarray(crf.weights)[Q.analyse(text)[2]].sum(axis=1), crf)
+        right, of = right + sum(a == b for a, b in zip(got, labels)), of + len(labels)
+        both, truly = both + (len(set(got)) == 2), truly + (len(set(labels)) == 2)
+    assert right >= 0.9 * of and truly > 30 and both >= 0.9 * truly
+
+
+def test_share_path_meets_the_label():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        n = int(rng.integers(1, 12))
+        scores, words = rng.normal(size=n) * 3, rng.integers(1, 9, n)
+        crf = Q.Crf(start=rng.normal(), pairs=tuple(map(tuple, rng.normal(size=(2, 2)))))
+        for y in (0, 1):
+            share = words[Q.share_path(scores, words, crf, y) == 1].sum() / words.sum()
+            assert (share >= 0.5) == bool(y)
+        free = np.array(Q.viterbi(scores, crf))
+        assert (Q.share_path(scores, words, crf, int(words[free == 1].sum() * 2 >= words.sum())) == free).all()
+
+
+def test_very_long_text_and_reserved_name(spark):
+    long = "some words here again and more of them " * 50_000 + "\n" + "x\n" * 100_000
+    assert Q.analyse(long)[0] == {**Q.analyse(long)[0], "n_words": 500_000 - 100_000 + 100_000, "n_dup_lines": 99_999}
+    with pytest.raises(ValueError):
+        Q.score(spark.createDataFrame([(1, "a", 2)], "doc_id long, text string, __quality int"), Q.Crf())
