@@ -142,6 +142,22 @@ def lag_by_seq(df: DataFrame, value, seq: str = "seq", out: str = "prev", width:
     return seq_scan(df, seq, width, lag={out: col_of(value)})
 
 
+def position_by(df: DataFrame, order: str, out: str, cuts: int | None = None) -> DataFrame:
+    """0-based position in the rising order of a unique column, written once."""
+    return _by_range(df, [F.col(order)], out, cuts)
+
+
+def _by_range(df: DataFrame, order: list[Column], out: str, cuts: int | None) -> DataFrame:
+    """0-based position in a sort order whose key is unique."""
+    n = cuts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = write_once(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                      .withColumn("_id", F.monotonically_increasing_id()), "rank")
+    ranged = kept.withColumn("_p", F.shiftright("_id", 33))  # an id is the range and the place in it
+    offsets = _bucket_offsets(ranged, "_p", "_offset").drop("_total")
+    place = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return ranged.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_offset") + place).select(*df.columns, out)
+
+
 def global_rank(df: DataFrame, value: Column, seq: str = "seq", out: str = "rank", cuts: int | None = None) -> DataFrame:
     """1-based position by ``value`` falling (null last), ties by ``seq`` rising (unique).
 
@@ -151,14 +167,8 @@ def global_rank(df: DataFrame, value: Column, seq: str = "seq", out: str = "rank
     in its row id; the ranges' counts, one small row each, are summed and added.
     Unlike the rest of this module this writes when it is called.
     """
-    n = cuts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("_v").desc_nulls_last(), F.col(seq)]
-    kept = write_once(df.withColumn("_v", value).repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_v")
-                      .withColumn("_id", F.monotonically_increasing_id()), "rank")
-    ranged = kept.withColumn("_p", F.shiftright("_id", 33))  # an id is the range and the place in it
-    offsets = _bucket_offsets(ranged, "_p", "_offset").drop("_total")
-    place = F.col("_id").bitwiseAND((1 << 33) - 1)
-    return ranged.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_offset") + place + 1).select(*df.columns, out)
+    ranked = _by_range(df.withColumn("_v", value), [F.col("_v").desc_nulls_last(), F.col(seq)], out, cuts)
+    return ranked.withColumn(out, F.col(out) + 1).drop("_v")
 
 
 def cut_classes(df: DataFrame, h: str, key: str, targets: Callable[[Column], Sequence[Column]], out: str, bits: int = 16) -> DataFrame:

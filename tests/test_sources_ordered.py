@@ -86,6 +86,39 @@ def test_log_of_the_original_tool_is_numbered_in_file_order(spark, tmp):
     assert [r.timestamp for r in back] == [f"t{i}" for i in range(9)]
 
 
+def test_log_begun_by_the_original_tool_and_continued(spark, tmp):
+    head = "timestamp\tval_score\tsyntax\tkeyword\tstructure\tstatus\telapsed_s\tconfig\n"
+    line = lambda t: f"{t}\t0.5\t0\t0\t0\tok\t1\t{{}}"
+    path = os.path.join(tmp, "mixed")
+
+    def put(name, text, at):
+        _write(path, name, (head + text).encode())
+        os.utime(os.path.join(path, name), (at, at))
+
+    os.makedirs(path)
+    put("results.tsv", "".join(line(f"old{i}") + "\n" for i in range(3)), 1_000)
+    put("part-b.csv", "".join(line(f"own{i}") + f"\t{i}\n" for i in (3, 4)), 2_000)
+    put("part-a.csv", "".join(line(f"own{i}") + f"\t{i}\n" for i in (0, 1, 2)), 3_000)
+    put("late.tsv", line("new0") + "\n" + line("new1") + "\n", 3_500)
+    put("part-c.csv", line("own5") + "\t5\n", 4_000)
+    back = results_log.read_results(spark, path).orderBy("seq").collect()
+    assert [r.seq for r in back] == list(range(11))
+    assert [r.timestamp for r in back] == ["old0", "old1", "old2", "own0", "own1", "own2", "own3", "own4", "new0", "new1", "own5"]
+
+
+def test_quoted_fields(spark, tmp):
+    lines = ["commit\tval_score\tmemory_gb\tstatus\tdescription", 'a1\t0.5\t1\tkeep\t"tab\there ""q"" "', '"b2"\t"0.25"\t\t"crash"\tplain "x" y',
+             'c3\t1\t2\tkeep\t"open', 'd4\t1\t2\tkeep\t' + '"' + "ab\t" * 200_000 + '"', 'e5\t1\t2\tkeep\t""']
+    _write(tmp, "q.tsv", "\n".join(lines).encode())
+    got = [tuple(r)[1:] for r in results_log.read_experiments(spark, os.path.join(tmp, "q.tsv")).orderBy("seq").collect()]
+    assert got[:3] == [("a1", 0.5, 1.0, "KEEP", 'tab\there "q" '), ("b2", 0.25, None, "CRASH", 'plain "x" y'), ("c3", 1.0, 2.0, "KEEP", '"open')]
+    assert got[3][4] == "ab\t" * 200_000 and got[4][4] == ""
+    rows = spark.createDataFrame([(0, "a", "1", "2", "keep", 'x\ty "z"'), (1, "b", "1", "2", "keep", "two\nlines")],
+                                 "seq long, commit string, val_score string, memory_gb string, status string, description string")
+    results_log.append_experiments(rows, os.path.join(tmp, "e2"))
+    assert [r.description for r in results_log.read_experiments(spark, os.path.join(tmp, "e2")).orderBy("seq").collect()] == ['x\ty "z"', "two lines"]
+
+
 def test_experiment_log_and_reports(spark, tmp):
     _write(tmp, "e.tsv", b"commit\tval_score\tmemory_gb\tstatus\tdescription\na1\t0.5\tx\t keep \td\nb2\t\t1\tCRASH\te f\n")
     got = [tuple(r)[1:] for r in results_log.read_experiments(spark, os.path.join(tmp, "e.tsv")).orderBy("seq").collect()]
