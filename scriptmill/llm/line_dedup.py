@@ -24,18 +24,21 @@ its members can be split.
 Defined results: null text counts as empty and stays null; lines are split at
 ``\\n`` alone; an empty text is one empty line; rows equal in doc_id and text
 are one document and get the same result; runs inside one document count too;
-a document that is all repeats keeps an empty text; a null doc_id sorts first.
+a document that is all repeats keeps an empty text; a null doc_id sorts first; an
+empty table gives an empty result; very long texts are split whole, their lines
+met with their runs in one pass; columns named ``__...`` are reserved and raise.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scriptmill.llm.common import WORD_RE, doc_key, materialize, running_total
+from scriptmill.llm.common import WORD_RE, doc_key, materialize, reserve, running_total
+from scriptmill.sources.lines import let
 
 MIN_WORDS = 50
 
@@ -118,9 +121,19 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every row of ``docs`` with the repeated runs cut out of ``text``, plus
     ``__runs`` (those runs, null if none)."""
+    reserve(docs)
     runs = materialize(repeated_runs(docs, min_words), "repeats").select(F.col("doc").alias("__doc"), F.col("runs").alias("__runs"))
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.exists(
-        "__runs", lambda r: (i >= r["start"]) & (i < r["stop"])))
+
+    def between(lines: Column) -> Column:
+        """The lines outside of the runs: runs are apart and in order, so one slice before each and one behind the last."""
+        def gap(i: Column) -> Column:
+            start = F.when(i > 0, F.get("__runs", i - 1)["stop"]).otherwise(F.lit(0))
+            stop = F.when(i < F.size("__runs"), F.get("__runs", i)["start"]).otherwise(F.size(lines))
+            return F.slice(lines, start + 1, stop - start)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size("__runs")), lambda i: gap(i)))
+
+    kept = let(F.split("text", "\n", -1), between)
     # the runs grow with the documents: merged at every size, never broadcast
     return (docs.withColumn("__key", doc_key()).join(runs.hint("merge"), F.col("__key") == F.col("__doc"), "left")
             .withColumn("text", F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))

@@ -58,3 +58,20 @@ def test_empty_and_unique(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert {(r.doc_id, r.text, r["__runs"]) for r in L.dedup_lines(df).collect()} == {(1, "a b", None), (2, None, None)}
     assert L.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_many_runs_in_one_text_and_reserved_names(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from scriptmill.llm import line_dedup
+
+    n = 18_000
+    block = [" ".join(f"w{i}x{k}" for k in range(10)) for i in range(8)]
+    text = "\n".join(x for i in range(n // 9) for x in (block + [f"line {i}"]))  # 2,000 runs, less the first, to cut
+    docs = spark.createDataFrame([(1, text), (2, "other text"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).select("doc_id", "text", F.size("__runs").alias("n")).collect()}
+    assert got[1].text.split("\n") == block + [f"line {i}" for i in range(n // 9)] and got[1].n == n // 9 - 1
+    assert got[2].text == "other text" and got[3].text is None
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(docs.withColumn("__runs", F.lit(1)))
