@@ -27,7 +27,9 @@ that fills it); an empty table gives an empty store.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -104,13 +106,29 @@ def unpack_block(image: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return [d if h else None for d, h in zip(doc_ids, has_id, strict=True)], lengths, decode_values(control, data, n_ids)
 
 
+def splits_at_words(spec: dict) -> bool:
+    """Whether a tokenizer file lower-cases, drops white space, and never joins a
+    character with one behind a white space, or a letter with a full stop or comma."""
+    steps = [(s.get("type"), s.get("content")) for s in (spec.get("normalizer") or {}).get("normalizers", [])]
+    parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if steps != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [p.get("type") for p in parts] != ["Split", "ByteLevel"]:
+        return False
+    split, level, model = parts[0], parts[1], spec.get("model") or {}
+    # matches are words of letters, single digits, or signs without white space: what lies between is dropped
+    kept = (split.get("pattern") or {}).get("Regex", "").split("|")
+    return (split.get("behavior") == "Removed" and split.get("invert") is True and not level.get("add_prefix_space")
+            and kept[-3:] == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"] and all(re.fullmatch("'[a-z]+", k) for k in kept[:-3])
+            and model.get("type") == "BPE" and not model.get("unk_token") and not model.get("ignore_merges") and not model.get("dropout"))
+
+
 class WordEncoder:
     """Encodes texts word by word through the tokenizer, each distinct word once.
 
     Fits tokenizers that drop white space and never join characters across it
     or across a letter and a following full stop or comma, with lower-casing:
-    the ids of a text are then those of its words in order.  Texts holding the
-    opening of a special token are encoded whole.
+    the ids of a text are then those of its words in order.  Whether a file is of
+    that kind is read from its normaliser and splitter; with any other, and for
+    texts that hold the opening of a special token, texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -118,6 +136,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = splits_at_words(json.loads(self.tokenizer.to_str()))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -144,6 +163,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
         """The ids of each text, ``end_id`` last."""
+        if not self.by_words:
+            done = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.array([*e.ids, end_id], dtype=np.uint32) for e in done]
         whole = pc.match_substring(texts, "<|").to_pylist()
         plain = pc.if_else(pa.array(whole), "", texts) if any(whole) else texts
         plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-z0-9])([.,])", r"\1 \2")

@@ -42,3 +42,14 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "store")
     T.write_token_files(spark.createDataFrame([], "doc_id long, text string"), path, PATH)
     assert T.read_token_files(spark, path).count() == 0
+
+
+def test_other_tokenizers_are_encoded_whole():
+    import pyarrow as pa
+
+    texts = [t or "" for t in TEXTS]
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        encoder, library = T.WordEncoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+        assert encoder.by_words is by_words
+        got = [g.tolist() for g in encoder.encode(pa.array(texts), 1)]
+        assert got == [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
