@@ -88,3 +88,31 @@ def fill_template(template, **values) -> Column:
     for name, value in values.items():
         out = F.replace(out, F.lit("{" + name + "}"), col_of(value))
     return out
+
+
+def fixed_6(c) -> Column:
+    """``'%.6f' % x``: the binary value rounded half to even (below 2**31; larger
+    values as their shortest decimal text rounds).
+
+    Rounding the shortest decimal text gives the same but where that text ends in
+    a 5 at the seventh decimal.  There the value is compared with the tie ``p / 2e6``
+    exactly: the product with 2e6 and its rounding error (a value split into halves
+    of 26 bits makes every partial product exact) less the whole number ``p``.
+    """
+    x = F.abs(col_of(c).cast("double"))
+    # by the shortest decimal text; products with seven digits stay exact
+    text = F.when(x < float(1 << 31), x).otherwise(F.lit(0.0)).cast("decimal(28,18)")
+    seventh = text * F.lit(10_000_000).cast("decimal(8,0)")
+    tie = (seventh == F.floor(seventh)) & (seventh % 10 == 5)
+    scale = F.lit(2_000_000.0)
+    p = (text * F.lit(2_000_000).cast("decimal(7,0)")).cast("long")
+    big = x * F.lit(134_217_729.0)
+    high = big - (big - x)
+    y = x * scale
+    over = (y - p.cast("double")) + ((high * scale - y) + (x - high) * scale)
+    below = F.floor(p / 2).cast("long")
+    n = below + F.when(over > 0, 1).when(over < 0, 0).otherwise(below % 2)
+    million = F.lit(1_000_000)
+    exact = F.concat(F.when(col_of(c) < 0, "-").otherwise(""), F.floor(n / million).cast("string"), F.lit("."),
+                     F.lpad((n % million).cast("string"), 6, "0"))
+    return F.when(tie, exact).otherwise(F.format_string("%.6f", col_of(c).cast("double")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import BASE_MODEL, RESULTS_NUMERIC
-from ..functions.text import col_of, cut_with_ellipsis, py_strip
+from ..functions.text import col_of, cut_with_ellipsis, fixed_6, py_strip
 from .grid import resolve_config
 from .ordered import SEQ_BUCKET_WIDTH, global_rank, rank_by_seq, running_max_by_seq, seq_scan
 
@@ -135,10 +135,10 @@ def format_result_rows(results: DataFrame, ts_col: str = "ts") -> DataFrame:
     """The eight tab-separated fields of a result line, as text.
 
     Missing scores print as 0, a missing status as ``unknown``; scores with 6
-    decimals, elapsed seconds with none (half to even, like ``%.0f`` on a
+    decimals (the binary value, half to even), elapsed seconds with none (half to even, like ``%.0f`` on a
     binary double), the config as compact JSON.
     """
-    f6 = lambda c: F.format_string("%.6f", F.coalesce(F.col(c), F.lit(0.0)))
+    f6 = lambda c: fixed_6(F.coalesce(F.col(c), F.lit(0.0)))
     return results.select(
         "seq",
         F.date_format(ts_col, "yyyy-MM-dd HH:mm").alias("timestamp"),

@@ -62,6 +62,21 @@ def test_compact_json_of_very_long_strings(spark):
     assert got == {i: json.dumps(v, separators=(",", ":")) for i, v in enumerate(values)}
 
 
+def test_six_decimals_as_python_writes_them(spark):
+    """Random doubles, exact ties (odd multiples of 1/128) and decimal texts that look like ties."""
+    import random
+
+    from scriptmill.functions.text import fixed_6
+
+    rng = random.Random(6)
+    xs = [rng.uniform(-2, 2) * 10 ** rng.randint(-8, 8) for _ in range(200_000)] + [k / 128 for k in range(-4001, 4001, 2)]
+    xs += [round(rng.uniform(0, 10 ** rng.randint(0, 8)), 6) + 5e-7 for _ in range(50_000)] + [float(f"{rng.randint(0, 10**8)}.{rng.randint(0, 10**6):06d}5") for _ in range(100_000)]
+    xs += [0.0, 0.5, 5e-7, 1.5e-6, 1e-7, 0.9999995, 1.0000005, 123456.7890125, 2.0 ** 30 + 0.0078125, 1e300 * 0 + 4e9]
+    df = spark.createDataFrame(list(enumerate(xs)), "i int, x double").repartition(8)
+    for r in df.select("i", "x", fixed_6("x").alias("t")).collect():
+        assert r.t == "%.6f" % xs[r.i], repr(xs[r.i])
+
+
 def test_new_best_needs_a_saved_model(spark):
     rows = [(0, 0.3, "ok"), (1, 0.5, "error"), (2, 0.4, "ok"), (3, 0.4, "ok"), (4, 0.6, "ok")]
     df = spark.createDataFrame(rows, "seq long, val_score double, status string")
