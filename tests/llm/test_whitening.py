@@ -79,4 +79,6 @@ def test_degenerate_tables(spark):
     twice = mixed.unionByName(mixed).withColumn("vec_id", F.lit(None).cast("long"))
     assert W.whiten(twice).count() == 80 * 6
     with pytest.raises(Exception, match="64 bits"):
+        W.whiten(table(spark, [[1e12 * i, 1.0 * i] for i in range(20)])).collect()
+    with pytest.raises(Exception, match="(?i)overflow"):  # an entry that is no 64-bit number
         W.whiten(table(spark, [[1e15 * i, 1.0 * i] for i in range(20)])).collect()
