@@ -48,7 +48,7 @@ from scriptmill.session import ensure_checkpoint_dir
 END_ID = 1
 BLOCK_IDS = 1 << 20
 SLICE_BYTES = 8 << 20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 MAGIC = b"FRV1"
 
 #: per control byte: the lengths of its four values
@@ -153,7 +153,7 @@ class WordEncoder:
         if missing:
             done = self.tokenizer.encode_batch_fast(list(missing), add_special_tokens=False)
             for (w, places), e in zip(missing.items(), done, strict=True):
-                got = np.array(e.ids, dtype="<u4").tobytes()
+                got = struct.pack(f"<{len(ids := e.ids)}I", *ids)
                 self.recent[w] = got
                 for i in places:
                     out[i] = got
