@@ -32,6 +32,7 @@ import os
 import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,9 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 SLICE_BYTES = 8 << 20
 CACHE_WORDS = 300_000
+#: letters before it are their own canonical composition
+LATIN_END = "\u0250"
+CODES = {"<u2": "H", "<u4": "I"}
 MAGIC = b"FRV1"
 
 #: per control byte: the lengths of its four values
@@ -139,54 +143,81 @@ class WordEncoder:
         self.by_words = splits_at_words(json.loads(self.tokenizer.to_str()))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.width = "<u4"
+        self.model = self.tokenizer.model
+        # the characters that stand for bytes in the model's pieces: printable ones for themselves
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+        hidden = sorted(set(range(256)) - set(shown))
+        self.byte_chars = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The packed ids of words; lower-case Latin words are what the splitter
+        makes of them, so the model alone encodes them."""
+        out: list[bytes | None] = [None] * len(words)
+        others = []
+        for i, w in enumerate(words):
+            if not w.isalpha():
+                others.append(i)
+            elif w.isascii():
+                out[i] = self.pack([t.id for t in self.model.tokenize(w)])
+            elif max(w) < LATIN_END and w == w.lower():
+                out[i] = self.pack([t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.byte_chars))])
+            else:
+                others.append(i)
+        done = self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False)
+        for i, e in zip(others, done, strict=True):
+            out[i] = self.pack(e.ids)
+        return out
+
+    def pack(self, ids: list[int]) -> bytes:
+        return array(CODES[self.width], ids).tobytes()
 
     def word_ids(self, words: list[str]) -> list[bytes]:
-        out: list[bytes | None] = []
-        missing: dict[str, list[int]] = {}
-        for i, w in enumerate(words):
-            got = self.recent.get(w)
-            if got is None and (got := self.older.get(w)) is not None:
-                self.recent[w] = got
-            if got is None:
-                missing.setdefault(w, []).append(i)
-            out.append(got)
-        if missing:
-            done = self.tokenizer.encode_batch_fast(list(missing), add_special_tokens=False)
-            for (w, places), e in zip(missing.items(), done, strict=True):
-                got = struct.pack(f"<{len(ids := e.ids)}I", *ids)
-                self.recent[w] = got
-                for i in places:
-                    out[i] = got
+        """The packed ids of distinct words."""
+        out: list[bytes | None] = list(map(self.recent.get, words))
+        gaps = [i for i, got in enumerate(out) if got is None]
+        new = []
+        for i in gaps:
+            if (got := self.older.get(words[i])) is None:
+                new.append(i)
+            else:
+                out[i] = self.recent[words[i]] = got
+        if new:
+            for i, got in zip(new, self.encode_words([words[i] for i in new]), strict=True):
+                out[i] = self.recent[words[i]] = got
         if len(self.recent) > CACHE_WORDS:
             self.older, self.recent = self.recent, {}
         return out
 
-    def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
-        """The ids of each text, ``end_id`` last."""
+    def packed(self, texts: pa.Array, end_id: int, width: str = "<u4") -> pa.Array:
+        """The ids of each text, ``end_id`` last: one binary value of ``width`` numbers a text."""
+        if width != self.width:  # cached words are packed in one width
+            self.width, self.recent, self.older = width, {}, {}
+        alone = lambda t: self.pack([*self.tokenizer.encode(t, add_special_tokens=False).ids, end_id])
         if not self.by_words:
-            done = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
-            return [np.array([*e.ids, end_id], dtype=np.uint32) for e in done]
-        whole = pc.match_substring(texts, "<|").to_pylist()
-        plain = pc.if_else(pa.array(whole), "", texts) if any(whole) else texts
+            return pa.array([alone(t) for t in texts.to_pylist()], pa.binary())
+        whole = pc.match_substring(texts, "<|")
+        some = pc.any(whole, min_count=0).as_py()
+        plain = pc.if_else(whole, "", texts) if some else texts
         plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-z0-9])([.,])", r"\1 \2")
         split = pc.ascii_split_whitespace(plain)
         coded = split.flatten().dictionary_encode()
-        unique = self.word_ids(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(unique), dtype="<u4")
-        size = np.array([len(u) for u in unique], dtype=np.int64) // 4
-        first = np.cumsum(size) - size
-        words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        n = size[words]
-        ids = flat[np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        offsets = split.offsets.to_numpy()
-        cuts = upto[offsets - offsets[0]]
-        out = [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        for i, w in enumerate(whole):
-            if w:
-                out[i] = np.array([*self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, end_id],
-                                  dtype=np.uint32)
-        return out
+        known = self.word_ids(coded.dictionary.to_pylist())
+        values = pa.array([*known, self.pack([end_id])], pa.binary())
+        # the end id is one more word behind each text's; taking words copies their ids one after the other
+        upto = split.offsets.to_numpy() - split.offsets[0].as_py()
+        words = np.insert(coded.indices.to_numpy(zero_copy_only=False), upto[1:], len(known))
+        ids = values.take(pa.array(words))
+        _, starts, data = ids.buffers()
+        cuts = np.frombuffer(starts, dtype=np.int32, count=len(ids) + 1, offset=4 * ids.offset)[upto + np.arange(len(upto))]
+        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts), data])
+        if not some:
+            return out
+        return pc.replace_with_mask(out, whole, pa.array([alone(t) for t in texts.filter(whole).to_pylist()], pa.binary()))
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
+        """The ids of each text, ``end_id`` last."""
+        return [np.frombuffer(ids, dtype="<u4") for ids in self.packed(texts, end_id).to_pylist()]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # per Python worker
@@ -215,10 +246,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, width: str =
             at = 0
             while at < len(text):  # slices of bounded size
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES)))
-                got = encoder.encode(text.slice(at, to - at), end_id)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, to - at), pa.array([g.astype(width).tobytes() for g in got], pa.binary())],
-                    ["doc_id", "ids"])
+                got = encoder.packed(text.slice(at, to - at), end_id, width)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), got], ["doc_id", "ids"])
                 at = to
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -48,8 +48,13 @@ def test_other_tokenizers_are_encoded_whole():
     import pyarrow as pa
 
     texts = [t or "" for t in TEXTS]
+    texts += ["a\x01b \x01 c", "\x01"] + [f"w{i} x{i}y" for i in range(1500)]
+    texts += ["".join(map(chr, range(a, a + 40))) + " x" + chr(a) + "y" for a in range(33, 0x300)]
     for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
         encoder, library = T.WordEncoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
         assert encoder.by_words is by_words
         got = [g.tolist() for g in encoder.encode(pa.array(texts), 1)]
-        assert got == [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+        want = [library.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+        assert got == want
+        narrow = encoder.packed(pa.array(["skipped", *texts]).slice(1), 1, "<u2").to_pylist()
+        assert [np.frombuffer(g, "<u2").tolist() for g in narrow] == want and len(encoder.packed(pa.array([], pa.string()), 1)) == 0
