@@ -403,7 +403,6 @@ ORACLE["sweep_ranking"] = RESW + """select row_number() over (order by coalesce(
 ORACLE["sweep_summary"] = RESW + """select count(*) as total_experiments,
   coalesce(max(coalesce(val_score, 0.0)), 0.0) as best_val_score,
   coalesce((select config from rs order by coalesce(val_score, 0.0) desc, seq limit 1), '{}') as best_config from rs"""
-
 D = TRAIN_DEFAULTS
 ORACLE["run_metrics_rows"] = RESW + f"""select seq, {q(BASE_MODEL)} as model,
   cast(case when seq % 2 = 0 then seq % 5 * 16 + 16 else {D['LORA_R']} end as int) as lora_r, cast({D['LORA_ALPHA']} as int) as lora_alpha,
@@ -417,6 +416,18 @@ ORACLE["results_log_round_trip"] = RESW + f""", written AS ({_LINE})
 select seq, timestamp, cast(val_score as double) as val_score, cast(syntax as double) as syntax, cast(keyword as double) as keyword,
   cast(structure as double) as structure, status, cast(elapsed_s as double) as elapsed_s, config from written"""
 ORACLE["experiment_log_read"] = ORACLE["log_normalise"]
+# logs that grow by appends: the rows of the whole log as written (missing scores 0, missing status 'unknown')
+ORACLE["log_running_best_appended"] = ORACLE["log_running_best"]
+ORACLE["log_hits_total_appended"] = ORACLE["log_hits_total"]
+WRITTEN = RESW + f""", written AS ({_LINE}),
+rw AS (select seq, cast(val_score as double) as val_score, status, config from written)"""
+ORACLE["sweep_new_best_appended"] = WRITTEN + ORACLE["sweep_new_best"][len(RESW):].replace("from rs", "from rw")
+ORACLE["sweep_status_appended"] = WRITTEN + """, c AS (select * from rw where val_score > 0 and json_valid(config)
+                                                        order by val_score desc, seq limit 1)
+select count(*) as num_experiments, coalesce(bool_or(val_score > 0), false) as has_best,
+  coalesce((select val_score from c), 0.0) as best_val_score, coalesce((select config from c), '{}') as best_config,
+  (select seq from c) as best_seq, coalesce(max(val_score), 0.0) as top_val_score,
+  coalesce((select config from rw order by val_score desc, seq limit 1), '{}') as top_config from rw"""
 
 RECORD_VIEWS = ["v_scripts", "v_loc", "v_loc_groups", "v_logs", "v_log_files", "v_types", "v_sft", "v_clm"]
 DIGEST = "md5(instruction || '|' || completion)"

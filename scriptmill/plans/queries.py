@@ -23,6 +23,7 @@ from ..session import ensure_checkpoint_dir, write_once
 from ..sources.files import read_jsonl, read_reports, scan_scripts, write_jsonl, write_reports
 from ..sources.lines import scan_lines, scan_localization_lines, text_lines
 from ..sources.results_log import append_experiments, append_results, read_experiments, read_results
+from ..streaming import running_log
 from .views import Views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -401,6 +402,42 @@ def q_experiment_log_read(spark, sf_dir):
     return read_experiments(spark, path)
 
 
+def _appended(rows, append, what) -> str:
+    """A log that grows by three appends, each taken in when it is there; the state's folder."""
+    spark = rows.sparkSession
+    log, state = _scratch(spark, "log"), _scratch(spark, "state")
+    for part in ("seq < 500", "seq between 500 and 2999", "seq >= 3000"):
+        append(rows.where(part).repartition(3), log)
+        running_log.extend(spark, log, state, what)
+    return state
+
+
+@query
+def q_log_running_best_appended(spark, sf_dir):
+    """Running best of a growing log: every append reads its own files alone."""
+    state = _appended(_v(spark, sf_dir).view("v_log"), append_experiments, running_log.experiments())
+    return running_log.running_best(spark, state).select("idx", "seq", "val_score", "running_best", "baseline")
+
+
+@query
+def q_log_hits_total_appended(spark, sf_dir):
+    state = _appended(_v(spark, sf_dir).view("v_log"), append_experiments, running_log.kept_gains())
+    return results.total_gain(running_log.running_gains(spark, state))
+
+
+@query
+def q_sweep_new_best_appended(spark, sf_dir):
+    state = _appended(_results(spark, sf_dir), append_results, running_log.sweep())
+    return running_log.new_best_flags(spark, state)
+
+
+@query
+def q_sweep_status_appended(spark, sf_dir):
+    """Status, best config and summary from the batches' summaries alone."""
+    state = _appended(_results(spark, sf_dir), append_results, running_log.sweep())
+    return running_log.sweep_status(spark, state)
+
+
 # ---- split and mix -------------------------------------------------------
 
 def _scratch(spark, name: str) -> str:

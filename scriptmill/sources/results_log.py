@@ -40,7 +40,7 @@ def quoted_fields(line) -> Column:
     return F.transform(F.regexp_extract_all(col_of(line), F.lit(field), F.lit(1)), bare)
 
 
-def _numbered_fields(spark: SparkSession, path: str, columns, quoted: bool = False) -> DataFrame:
+def _numbered_fields(spark: SparkSession, path: str | list[str], columns, quoted: bool = False, strict: bool = False) -> DataFrame:
     """``seq`` and the fields of every line that has all of them, headers left out.
 
     A log whose lines all carry a number keeps it.  A log of lines without
@@ -48,7 +48,7 @@ def _numbered_fields(spark: SparkSession, path: str, columns, quoted: bool = Fal
     place.  A log with both is numbered anew, from 0 without gaps: numbered lines
     stay in their order, and each line without a number stands behind the numbered
     ones whose files, and those of all numbered lines before them, are not newer
-    than its own.
+    than its own.  ``strict``: a line without a number raises.
     """
     text = py_strip("value") if not quoted else F.regexp_replace("value", r"[\r\n]+$", "")
     lines = spark.read.text(path).select(
@@ -58,6 +58,9 @@ def _numbered_fields(spark: SparkSession, path: str, columns, quoted: bool = Fal
     rows = lines.where((F.size("_f") >= len(columns)) & (F.slice("_f", 1, len(columns)) != F.array(*[F.lit(c) for c in columns])))
     stored = F.expr(f"try_cast(get(_f, {len(columns)}) as bigint)")
     rows = rows.withColumn("_seq", stored).select("_time", "_file", "_block", "_place", "_seq", *[F.col("_f")[i].alias(c) for i, c in enumerate(columns)])
+    if strict:
+        known = F.coalesce("_seq", F.raise_error(F.lit("a line of the log has no number")).cast("bigint"))
+        return rows.select(known.alias("seq"), *columns)
     own, foreign = rows.where("_seq is not null"), rows.where("_seq is null")
     if not foreign.limit(1).count():
         return own.select(F.col("_seq").alias("seq"), *columns)
@@ -76,6 +79,16 @@ def read_results(spark: SparkSession, path: str, columns=RESULTS_COLUMNS) -> Dat
     return typed_results(_numbered_fields(spark, path, columns))
 
 
+def read_new_results(spark: SparkSession, paths: list[str], columns=RESULTS_COLUMNS) -> DataFrame:
+    """The result rows of some files of a log, numbered as stored."""
+    return typed_results(_numbered_fields(spark, paths, columns, strict=True))
+
+
+def read_new_experiments(spark: SparkSession, paths: list[str], columns=EXPERIMENT_LOG_COLUMNS) -> DataFrame:
+    """The experiment rows of some files of a log, numbered as stored."""
+    return normalise_log(_numbered_fields(spark, paths, columns, quoted=True, strict=True))
+
+
 def append_experiments(rows: DataFrame, path: str, columns=EXPERIMENT_LOG_COLUMNS) -> None:
     """Append experiment rows as TSV lines with their ``seq``; line breaks
     inside a field become spaces, fields with tabs or quotes are quoted."""
