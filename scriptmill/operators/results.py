@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import BASE_MODEL, RESULTS_NUMERIC
-from ..functions.text import col_of, cut_with_ellipsis, fixed_6, py_strip
+from ..functions.json_text import compact_json, python_json  # noqa: F401  compact_json: for callers of this module
+from ..functions.text import cut_with_ellipsis, fixed_6, py_strip
 from .grid import resolve_config
 from .ordered import SEQ_BUCKET_WIDTH, global_rank, rank_by_seq, running_max_by_seq, seq_scan
 
@@ -136,7 +137,7 @@ def format_result_rows(results: DataFrame, ts_col: str = "ts") -> DataFrame:
 
     Missing scores print as 0, a missing status as ``unknown``; scores with 6
     decimals (the binary value, half to even), elapsed seconds with none (half to even, like ``%.0f`` on a
-    binary double), the config as compact JSON.
+    binary double), the config as compact JSON in Python's spelling.
     """
     f6 = lambda c: fixed_6(F.coalesce(F.col(c), F.lit(0.0)))
     return results.select(
@@ -146,13 +147,7 @@ def format_result_rows(results: DataFrame, ts_col: str = "ts") -> DataFrame:
         f6("keyword").alias("keyword"), f6("structure").alias("structure"),
         F.coalesce(F.col("status"), F.lit("unknown")).alias("status"),
         F.format_string("%.0f", F.bround(F.coalesce(F.col("elapsed_s"), F.lit(0.0)), 0)).alias("elapsed_s"),
-        compact_json("config").alias("config"))
-
-
-def compact_json(c) -> Column:
-    """JSON text without whitespace outside strings (``separators=(',', ':')``)."""
-    # possessive runs: the matcher keeps no state per character, so texts of any length pass
-    return F.regexp_replace(col_of(c), r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\n\r]++', "$1")
+        python_json("config").alias("config"))
 
 
 def sorted_results(results: DataFrame, sort_by: str = "val_score", limit: int = 50) -> DataFrame:
