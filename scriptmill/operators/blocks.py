@@ -8,8 +8,9 @@ before the opener, or to the end of the text.  Lines inside a block open
 nothing of their own.
 
 ``extract_blocks`` takes a file as a row: its lines are an array, a fold over
-their (level change, may open) pairs gives the spans of the blocks, and each block
-is cut out of the array by ``slice``.  No shuffle, no window, no sort; the fold
+those with a brace or a ``#`` gives the spans of the blocks (an opener is looked
+for outside of blocks alone), and each block is cut out of the array by
+``slice``.  No shuffle, no window, no sort; the fold
 appends by blocks of lines, so its cost is linear in a file's lines.  Files above
 a row's size are read by lines: see :mod:`.chunks`.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD, WS, col_of, count_char
-from ..sources.lines import fold_append, let
+from ..sources.lines import fold_array, let
 
 # Strings run from a quote to the next quote (no escapes) or to the end of the
 # text; '#' outside a string starts a comment that runs to the end of the line.
@@ -36,35 +37,50 @@ def strip_comments(text) -> Column:
     return F.regexp_replace(col_of(text), COMMENT_RE, "$1")
 
 
+def line_events(lines: Column) -> Column:
+    """``array<struct<at, line, change, hash>>`` of the lines that can change a scan's
+    state, those with a brace or a ``#``."""
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("at"), x.alias("line")))
+    found = F.filter(numbered, lambda x: x["line"].contains("}") | x["line"].contains("{") | x["line"].contains("#"))
+    return F.transform(found, lambda x: F.struct(
+        x["at"].alias("at"), x["line"].alias("line"), (count_char(x["line"], "{") - count_char(x["line"], "}")).alias("change"),
+        (x["line"].contains("#") & x["line"].rlike(rf"^{WS}*#")).alias("hash")))
+
+
 def block_spans(lines) -> Column:
     """``array<struct<first, last, above>>`` of the blocks in an array of lines:
     0-based first and last line, and the last line before the first that is no
     ``#`` line (-1 if there is none)."""
-    facts = F.transform(col_of(lines), lambda x: F.struct(
-        (count_char(x, "{") - count_char(x, "}")).alias("change"),
-        (x.contains("{") & x.rlike(OPENER_RE)).alias("opens"),
-        x.rlike(rf"^{WS}*#").alias("hash")))
-    none = F.lit(-1)
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("level"), none.alias("first"),
-                     F.lit(0).cast("long").alias("floor"), none.alias("above"), none.alias("plain"))
-    def step(a: Column, x: Column) -> tuple[Column, Column, Column]:
-        opening = (a["first"] < 0) & x["opens"]
-        first = F.when(opening, a["at"]).otherwise(a["first"])
-        floor = F.when(opening, a["level"]).otherwise(a["floor"])
-        above = F.when(opening, a["plain"]).otherwise(a["above"])
+    none, zero = F.lit(-1), F.lit(0).cast("long")
+
+    def state(first: Column, level: Column, above: Column, start: Column, stop: Column) -> Column:
+        # the open block, its level above the opener's; the last run of '#' lines
+        return F.struct(first.alias("first"), level.alias("level"), above.alias("above"), start.alias("start"), stop.alias("stop"))
+
+    def step(acc: Column, x: Column) -> Column:
+        a, out, at = acc["state"], acc["out"], x["at"]
+        start = F.when(x["hash"] & (a["stop"] != at - 1), at).otherwise(a["start"])
+        stop = F.when(x["hash"], at).otherwise(a["stop"])
         level = a["level"] + x["change"]
-        closing = (first >= 0) & (level <= floor)
-        done = F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above"))
-        state = F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.when(closing, none).otherwise(first).alias("first"),
-                         floor.alias("floor"), above.alias("above"), F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"))
-        return state, closing, done
+        above = F.when(a["stop"] == at - 1, a["start"]).otherwise(at) - 1
+        to = lambda s, out: F.struct(s.alias("state"), out.alias("out"))
+        span = lambda first, above: F.concat(out, F.array(F.struct(first.alias("first"), at.alias("last"), above.alias("above"))))
+        inside = F.when(level > 0, to(state(a["first"], level, a["above"], start, stop), out)).otherwise(
+            to(state(none, zero, none, start, stop), span(a["first"], a["above"])))
+        opens = F.when(x["change"] > 0, to(state(at, x["change"], above, a["start"], a["stop"]), out)).otherwise(to(a, span(at, above)))
+        # a line's other work is done only where the line can open a block
+        return (F.when(a["first"] >= 0, inside).when(x["line"].contains("{") & x["line"].rlike(OPENER_RE), opens)
+                .when(x["hash"], to(state(none, zero, none, start, stop), out)).otherwise(acc))
+
+    def spans(lines: Column) -> Column:
+        def finish(a: Column) -> Column:
+            last = a["state"]
+            rest = F.array(F.struct(last["first"].alias("first"), (F.size(lines) - 1).alias("last"), last["above"].alias("above")))
+            return F.when(last["first"] >= 0, F.concat(a["out"], rest)).otherwise(a["out"])
 
-    def finish(a: Column) -> Column:
-        last = a["state"]
-        rest = F.array(F.struct(last["first"].alias("first"), (last["at"] - 1).alias("last"), last["above"].alias("above")))
-        return F.when(last["first"] >= 0, F.concat(a["out"], rest)).otherwise(a["out"])
+        return let(fold_array(line_events(lines), state(none, zero, none, F.lit(-2), F.lit(-2)), step, SPAN), finish)
 
-    return let(fold_append(facts, start, step, SPAN), finish)
+    return let(col_of(lines), spans)
 
 
 def extract_blocks(df: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -96,11 +112,11 @@ def structured_blocks(scripts: DataFrame, keep_comments: bool = False) -> DataFr
     from the raw text (braces inside comments then count).  A file below the
     directories of two categories yields its blocks once per category.
     """
-    from .categories import directory_categories
+    from .categories import directory_categories, in_category_directory
 
     # files outside the map skip the block work; the categories depend on the path alone,
     # so they are looked up again behind the blocks instead of joined
-    src = scripts.select("path", "text").where(F.size(directory_categories("path")) > 0)
+    src = scripts.select("path", "text").where(in_category_directory("path"))
     texts = src if keep_comments else src.select("path", strip_comments("text").alias("text"))
     return (extract_blocks(texts).select("*", F.explode(directory_categories("path")).alias("c"))
             .select("name", F.col("c.category").alias("category"), F.col("path").alias("source_file"), "code",

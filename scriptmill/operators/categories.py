@@ -2,7 +2,7 @@
 
 The category map is 133 fixed directory entries.  The prefix rule is a single
 ``CASE`` projection (first match in map order, inside whole-stage codegen);
-the directory rule looks each file's few directory prefixes up in a literal map.
+the directory rule looks up the file's directory of each depth the map has.
 Neither needs a join.
 """
 
@@ -29,20 +29,42 @@ def category_by_prefix(path, category_dirs=CATEGORY_DIRS) -> Column:
     return out.otherwise(F.lit("other"))
 
 
-def dir_prefixes(path) -> Column:
-    """Every directory above a file: ``a/b/c.txt`` -> ``[a, a/b]``."""
-    parts = F.split(col_of(path), "/")
-    return F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
-                       lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+def _by_depth(directories) -> dict[int, list[str]]:
+    out: dict[int, list[str]] = {}
+    for d in directories:
+        out.setdefault(d.count("/") + 1, []).append(d)
+    return out
+
+
+def _prefix(path: Column, depth: int) -> tuple[Column, Column]:
+    """A file's directory of some depth, and whether it has one (a bare name counts as its own)."""
+    prefix = F.substring_index(path, "/", depth)
+    return prefix, F.lit(True) if depth == 1 else F.length(path) > F.length(prefix)
+
+
+def in_category_directory(path, category_dirs=CATEGORY_DIRS) -> Column:
+    """Whether a category directory lies above the file: a set lookup per depth, cheap
+    enough to be evaluated wherever the optimizer moves it."""
+    out = F.lit(False)
+    for depth, ds in sorted(_by_depth({d for _, _, d in category_dirs}).items()):
+        prefix, has = _prefix(col_of(path), depth)
+        out = out | (has & prefix.isin(sorted(ds)))
+    return out
 
 
 def directory_categories(path, category_dirs=CATEGORY_DIRS) -> Column:
     """``array<struct<cat_ord, category>>`` of every category directory above a
-    file, in map order: a lookup of each directory prefix in a literal map."""
+    file, in map order: a ``CASE`` over the directories of each depth."""
     of_dir: dict[str, list[tuple[int, str]]] = {}
     for o, c, d in category_dirs:
         of_dir.setdefault(d, []).append((o, c))
     cell = lambda o, c: F.struct(F.lit(o).alias("cat_ord"), F.lit(c).alias("category"))
-    table = F.create_map(*[x for d, cats in of_dir.items() for x in (F.lit(d), F.array(*[cell(o, c) for o, c in cats]))])
-    found = F.filter(F.transform(dir_prefixes(path), lambda d: F.element_at(table, d)), lambda x: x.isNotNull())
-    return F.array_sort(F.flatten(found))
+    none = F.expr("cast(array() as array<struct<cat_ord:int,category:string>>)")
+    found = [none]
+    for depth, ds in sorted(_by_depth(of_dir).items()):
+        prefix, has = _prefix(col_of(path), depth)
+        case = F
+        for d in ds:
+            case = case.when(has & (prefix == d), F.array(*[cell(o, c) for o, c in of_dir[d]]))
+        found.append(case.otherwise(none))
+    return F.sort_array(F.concat(*found))

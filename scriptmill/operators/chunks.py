@@ -23,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, count_char, py_strip
-from ..sources.lines import CHUNK_LINES, chunk_lines, entering_states, fold_append, let
-from .blocks import OPENER_RE, SPAN, strip_comments
+from ..functions.text import count_char, py_strip
+from ..session import write_once
+from ..sources.lines import CHUNK_LINES, chunk_lines, entering_states, fold_array, let
+from .blocks import OPENER_RE, SPAN, line_events, strip_comments
 from .logs import delimiter_re
 
 PLAIN, STRING, COMMENT = 0, 1, 2
@@ -63,7 +64,9 @@ def _behind_first(text: Column) -> Column:
 
 
 def strip_comment_chunks(chunks: DataFrame) -> DataFrame:
-    """``path, chunk, lines`` without comments, strings over any number of chunks."""
+    """``path, chunk, lines`` without comments, strings over any number of chunks.
+    The chunks are written once, for their effects and their text."""
+    chunks = write_once(chunks, "chunks")
     text = F.array_join("lines", "\n")
     effects = chunks.select("path", "chunk", scan_effect(F.concat(text, F.lit("\n"))).alias("_e"))
     states = entering_states(effects, "_e", F.lit(PLAIN), lambda s, e: F.element_at(e, s + 1), "int")
@@ -73,45 +76,41 @@ def strip_comment_chunks(chunks: DataFrame) -> DataFrame:
 
 # ---- blocks
 
-_FAR = 1 << 60
-
-
-def _facts(lines: Column) -> Column:
-    return F.transform(lines, lambda x: F.struct(
-        (count_char(x, "{") - count_char(x, "}")).alias("change"),
-        (x.contains("{") & x.rlike(OPENER_RE)).alias("opens"), x.rlike(rf"^{WS}*#").alias("hash")))
-
-
-def _local_scan(facts: Column) -> Column:
+def _local_scan(lines: Column) -> Column:
     """Blocks of a chunk scanned from outside of all blocks: ``out`` (those that
-    end in it) and ``state`` (net and lowest level, the open block, the last line
-    that is no ``#`` line)."""
+    end in it) and ``state`` (net and lowest level, the open block, the last run of
+    ``#`` lines)."""
     none = F.lit(-1)
     zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(0).alias("at"), zero.alias("level"), F.lit(_FAR).cast("long").alias("low"), none.alias("first"),
-                     zero.alias("floor"), none.alias("above"), none.alias("plain"))
-
-    def step(a: Column, x: Column) -> tuple[Column, Column, Column]:
-        opening = (a["first"] < 0) & x["opens"]
-        first = F.when(opening, a["at"]).otherwise(a["first"])
-        floor = F.when(opening, a["level"]).otherwise(a["floor"])
-        above = F.when(opening, a["plain"]).otherwise(a["above"])
+    start = F.struct(zero.alias("level"), zero.alias("low"), none.alias("first"), zero.alias("floor"), none.alias("above"),
+                     F.lit(-2).alias("start"), F.lit(-2).alias("stop"))
+
+    def step(acc: Column, x: Column) -> Column:
+        a, at = acc["state"], x["at"]
         level = a["level"] + x["change"]
-        closing = (first >= 0) & (level <= floor)
-        state = F.struct((a["at"] + 1).alias("at"), level.alias("level"), F.least(a["low"], level).alias("low"),
-                         F.when(closing, none).otherwise(first).alias("first"), floor.alias("floor"), above.alias("above"),
-                         F.when(x["hash"], a["plain"]).otherwise(a["at"]).alias("plain"))
-        return state, closing, F.struct(first.alias("first"), a["at"].alias("last"), above.alias("above"))
+        above = F.when(a["stop"] == at - 1, a["start"]).otherwise(at) - 1
+
+        def to(first: Column, floor: Column, above: Column, *done: Column) -> Column:
+            state = F.struct(level.alias("level"), F.least(a["low"], level).alias("low"), first.alias("first"), floor.alias("floor"), above.alias("above"),
+                             F.when(x["hash"] & (a["stop"] != at - 1), at).otherwise(a["start"]).alias("start"),
+                             F.when(x["hash"], at).otherwise(a["stop"]).alias("stop"))
+            return F.struct(state.alias("state"), (F.concat(acc["out"], F.array(*done)) if done else acc["out"]).alias("out"))
+
+        span = lambda first, above: F.struct(first.alias("first"), at.alias("last"), above.alias("above"))
+        inside = F.when(level > a["floor"], to(a["first"], a["floor"], a["above"])).otherwise(
+            to(none, zero, none, span(a["first"], a["above"])))
+        opens = F.when(x["change"] > 0, to(at, a["level"], above)).otherwise(to(none, zero, none, span(at, above)))
+        return (F.when(a["first"] >= 0, inside).when(x["line"].contains("{") & x["line"].rlike(OPENER_RE), opens)
+                .otherwise(to(none, zero, none)))
 
-    return fold_append(facts, start, step, SPAN)
+    return fold_array(line_events(lines), start, step, SPAN)
 
 
-def _closing_line(facts: Column, level: Column, floor: Column) -> Column:
+def _closing_line(lines: Column, level: Column, floor: Column) -> Column:
     """The first line of a chunk behind which the level is at most ``floor`` (-1: none)."""
-    start = F.struct(F.lit(0).alias("at"), level.alias("level"), F.lit(-1).alias("hit"))
-    return F.aggregate(facts, start, lambda a, x: let(a["level"] + x["change"], lambda after: F.struct(
-        (a["at"] + 1).alias("at"), after.alias("level"),
-        F.when((a["hit"] < 0) & (after <= floor), a["at"]).otherwise(a["hit"]).alias("hit"))), lambda a: a["hit"])
+    start = F.struct(level.alias("level"), F.lit(-1).alias("hit"))
+    return F.aggregate(line_events(lines), start, lambda a, x: F.when(a["hit"] >= 0, a).otherwise(F.struct(
+        (a["level"] + x["change"]).alias("level"), F.when(a["level"] + x["change"] <= floor, x["at"]).otherwise(-1).alias("hit"))), lambda a: a["hit"])
 
 
 _STATE = "struct<level:bigint,open:bigint,floor:bigint,plain:bigint>"
@@ -119,14 +118,21 @@ _STATE = "struct<level:bigint,open:bigint,floor:bigint,plain:bigint>"
 
 def extract_block_chunks(chunks: DataFrame, width: int = CHUNK_LINES) -> DataFrame:
     """``path, ln, name, code, comment_header, lines`` of every top-level block of
-    the files that ``chunks`` (of ``width`` lines) make up."""
-    scanned = chunks.withColumn("_facts", _facts(F.col("lines"))).withColumn("_scan", _local_scan(F.col("_facts")))
+    the files that ``chunks`` (of ``width`` lines) make up.
+
+    The scanned chunks and the parts of blocks are written once: each is read
+    several times.
+    """
+    scanned = write_once(chunks.withColumn("_scan", _local_scan(F.col("lines"))), "chunks")
+    chunks = scanned.select("path", "chunk", "lines")
+    run, n = F.col("_scan.state"), F.size("lines")
+    plain = F.when(run["stop"] == n - 1, run["start"]).otherwise(n) - 1  # the last line that is no '#' line
     base = F.col("chunk") * width
     summary = scanned.select("path", "chunk", F.struct(
         F.col("_scan.state.level").alias("net"), F.col("_scan.state.low").alias("low"),
         F.when(F.col("_scan.state.first") >= 0, base + F.col("_scan.state.first")).otherwise(-1).cast("long").alias("open"),
         F.col("_scan.state.floor").alias("floor"),
-        F.when(F.col("_scan.state.plain") >= 0, base + F.col("_scan.state.plain")).otherwise(-1).cast("long").alias("plain")).alias("_s"))
+        F.when(plain >= 0, base + plain).otherwise(-1).cast("long").alias("plain")).alias("_s"))
 
     def step(a: Column, s: Column) -> Column:
         stays = (a["open"] >= 0) & (a["level"] + s["low"] > a["floor"])
@@ -137,7 +143,7 @@ def extract_block_chunks(chunks: DataFrame, width: int = CHUNK_LINES) -> DataFra
     outside = F.struct(F.lit(0).alias("level"), F.lit(-1).alias("open"), F.lit(0).alias("floor"), F.lit(-1).alias("plain"))
     entered = scanned.join(entering_states(summary, "_s", outside, step, _STATE), ["path", "chunk"])
     inside = F.col("entering.open") >= 0
-    close = F.when(inside, _closing_line(F.col("_facts"), F.col("entering.level"), F.col("entering.floor"))).otherwise(-1)
+    close = F.when(inside, _closing_line(F.col("lines"), F.col("entering.level"), F.col("entering.floor"))).otherwise(-1)
     entered = entered.select("path", "chunk", "lines", "entering", inside.alias("_inside"), close.alias("_close"),
                              F.col("_scan.state").alias("_end"), F.col("_scan.out").alias("_spans"))
     free = ~F.col("_inside") | (F.col("_close") >= 0)  # some line of the chunk is outside of the block it begins in
@@ -164,9 +170,9 @@ def extract_block_chunks(chunks: DataFrame, width: int = CHUNK_LINES) -> DataFra
         F.col("entering.open").alias("ln"), F.lit(None).cast("string").alias("name"), cut(lines, F.lit(0), last + 1).alias("code"),
         F.lit(None).cast("string").alias("header"), F.lit(False).alias("more"), (last + 1).cast("long").alias("lines")))).otherwise(none)
     tag = lambda xs, crosses: F.transform(xs, lambda p: F.struct(F.lit(crosses).alias("crosses"), p.alias("p")))
-    parts = (entered.select("path", "chunk", F.col("entering.plain").alias("_plain"),
-                            F.explode(F.concat(tag(ongoing, True), tag(whole, False), tag(opened, True))).alias("_x"))
-             .select("path", "chunk", "_plain", "_x.crosses", "_x.p.*"))
+    parts = write_once(entered.select("path", "chunk", F.col("entering.plain").alias("_plain"),
+                                      F.explode(F.concat(tag(ongoing, True), tag(whole, False), tag(opened, True))).alias("_x"))
+                       .select("path", "chunk", "_plain", "_x.crosses", "_x.p.*"), "parts")
     cols = ["path", "ln", "name", "code", "header", "more", "_plain", "chunk", "lines"]
     inner = parts.where(~F.col("crosses")).select(*cols)
     crossing = (parts.where("crosses").groupBy("path", "ln").agg(

@@ -18,8 +18,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 ENGINES = {
-    "spark": {"S": "string", "DIV": "div", "NL": "char(10)", "TAB": "char(9)"},
-    "duckdb": {"S": "varchar", "DIV": "//", "NL": "chr(10)", "TAB": "chr(9)"},
+    "spark": {"S": "string", "DIV": "div", "NL": "char(10)", "TAB": "char(9)", "BY_ORDER": " distribute by l_orderkey"},
+    "duckdb": {"S": "varchar", "DIV": "//", "NL": "chr(10)", "TAB": "chr(9)", "BY_ORDER": ""},
 }
 
 
@@ -52,7 +52,7 @@ from {orders} left join (
     select l_orderkey, l_linenumber, {TAB} || 'line_' || cast(l_linenumber as {S}) || case when l_linenumber % 3 = 0
       then ' = { qty = ' || cast(cast(l_quantity as int) as {S}) || ' }' || {NL}
       else ' = {' || {NL} || {TAB} || {TAB} || 'qty = ' || cast(cast(l_quantity as int) as {S}) || {NL} || {TAB} || '}' || {NL}
-      end as item from {lineitem}) t group by l_orderkey) i on l_orderkey = o_orderkey
+      end as item from {lineitem}{BY_ORDER}) t group by l_orderkey) i on l_orderkey = o_orderkey
 """
 
 RECIPES["v_loc"] = """

@@ -70,10 +70,15 @@ def text_lines(texts: DataFrame, path: str = "path", text: str = "text") -> Data
 
 
 def chunk_lines(lines: DataFrame, width: int = CHUNK_LINES) -> DataFrame:
-    """``path, chunk, lines``: runs of ``width`` lines in order."""
+    """``path, chunk, lines``: runs of ``width`` lines in order.
+
+    The rows move once, as they are, and are grouped by a number first: paths that
+    begin alike are slow to sort.
+    """
     sorted_lines = F.array_sort(F.collect_list(F.struct("ln", "line")))
-    return (lines.groupBy("path", F.floor(F.col("ln") / width).alias("chunk"))
-            .agg(F.transform(sorted_lines, lambda x: x["line"]).alias("lines")))
+    placed = lines.select("path", F.floor(F.col("ln") / width).alias("chunk"), "ln", "line")
+    return (placed.withColumn("_k", F.xxhash64("path", "chunk")).repartition("_k").groupBy("_k", "path", "chunk")
+            .agg(F.transform(sorted_lines, lambda x: x["line"]).alias("lines")).drop("_k"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -81,9 +86,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str, block: int = 512) -> Column:
-    """Fold an array from ``start``; ``step(state, x)`` gives the next state, whether
-    to append, and the item (of ``kind``) to append.  A struct of ``state`` and ``out``.
+def fold_array(xs, start: Column, step: Callable[[Column, Column], Column], kind: str, block: int = 512) -> Column:
+    """Fold an array from ``start``; ``step(acc, x)`` gives the next struct of
+    ``state`` and ``out`` (items of ``kind``, appended to).
 
     Appending copies what was appended before, so the fold goes by blocks whose
     results are arrays of their own: linear for any length in practice.
@@ -91,23 +96,29 @@ def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column
     none = F.expr(f"cast(array() as array<{kind}>)")
     nested = F.expr(f"cast(array() as array<array<{kind}>>)")
 
-    def inner(acc: Column, x: Column) -> Column:
-        state, appends, item = step(acc["state"], x)
-        return F.struct(state.alias("state"), F.when(appends, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
-
     def fold(xs: Column) -> Column:
         def outer(acc: Column, i: Column) -> Column:
-            done = F.aggregate(F.slice(xs, i, block), F.struct(acc["state"].alias("state"), none.alias("out")), inner)
+            done = F.aggregate(F.slice(xs, i, block), F.struct(acc["state"].alias("state"), none.alias("out")), step)
             return let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
 
         begin = lambda out: F.struct(start.alias("state"), out.alias("out"))
         long = F.aggregate(F.sequence(F.lit(1), F.size(xs), F.lit(block)), begin(nested), outer,
                            lambda a: F.struct(a["state"].alias("state"), F.flatten(a["out"]).alias("out")))
-        return F.when(F.size(xs) <= block, F.aggregate(xs, begin(none), inner)).otherwise(long)
+        return F.when(F.size(xs) <= block, F.aggregate(xs, begin(none), step)).otherwise(long)
 
     return let(col_of(xs), fold)
 
 
+def fold_append(xs, start: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str, block: int = 512) -> Column:
+    """:func:`fold_array` where ``step(state, x)`` gives the next state, whether
+    to append, and the item (of ``kind``) to append."""
+    def inner(acc: Column, x: Column) -> Column:
+        state, appends, item = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.when(appends, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
+
+    return fold_array(xs, start, inner, kind, block)
+
+
 def entering_states(summaries: DataFrame, summary: str, start: Column, step: Callable[[Column, Column], Column], kind: str) -> DataFrame:
     """``path, chunk, entering``: the state (of type ``kind``) before each chunk,
     from one summary per chunk.  A file's summaries are one row of numbers."""
